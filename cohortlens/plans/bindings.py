@@ -97,10 +97,11 @@ def yearly_status(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def graded_rows(spark: SparkSession, sf: str) -> DataFrame:
+def graded_rows(spark: SparkSession, sf: str, lines: DataFrame | None = None) -> DataFrame:
     """Order lines as course rows with a quantity bucket 1..5."""
     y = dates.school_year_of("event_dt")
-    return items(spark, sf).select(
+    lines = items(spark, sf) if lines is None else lines
+    return lines.select(
         "ent",
         F.concat(y.cast("string"), F.lit("-"), (y + 1).cast("string")).alias("year"),
         (F.col("l_partkey") % 20).cast("string").alias("course_name"),
@@ -133,15 +134,20 @@ def first_positive(spark: SparkSession, sf: str) -> DataFrame:
     return labels.first_event(late, ENT, "dt", F.col("priority") == "1-URGENT")
 
 
-def day_counts(spark: SparkSession, sf: str) -> DataFrame:
+def day_counts(
+    spark: SparkSession, sf: str, rows: DataFrame | None = None, lines: DataFrame | None = None
+) -> DataFrame:
     names = {c: f"days_{c.lower()}" for c in CODES}
-    return windows.window_distinct_days(
-        spine(spark, sf), items(spark, sf), GRID, ENT, CODES
-    ).withColumnsRenamed(names)
+    rows = spine(spark, sf) if rows is None else rows
+    lines = items(spark, sf) if lines is None else lines
+    return windows.window_distinct_days(rows, lines, GRID, ENT, CODES).withColumnsRenamed(names)
 
 
-def labelled(spark: SparkSession, sf: str, horizon: int = 6, unresolved: bool = False) -> DataFrame:
-    base = labels.attach_first(spine(spark, sf), first_positive(spark, sf), "ent")
+def labelled(
+    spark: SparkSession, sf: str, horizon: int = 6, unresolved: bool = False, rows: DataFrame | None = None
+) -> DataFrame:
+    rows = spine(spark, sf) if rows is None else rows
+    base = labels.attach_first(rows, first_positive(spark, sf), "ent")
     return labels.forward_label(base, horizon=horizon, unresolved=unresolved)
 
 
