@@ -76,12 +76,12 @@ def _sums(rows: DataFrame, group: str, betas: dict, p: int) -> list:
     per_time = weighted.groupBy(group, "_t").agg(
         F.sum(e).alias("d"),
         F.sum(e * F.col("_xb")).alias("exb"),
-        F.sum(w).alias("s0"),
+        F.sum(w).alias("sw"),
         *[F.sum(e * x[i]).alias(f"ex{i}") for i in range(p)],
         *[F.sum(w * x[i]).alias(f"s{i}") for i in range(p)],
         *[F.sum(w * x[i] * x[j]).alias(f"s{i}_{j}") for i, j in pairs],
     ).filter(F.col("d") > 0)
-    d, s0 = F.col("d"), F.col("s0")
+    d, s0 = F.col("d"), F.col("sw")
     return per_time.groupBy(group).agg(
         (F.sum("exb") - F.sum(d * F.log(s0))).alias("loglik"),
         F.array(*[F.sum(F.col(f"ex{i}") - d * F.col(f"s{i}") / s0) for i in range(p)]).alias("grad"),
