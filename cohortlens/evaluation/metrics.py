@@ -9,6 +9,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortlens.evaluation import curves
 
@@ -260,7 +261,7 @@ def _incomplete_beta(a: float, b: float, x: float) -> float:
     return front * total
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _two_sided(t: pd.Series, df: pd.Series) -> pd.Series:
     """Two-sided p-value of a t statistic; used on result rows only."""
     return pd.Series(

@@ -42,20 +42,19 @@ class CoxModel:
         return spark.createDataFrame(rows, schema)
 
 
-def _betas(df: DataFrame, group: str, betas: dict, dimension: int) -> DataFrame:
-    """Coefficients as a table: one row per back-test, so it is always small enough to send along."""
-    kind = df.schema[group].dataType
-    schema = T.StructType([
-        T.StructField(group, kind), T.StructField("_b", T.ArrayType(T.DoubleType()))
-    ])
-    rows = [(g, [float(v) for v in np.nan_to_num(b)]) for g, b in betas.items()]
-    return df.sparkSession.createDataFrame(rows, schema)
+def _linear(columns: Sequence[Column], group: str, betas: dict) -> Column:
+    """``x b`` with the coefficients of the row's group.
 
-
-def _linear(columns: Sequence[Column]) -> Column:
+    The coefficients are one literal map (a vector per back-test), so the rows
+    meet them without a join and every step reuses the same compiled code.
+    """
+    vectors = []
+    for g, b in betas.items():
+        vectors += [F.lit(g), F.lit([float(v) for v in np.nan_to_num(b)])]
+    b = F.element_at(F.create_map(*vectors), F.col(group))
     out = F.lit(0.0)
     for i, x in enumerate(columns):
-        out = out + F.get(F.col("_b"), F.lit(i)) * x
+        out = out + F.get(b, F.lit(i)) * x
     return out
 
 
@@ -67,11 +66,7 @@ def _sums(rows: DataFrame, group: str, betas: dict, p: int) -> list:
     """
     x = [F.col(f"_x{i}") for i in range(p)]
     pairs = [(i, j) for i in range(p) for j in range(i, p)]
-    weighted = (
-        rows.join(F.broadcast(_betas(rows, group, betas, p)), group)  # one row per back-test
-        .withColumn("_xb", _linear(x))
-        .withColumn("_w", F.exp("_xb"))
-    )
+    weighted = rows.withColumn("_xb", _linear(x, group, betas)).withColumn("_w", F.exp("_xb"))
     w, e = F.col("_w"), F.col("_e")
     per_time = weighted.groupBy(group, "_t").agg(
         F.sum(e).alias("d"),
@@ -118,12 +113,20 @@ def fit_cox(
     """
     features = list(features)
     p = len(features)
-    moments = train.agg(
+    # centre and scale: the same model, better conditioned
+    moments = train.groupBy(group).agg(
+        F.count("*").alias("n"),
         *[F.avg(f).alias(f"m{i}") for i, f in enumerate(features)],
-        *[F.stddev_pop(f).alias(f"s{i}") for i, f in enumerate(features)],
-    ).first()
-    means = np.array([moments[f"m{i}"] or 0.0 for i in range(p)])
-    scale = np.array([moments[f"s{i}"] or 1.0 for i in range(p)])
+        *[F.avg(F.col(f).cast("double") * F.col(f)).alias(f"q{i}") for i, f in enumerate(features)],
+    ).collect()
+    groups = [r[group] for r in moments]
+    if not groups:
+        raise ValueError("no training rows")
+    share = np.array([r["n"] for r in moments], dtype=float) / sum(r["n"] for r in moments)
+    means = np.array([sum(s * (r[f"m{i}"] or 0.0) for s, r in zip(share, moments)) for i in range(p)])
+    squares = np.array([sum(s * (r[f"q{i}"] or 0.0) for s, r in zip(share, moments)) for i in range(p)])
+    scale = np.sqrt(np.maximum(squares - means**2, 0.0))
+    scale[scale < 1e-9 * (1.0 + np.abs(means))] = 1.0
     rows = materialise(
         at_risk_rows(train, event, step).select(
             group, "_t", "_e",
@@ -134,7 +137,6 @@ def fit_cox(
         ),
         "risk",
     )
-    groups = [r[0] for r in rows.select(group).distinct().collect()]
     best = {g: (-np.inf, np.zeros(p)) for g in groups}
     trial = {g: np.zeros(p) for g in groups}
     direction: dict = {}
@@ -171,8 +173,7 @@ def fit_cox(
             trial[g] = best[g][1] + direction[g]
     scaled = {g: b for g, (_, b) in best.items()}
     hazard = (
-        rows.join(F.broadcast(_betas(rows, group, scaled, p)), group)
-        .withColumn("_w", F.exp(_linear([F.col(f"_x{i}") for i in range(p)])))
+        rows.withColumn("_w", F.exp(_linear([F.col(f"_x{i}") for i in range(p)], group, scaled)))
         .groupBy(group, "_t")
         .agg((F.sum("_e") / F.sum("_w")).alias("hazard"))
         .filter(F.col("hazard") > 0)
@@ -202,10 +203,10 @@ def predict_expected(
     )
     total = F.aggregate(inside, F.lit(0.0), lambda acc, s: acc + s["hazard"])
     return (
-        df.join(F.broadcast(_betas(df, g, model.coefficients, len(x))), g)  # one row per back-test
+        df.filter(F.col(g).isin(list(model.coefficients)))
         .join(steps, g, "left")
-        .withColumn("risk", F.exp(_linear(x)))
+        .withColumn("risk", F.exp(_linear(x, g, model.coefficients)))
         .withColumn("predict", F.col("risk") * F.coalesce(total, F.lit(0.0)))
         .withColumn("event_prob", 1 - F.exp(-F.col("predict")))
-        .drop("_b", "_steps")
+        .drop("_steps")
     )

@@ -32,25 +32,23 @@ def dedup_keep_max(
     keys = list(keys)
     final = F.lit(True) if final is None else final
     incomplete = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    passes = F.max(F.coalesce(literal if literal is not None else F.lit(False), F.lit(False)))
-    grouped = (
-        df.withColumn("_apart", F.when(incomplete, F.col(bucket)))
-        .groupBy(*keys, "_apart")
-        .agg(
-            F.min(bucket).alias("_min"),
-            F.max(bucket).alias("_max"),
-            F.max(F.coalesce(final, F.lit(False))).alias("_final"),
-            passes.alias("_literal"),
-            # as many values as there are buckets, not rows
-            F.collect_set(bucket).alias("_all"),
-        )
-    )
+    aggregates = [
+        F.min(bucket).alias("_min"),
+        F.max(bucket).alias("_max"),
+        F.max(F.coalesce(final, F.lit(False))).alias("_final"),
+    ]
+    if literal is not None:
+        aggregates.append(F.max(F.coalesce(literal, F.lit(False))).alias("_literal"))
+        # as many values as there are buckets, not rows
+        aggregates.append(F.collect_set(bucket).alias("_all"))
+    grouped = df.withColumn("_apart", F.when(incomplete, F.col(bucket))).groupBy(*keys, "_apart").agg(*aggregates)
     several = F.col("_min") != F.col("_max")
-    kept = F.array(F.col("_max") if keep == "max" else F.col("_min"))
+    kept = F.col("_max") if keep == "max" else F.col("_min")
+    if literal is None:
+        return grouped.filter(several | F.col("_final")).select(*keys, kept.alias(bucket))
     emitted = (
-        F.when(several & F.col("_literal"), F.concat("_all", kept))
-        .when(several, kept)
-        .when(F.col("_final"), kept)
+        F.when(several & F.col("_literal"), F.concat("_all", F.array(kept)))
+        .when(several | F.col("_final"), F.array(kept))
     )
     return grouped.select(*keys, F.explode(emitted).alias(bucket))
 

@@ -89,7 +89,7 @@ class Grid:
         """
         kept = df.filter(F.col(event).isNotNull())
         first = self.ceil_index(F.col(event))
-        out = self._explode(kept, first, first + (length // self.step + 1), name)
+        out = self._explode(kept, first, first + length // self.step, name)
         return out.filter(F.col(event) >= self.shift(F.col(name), -length))
 
     def valid_after(

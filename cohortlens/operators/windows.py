@@ -187,18 +187,17 @@ def window_shares(
     buckets: Mapping[object, str],
     date: str = "end_dt",
     bucket: str = "score_bucket",
-    distinct_on: Sequence[str] = (),
+    distinct_on: Sequence[str] | None = None,
     length: int = 6,
     pred: str = "pred_dt",
 ) -> DataFrame:
     """Share of the window's rows per bucket; only spine keys with a row in it.
 
-    Rows equal in (entity, prediction date, bucket, ``distinct_on``) count once.
+    With ``distinct_on``, rows equal in (entity, prediction date, bucket) and
+    these columns count once.
     """
-    in_window = grid.windows_over(
-        rows.select(*keys, date, bucket, *distinct_on).distinct(), date, length, pred
-    )
-    if distinct_on:
+    in_window = grid.windows_over(rows.select(*keys, date, bucket, *distinct_on or ()), date, length, pred)
+    if distinct_on is not None:
         in_window = in_window.select(*keys, pred, bucket, *distinct_on).distinct()
     total = F.count("*").cast("double")
     shares = in_window.groupBy(*keys, pred).agg(
