@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.evaluation.running import running_totals
+from cohortlens.session import join_small, materialise
 
 _ALL = "_all"
 
@@ -31,10 +32,24 @@ def distinct_scores(df: DataFrame, score: str, label: str, keys: Sequence[str] =
     )
 
 
-def score_curve(df: DataFrame, score: str, label: str, keys: Sequence[str] = ()) -> DataFrame:
-    """``tp`` / ``fp`` at ``score >= threshold`` for each distinct score, with group totals."""
+def score_curve(
+    df: DataFrame, score: str, label: str, keys: Sequence[str] = (), scale: bool = False
+) -> DataFrame:
+    """``tp`` / ``fp`` at ``score >= threshold`` for each distinct score, with group totals.
+
+    ``scale`` maps the scores of a group to 0..1 first; that is done on the
+    distinct scores, the rows are not touched again.
+    """
     df, groups = _grouped(df, keys)
-    curve = running_totals(distinct_scores(df, score, label, groups), groups, "score", ["pos", "neg"])
+    scores = distinct_scores(df, score, label, groups)
+    if scale:
+        scores = materialise(scores, "scores")
+        scores = (
+            min_max_scale(scores, "score", groups)
+            .groupBy(*groups, "score")
+            .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+        )
+    curve = running_totals(scores, groups, "score", ["pos", "neg"])
     return curve.select(
         *keys,
         F.col("score").alias("threshold"),
@@ -118,7 +133,7 @@ def threshold_sweep(
     thresholds row by row.
     """
     df, groups = _grouped(df, keys)
-    scores = distinct_scores(df, score, label, groups)
+    scores = materialise(distinct_scores(df, score, label, groups), "scores")
     bounds = scores.groupBy(*groups).agg(F.min("score").alias("_min"), F.max("score").alias("_max"))
 
     def at(k: Column) -> Column:
@@ -134,7 +149,7 @@ def threshold_sweep(
     last = F.floor((F.col("_max") - F.col("_min")) / F.lit(step) + F.lit(1e-10))
     # a score above the last threshold reaches it all the same
     hits = (
-        scores.join(bounds, groups)
+        join_small(scores, bounds, groups)
         .withColumns({"_g": guess, "_last": last})
         .withColumn("k", F.least(k, F.col("_last")))
         .groupBy(*groups, "k")
@@ -170,9 +185,9 @@ def best_threshold(sweep: DataFrame, metric: str = "j_index", keys: Sequence[str
 
 
 def attach_by_key(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows with their group's values. One row per group; Spark sends it along if it is small."""
+    """Rows with their group's values; ``table`` has one row per group."""
     if keys:
-        return df.join(table, list(keys))
+        return join_small(df, table, keys)
     values = table.withColumn(_ALL, F.lit(0))
     return df.withColumn(_ALL, F.lit(0)).join(values, _ALL).drop(_ALL)
 

@@ -73,8 +73,7 @@ def best_f1_board(df: DataFrame, score: str, label: str, keys: Sequence[str], sc
 
     Cells follow from the curve itself, so the rows are read once.
     """
-    scaled = curves.min_max_scale(df, score, keys) if scale else df
-    curve = curves.score_curve(scaled, score, label, keys)
+    curve = curves.score_curve(df, score, label, keys, scale)
     best = curves.best_f1(curve, keys).withColumnRenamed("threshold", "_t")
     above = F.col("threshold") > F.col("_t") if strict else F.col("threshold") >= F.col("_t")
     tp = F.coalesce(F.sum(F.when(above, F.col("pos"))), F.lit(0))

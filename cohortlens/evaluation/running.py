@@ -59,7 +59,7 @@ def running_totals(
     )
 
 
-def hash_index(df: DataFrame, key: Sequence[str], seed: int, name: str = "idx", buckets: int = 4096) -> DataFrame:
+def hash_index(df: DataFrame, key: Sequence[str], seed: int, name: str = "idx", buckets: int = 65_536) -> DataFrame:
     """Dense 0-based index of the rows in the order of a seeded hash of their unique key.
 
     The bucket is the remainder of the hash, so it depends on the key alone and

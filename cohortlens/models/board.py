@@ -94,11 +94,14 @@ def cross_validate(
     ).fit(df)
 
 
-def logistic(df: DataFrame, formula: str) -> PipelineModel:
-    """Unpenalised binomial model by formula; text columns become dummies."""
+def logistic(df: DataFrame, formula: str, unseen: str = "error") -> PipelineModel:
+    """Unpenalised binomial model by formula; text columns become dummies.
+
+    A level met only at scoring is an error, or with ``unseen="keep"`` a level of its own.
+    """
     return Pipeline(
         stages=[
-            RFormula(formula=formula, featuresCol="features", labelCol="label", handleInvalid="keep"),
+            RFormula(formula=formula, featuresCol="features", labelCol="label", handleInvalid=unseen),
             LogisticRegression(regParam=0.0, featuresCol="features", labelCol="label"),
         ]
     ).fit(df)

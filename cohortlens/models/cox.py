@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlens.session import materialise
+from cohortlens.session import join_small, materialise
 
 
 @dataclass
@@ -203,8 +203,7 @@ def predict_expected(
     )
     total = F.aggregate(inside, F.lit(0.0), lambda acc, s: acc + s["hazard"])
     return (
-        df.filter(F.col(g).isin(list(model.coefficients)))
-        .join(steps, g, "left")
+        join_small(df.filter(F.col(g).isin(list(model.coefficients))), steps, [g], "left")
         .withColumn("risk", F.exp(_linear(x, g, model.coefficients)))
         .withColumn("predict", F.col("risk") * F.coalesce(total, F.lit(0.0)))
         .withColumn("event_prob", 1 - F.exp(-F.col("predict")))

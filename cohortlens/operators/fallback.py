@@ -75,6 +75,7 @@ def static_one_hot(
     the demographic language counts only beside a missing one. Both sides shrink
     to one row per key first, which gives the flags of the full product without
     building it. ``one_birth_date=False`` keeps one row per recorded birth date.
+    The spine has distinct rows, so the result has.
     """
     demo = (
         demographics.filter(F.col(key).isNotNull())
@@ -111,7 +112,7 @@ def static_one_hot(
         )
     return joined.select(
         *spine.columns, birth, *[value.alias(name) for name, value in flags.items()]
-    ).distinct()
+    )
 
 
 def age_and_tenure(

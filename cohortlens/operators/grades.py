@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.functions import dates
+from cohortlens.session import join_small
 
 
 def dedup_keep_max(
@@ -76,7 +77,7 @@ def term_dates(
     """Start and end date of each row's term: school year and term name looked up, left.
 
     ``terms`` holds dates; a term belongs to the school year its start lies in.
-    It is a dimension, sent by Spark to every task only while its size allows.
+    A few terms cover all rows, so the lookup is sent along when its count allows.
     """
     lookup = terms.select(
         dates.school_year_of(start).alias("start_yr"),
@@ -86,4 +87,4 @@ def term_dates(
     ).distinct()
     first, second = dates.year_pair(year)
     dated = rows.withColumns({"start_yr": first, "end_yr": second}).drop(year)
-    return dated.join(lookup, ["start_yr", term], "left")
+    return join_small(dated, lookup, ["start_yr", term], "left")

@@ -123,7 +123,7 @@ def logistic(spark, sf):
     cohort = out.survey_table(spark, sf).filter(F.col("answer") != 0)
     train, test = assemble.hash_split(materialise(cohort, "survey"), "ent")
     formula = "depressive_disorder ~ answer + race + gender + language + excused + unexcused + total_courses + a_grades"
-    model = board.logistic(train, formula)
+    model = board.logistic(train, formula, unseen="keep")
     return board.score(model, test, ["ent"], "depressive_disorder", "prob")
 
 
