@@ -36,6 +36,10 @@ def assemble(
     the required tables go first because they shrink the spine.
     """
     on = [*keys, pred]
+    features, required = list(features), list(required)
+    names = [c for table in (spine, *required, *features) for c in table.columns if c not in on]
+    if len(set(names)) < len(names):
+        raise ValueError(f"feature names clash: {sorted({n for n in names if names.count(n) > 1})}")
     out = spine
     for key in keys:
         out = out.filter(F.col(key).isNotNull())

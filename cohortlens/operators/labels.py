@@ -23,9 +23,9 @@ def first_event(
     return events.groupBy(*keys).agg(F.min(date).alias(name))
 
 
-def class_of(events: DataFrame, classes: DataFrame, on: str) -> DataFrame:
-    """Events with the 0/1 columns of their class map (left); Spark sizes the map itself."""
-    return events.join(classes, on, "left")
+def class_of(events: DataFrame, classes: DataFrame, on: str, how: str = "left") -> DataFrame:
+    """Events with the 0/1 columns of their class map; Spark knows the size of a map read from files."""
+    return events.join(classes, on, how)
 
 
 def attach_first(
@@ -82,10 +82,12 @@ def survival_intervals(
     label: str = "label",
     step: int = 6,
     pred: str = "pred_dt",
+    nonzero: Sequence[str] = (),
 ) -> DataFrame:
     """Counting-process rows: ``tstop = step * row``, ``tstart = tstop - step``.
 
-    Rows after the last positive date (or, without one, the last date) are dropped first.
+    Rows after the last positive date (or, without one, the last date) are dropped
+    first, then rows with a zero in ``nonzero``; the rest is numbered.
     """
     whole = Window.partitionBy(*keys)
     last_positive = F.max(F.when(F.col(label) == 1, F.col(pred))).over(whole)
@@ -93,6 +95,8 @@ def survival_intervals(
         df.withColumn("stop_dt", F.coalesce(last_positive, F.max(pred).over(whole)))
         .filter(F.col(pred) <= F.col("stop_dt"))
     )
+    for column in nonzero:
+        kept = kept.filter(F.col(column) != 0)
     row = F.row_number().over(whole.orderBy(pred))
     return kept.withColumn("tstop", row * step).withColumn("tstart", F.col("tstop") - step)
 
