@@ -203,7 +203,7 @@ def predict_expected(
     )
     total = F.aggregate(inside, F.lit(0.0), lambda acc, s: acc + s["hazard"])
     return (
-        join_small(df.filter(F.col(g).isin(list(model.coefficients))), steps, [g], "left")
+        join_small(df.filter(F.col(g).isin(list(model.coefficients))), steps, [g], "left", limit=10_000)
         .withColumn("risk", F.exp(_linear(x, g, model.coefficients)))
         .withColumn("predict", F.col("risk") * F.coalesce(total, F.lit(0.0)))
         .withColumn("event_prob", 1 - F.exp(-F.col("predict")))

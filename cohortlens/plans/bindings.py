@@ -128,10 +128,13 @@ def terms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def first_positive(spark: SparkSession, sf: str) -> DataFrame:
-    """First urgent order more than a year after the entity's first order."""
+    """First urgent order more than a year after the entity's first order.
+
+    Urgent orders shrink to one row per entity and day before they meet the start date.
+    """
     begun = spans(spark, sf).select("ent", F.date_add("enrollment_start", 365).alias("_from"))
-    late = orders(spark, sf).join(begun, "ent").filter(F.col("dt") > F.col("_from"))
-    return labels.first_event(late, ENT, "dt", F.col("priority") == "1-URGENT")
+    urgent = orders(spark, sf).filter(F.col("priority") == "1-URGENT").select("ent", "dt").distinct()
+    return labels.first_event(urgent.join(begun, "ent"), ENT, "dt", F.col("dt") > F.col("_from"))
 
 
 def day_counts(

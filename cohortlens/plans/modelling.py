@@ -195,9 +195,21 @@ def scm_chain(spark, sf):
     return table.withColumns({"slope": F.round("slope", 4), "intercept": F.round("intercept", 4)})
 
 
-@query("scm_fit")
+# two parents: the 2 x 2 normal equations written out; slopes in millionths
+@query("scm_fit", """WITH m AS (SELECT AVG(l_tax) AS mt, AVG(l_discount) AS md, AVG(l_extendedprice) AS me, AVG(l_quantity) AS mq,
+    COVAR_POP(l_discount, l_discount) AS dd, COVAR_POP(l_extendedprice, l_extendedprice) AS ee,
+    COVAR_POP(l_discount, l_extendedprice) AS de, COVAR_POP(l_discount, l_tax) AS dt, COVAR_POP(l_extendedprice, l_tax) AS et,
+    COVAR_POP(l_quantity, l_quantity) AS qq, COVAR_POP(l_quantity, l_discount) AS qd,
+    COVAR_POP(l_quantity, l_extendedprice) AS qe FROM lineitem),
+  s AS (SELECT *, (dt * ee - et * de) / (dd * ee - de * de) AS bd, (et * dd - dt * de) / (dd * ee - de * de) AS be FROM m),
+  long AS (SELECT 'l_extendedprice' AS node, 'l_quantity' AS parent, qe / qq AS slope, me - qe / qq * mq AS intercept FROM s
+    UNION ALL SELECT 'l_discount', 'l_quantity', qd / qq, md - qd / qq * mq FROM s
+    UNION ALL SELECT 'l_tax', 'l_discount', bd, mt - bd * md - be * me FROM s
+    UNION ALL SELECT 'l_tax', 'l_extendedprice', be, mt - bd * md - be * me FROM s)
+  SELECT node, parent, ROUND(slope * 1e6, 3) + 0.0 AS slope, ROUND(intercept, 4) + 0.0 AS intercept FROM long""")
 def scm_fit(spark, sf):
-    return scm.fit_scm(_lines(spark, sf), EDGES).table(spark)
+    table = scm.fit_scm(_lines(spark, sf), EDGES).table(spark)
+    return table.withColumns({"slope": F.round(F.col("slope") * 1e6, 3), "intercept": F.round("intercept", 4)})
 
 
 @query("counterfactual", f"""WITH {LINE} SELECT l_orderkey, l_linenumber, ROUND(l_extendedprice + s1 * (10 - l_quantity), 2)

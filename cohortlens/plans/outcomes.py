@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -329,7 +330,7 @@ def csv_round_trip(spark, sf):
         F.col("o_orderkey").alias("Order Key"), F.col("ent").alias("Entity"), F.col("status").alias("orderStatus"),
         F.when(F.col("status") == "O", "no date").otherwise(F.date_format("dt", "M/d/yyyy")).alias("Order date"),
     )
-    path = f"{checkpoint_root(spark).rstrip('/')}/csv-orders"
+    path = f"{checkpoint_root(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
     tables.write_table(out, path, "csv")
     schema = "`Order Key` long, Entity long, orderStatus string, `Order date` string"
     back = tables.clean_names(tables.read_csv(spark, path, schema))
