@@ -49,6 +49,12 @@ def score_curve(
             .groupBy(*groups, "score")
             .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
         )
+    return curve_of_counts(scores, groups).drop(_ALL)
+
+
+def curve_of_counts(scores: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """The curve of a table that already has one row per (group, score) with ``pos`` and ``neg``."""
+    scores, groups = _grouped(scores, keys)
     curve = running_totals(scores, groups, "score", ["pos", "neg"])
     return curve.select(
         *keys,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlens.evaluation import curves
+from cohortlens.session import materialise
 
 CELLS = ("tn", "fp", "fn", "tp")
 # clipping constant of hard predictions: the spacing of doubles at 1
@@ -60,11 +61,31 @@ def log_loss(df: DataFrame, label: str, probability: str, keys: Sequence[str] =
 def metric_board(
     df: DataFrame, score: str, label: str, predict: str, keys: Sequence[str], empty: float | None = 0.0
 ) -> DataFrame:
-    """One row per group: cells, rates, hard log loss, AUROC, AUPRC."""
-    cells = confusion(df, label, predict, keys)
-    area = curves.areas(curves.score_curve(df, score, label, keys), keys)
+    """One row per group: cells, rates, hard log loss, AUROC, AUPRC.
+
+    Rows are read once, into counts per (group, score, prediction); cells and
+    curve both come from the counts.
+    """
+    is_one, is_zero = F.col(label) == 1, F.col(label) == 0
+    counts = materialise(
+        df.groupBy(*keys, F.col(score).cast("double").alias("score"), F.col(predict).alias("_predict")).agg(
+            F.count_if(is_one).alias("pos"), F.count_if(is_zero).alias("neg")
+        ),
+        "counts",
+    )
+
+    def cell(n: str, p: int) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("_predict") == p, F.col(n))), F.lit(0))
+
+    cells = counts.groupBy(*keys).agg(
+        cell("neg", 0).alias("tn"), cell("neg", 1).alias("fp"), cell("pos", 0).alias("fn"), cell("pos", 1).alias("tp")
+    )
+    scores = counts.filter(F.col("score").isNotNull()).groupBy(*keys, "score").agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
+    )
+    area = curves.areas(curves.curve_of_counts(scores, keys), keys)
     board = cells.withColumns({**rates(empty), "logloss": hard_log_loss()})
-    return board.join(area, list(keys)) if keys else curves.attach_by_key(board, area, ())
+    return curves.attach_by_key(board, area, keys)
 
 
 def best_f1_board(df: DataFrame, score: str, label: str, keys: Sequence[str], scale: bool = True,
