@@ -53,7 +53,10 @@ def score_curve(
 
 
 def curve_of_counts(scores: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """The curve of a table that already has one row per (group, score) with ``pos`` and ``neg``."""
+    """The curve of a table that already has one row per (group, score) with ``pos`` and ``neg``.
+
+    ``next_pos`` / ``next_neg`` are those of the next lower score, null at the end.
+    """
     scores, groups = _grouped(scores, keys)
     curve = running_totals(scores, groups, "score", ["pos", "neg"])
     return curve.select(
@@ -65,6 +68,8 @@ def curve_of_counts(scores: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         F.col("cum_neg").alias("fp"),
         F.col("all_pos").alias("p"),
         F.col("all_neg").alias("n"),
+        "next_pos",
+        "next_neg",
     )
 
 
@@ -87,7 +92,16 @@ def _precision() -> Column:
     return F.col("tp") / (F.col("tp") + F.col("fp"))
 
 
-def roc_points(curve: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def roc_points(curve: DataFrame, keys: Sequence[str] = (), drop_collinear: bool = False) -> DataFrame:
+    """ROC points from (0, 0) on. ``drop_collinear`` leaves out points on the line between their neighbours.
+
+    A point is kept if it is an end of the curve or the next step differs from its own.
+    """
+    if drop_collinear:
+        ends = F.col("tp") + F.col("fp") == F.col("p") + F.col("n")
+        first = F.col("tp") + F.col("fp") == F.col("pos") + F.col("neg")
+        turns = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
+        curve = curve.filter(ends | first | turns)
     point = {"fpr": F.try_divide(F.col("fp"), F.col("n")), "tpr": _recall()}
     return _with_start(curve, keys, point, {"fpr": 0.0, "tpr": 0.0})
 
@@ -194,8 +208,10 @@ def attach_by_key(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataF
     """Rows with their group's values; ``table`` has one row per group."""
     if keys:
         return join_small(df, table, keys)
-    values = table.withColumn(_ALL, F.lit(0))
-    return df.withColumn(_ALL, F.lit(0)).join(values, _ALL).drop(_ALL)
+    row = table.first()  # no groups: one row, its values become constants
+    if row is None:
+        raise ValueError("no values to attach")
+    return df.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in table.schema.fields})
 
 
 def binarise(df: DataFrame, score: str, threshold: Column | str | float, strict: bool = False,

@@ -18,7 +18,7 @@ def running_totals(
     descending: bool = True,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``cum_v`` (running, inclusive) and ``all_v`` (whole group) of each value.
+    """``cum_v`` (running, inclusive), ``all_v`` (whole group) and ``next_v`` (following row) of each value.
 
     ``df`` has one row per (keys, order); keys are not null. The rows are range
     partitioned on (keys, order) and written once together with the id of their
@@ -35,20 +35,23 @@ def running_totals(
         .withColumn("_range", F.spark_partition_id()),
         "ranges",
     )
-    totals = ranged.groupBy(*keys, "_range").agg(*[F.sum(v).alias(f"_sum_{v}") for v in values])
+    leading = F.max_by if descending else F.min_by
+    totals = ranged.groupBy(*keys, "_range").agg(
+        *[F.sum(v).alias(f"_sum_{v}") for v in values],
+        *[leading(v, order).alias(f"_first_{v}") for v in values],
+    )
     group = Window.partitionBy(*keys)
-    before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    by_range = group.orderBy("_range")
+    before = by_range.rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *keys,
         "_range",
         *[F.coalesce(F.sum(f"_sum_{v}").over(before), F.lit(0)).alias(f"_before_{v}") for v in values],
         *[F.sum(f"_sum_{v}").over(group).alias(f"all_{v}") for v in values],
+        *[F.lead(f"_first_{v}").over(by_range).alias(f"_after_{v}") for v in values],
     )
-    inside = (
-        Window.partitionBy(*keys, "_range")
-        .orderBy(by)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    in_order = Window.partitionBy(*keys, "_range").orderBy(by)
+    inside = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return ranged.join(offsets, [*keys, "_range"]).select(
         *keys,
         order,
@@ -56,6 +59,7 @@ def running_totals(
         *values,
         *[(F.sum(v).over(inside) + F.col(f"_before_{v}")).alias(f"cum_{v}") for v in values],
         *[f"all_{v}" for v in values],
+        *[F.coalesce(F.lead(v).over(in_order), F.col(f"_after_{v}")).alias(f"next_{v}") for v in values],
     )
 
 

@@ -39,6 +39,16 @@ def pr_curve(spark, sf):
     return curves.pr_points(_scored_curve(spark, sf), DATE)
 
 
+@query("roc_curve_reduced", f"""{SCORED_CURVE}, l AS (SELECT *, LEAD(pos) OVER (PARTITION BY pred_dt ORDER BY threshold DESC) AS np,
+    LEAD(neg) OVER (PARTITION BY pred_dt ORDER BY threshold DESC) AS nn,
+    ROW_NUMBER() OVER (PARTITION BY pred_dt ORDER BY threshold DESC) AS i FROM curve)
+  SELECT pred_dt, threshold, CAST(fp AS DOUBLE) / NULLIF(n, 0) AS fpr, CAST(tp AS DOUBLE) / NULLIF(p, 0) AS tpr FROM l
+    WHERE i = 1 OR np IS NULL OR np <> pos OR nn <> neg
+  UNION ALL SELECT DISTINCT pred_dt, CAST(NULL AS DOUBLE), 0.0::DOUBLE, 0.0::DOUBLE FROM curve""")
+def roc_curve_reduced(spark, sf):
+    return curves.roc_points(_scored_curve(spark, sf), DATE, drop_collinear=True)
+
+
 @query("roc_curve_documents", f"""{DOC_CURVE} SELECT threshold, CAST(fp AS DOUBLE) / NULLIF(n, 0) AS fpr,
   CAST(tp AS DOUBLE) / NULLIF(p, 0) AS tpr FROM curve UNION ALL SELECT CAST(NULL AS DOUBLE), 0.0::DOUBLE, 0.0::DOUBLE""")
 def roc_curve_documents(spark, sf):

@@ -65,6 +65,13 @@ def test_points_start(spark):
     assert rows(curves.pr_points(curve)) == [(0.5, 1.0, 2 / 3), (0.9, 0.5, 1.0), (None, 0.0, 1.0)]
 
 
+def test_collinear_points_go(spark):
+    pairs = [(0.9, 1), (0.8, 1), (0.7, 1), (0.6, 0), (0.5, 0), (0.4, 1)]
+    curve = curves.score_curve(scores(spark, pairs), "score", "label")
+    kept = [r.threshold for r in curves.roc_points(curve, drop_collinear=True).collect() if r.threshold]
+    assert sorted(kept) == [0.4, 0.5, 0.7, 0.9]
+
+
 def test_running_totals_over_several_ranges(spark):
     """One group holds a third of the rows and is cut into several ranges."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -82,6 +89,8 @@ def test_running_totals_over_several_ranges(spark):
             last = g
             want[(g, -o)] = total
         assert {(r.g, r.o): r.cum_v for r in got.collect()} == want
+        following = {(g, -o): (w[2] if w and w[0] == g else None) for (g, o, _), w in zip(data, [*data[1:], None])}
+        assert {(r.g, r.o): r.next_v for r in got.collect()} == following
         assert all(r.all_v == max(w for (g, _), w in want.items() if g == r.g) for r in got.collect())
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -47,3 +47,10 @@ def test_entry(spark):
 
 def test_every_oracle_has_a_query():
     assert set(oracle_sql()) <= set(queries())
+
+
+def test_plans_have_no_cross_join(spark):
+    """No plan pairs rows without a key; model jobs are left out, their plans are Spark ML's."""
+    for name in sorted(oracle_sql()):
+        plan = queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
