@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.llm.common import table
+from cohortlens.llm.repetition import repetition_rules
 from cohortlens.llm.secret_scan import find_secrets
+from cohortlens.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,3 +23,13 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 @query
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition_rules(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
