@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.llm.common import table
+from cohortlens.llm.decontaminate import contaminated
+from cohortlens.llm.packing import best_fit_packing
 from cohortlens.llm.repetition import repetition_rules
 from cohortlens.llm.secret_scan import find_secrets
 from cohortlens.llm.simhash import near_duplicates
@@ -33,3 +35,13 @@ def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
