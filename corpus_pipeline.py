@@ -6,7 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.session import materialise
 from cohortlens.llm.common import table
+from cohortlens.llm.decontaminate import drop_contaminated
+from cohortlens.llm.packing import best_fit_packing
+from cohortlens.llm.repetition import keep_by_rules
 from cohortlens.llm.secret_scan import redact_secrets
+from cohortlens.llm.simhash import drop_near_duplicates
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that break a rule go."""
+    return keep_by_rules(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies stays."""
+    return drop_near_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,8 +33,17 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return redact_secrets(docs)
 
 
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokens of the documents in sequences."""
+    return best_fit_packing(docs)
+
+
 STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
     ("secrets", secrets),
+    ("packing", packing),
 ]
 
 #: Decoding, hashing, alignment and packing have no SQL; tests compare with brute force.
