@@ -235,7 +235,7 @@ def least_bins(counts: list[int], capacity: int) -> int:
 
 
 def pack(
-    counts: dict[int, int], capacity: int, width: int = 3, nodes: int = 4000, steps: int = 300
+    counts: dict[int, int], capacity: int, width: int = 3, nodes: int = 1000, steps: int = 300
 ) -> list[tuple[Filling, int]]:
     """Fillings and how often each is used, for ``counts`` pieces of each length.
 

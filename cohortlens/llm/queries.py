@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortlens.llm.common import table
 from cohortlens.llm.decontaminate import contaminated
+from cohortlens.llm.licenses import find_licenses
 from cohortlens.llm.packing import best_fit_packing
 from cohortlens.llm.repetition import repetition_rules
 from cohortlens.llm.secret_scan import find_secrets
@@ -45,3 +46,8 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_licenses(table(spark, sf_dir, "documents"))
