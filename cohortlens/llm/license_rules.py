@@ -1,7 +1,7 @@
 """Signature rules for license texts, over lower-case words with one space between them.
 
 Each rule has a priority (1 is strongest), a label, a keyword that every match
-holds, a weight and a regular expression. The keyword starts a word. The order of the list
+holds, a weight and a regular expression. Keywords start a word. The order of the list
 breaks ties.
 """
 
@@ -17,6 +17,7 @@ class Rule(NamedTuple):
     keyword: str
     pattern: str
     base: bool = False
+    also: str = ""  # a second keyword that every match holds
 
 
 #: Phrases and labels that are reported as such, whatever else is found. Fixed values.
@@ -134,7 +135,6 @@ WORDINGS = (
     (5, "copyright", 0.3, "copyright", r"copyright(?: c)? (?:19|20)[0-9]{2}"),
     (5, "other", 0.3, "license agreement", r"(?:end user |software )?license agreement"),
     (5, "other", 0.3, "licen", r"(?:licen[cs]ed|released|distributed) under (?:the )?(?:terms of )?(?:the )?(?:\S+ ){0,4}licen[cs]e"),
-    (5, "other", 0.3, "licensed", r"licensed under (?:the )?\S+"),
 )
 
 UNDER = (
@@ -149,16 +149,23 @@ def rules() -> list[Rule]:
     out = [Rule(1, label, 1.0, phrase, phrase, True) for label, phrase in PHRASES]
     for line in LICENSES.strip().splitlines():
         label, tag, keyword, name, address = (part.strip() for part in line.split(" | "))
+        also = "" if label in BARE else "licen"
         host = address.split(" org")[0] if " org" in address else ""
         out += [
-            Rule(1, label, 1.0, "spdx", rf"spdx (?:license|licence) identifier (?:{tag})"),
+            Rule(1, label, 1.0, "spdx", rf"spdx (?:license|licence) identifier (?:{tag})", also="licen"),
             Rule(2, label, 0.95, URL_WORDS.get(label, host.split(" ")[-1] if host and "(" not in host else "licen"), rf"(?:https? )?(?:www )?{address}"),
-            Rule(3, label, 0.9, keyword, rf"{UNDER}(?:{name})"),
-            Rule(4, label, 0.6, keyword, rf"(?:{name})"),
+            Rule(3, label, 0.9, keyword, rf"{UNDER}(?:{name})", also=also),
+            Rule(4, label, 0.6, keyword, rf"(?:{name})", also=also),
         ]
     return out + [Rule(*w) for w in WORDINGS]
 
 
+#: Labels whose name can stand without the word license.
+BARE = {
+    "bsd-0", "bsd-2", "bsd-3", "bsd-4", "unlicense", "cc0", "pdm", "cc-by", "cc-by-sa", "cc-by-nc", "cc-by-nd", "cc-by-nc-sa",
+    "cc-by-nc-nd", "openrail", "gpl", "lgpl",
+}
+
 #: A word that every match of the address has, where the site's name isn't one.
 URL_WORDS = {
     "mit": "licenses mit",

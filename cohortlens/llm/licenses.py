@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm.license_rules import Rule, rules
 
-#: What stands between words. Fixed value (capital letters are folded only where a rule is tried).
+#: What stands between words. Fixed value (capital letters are folded after).
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 OPEN, CLOSE = "\x01", "\x02"
 PRIORITIES = (1, 2, 3, 4, 5)
@@ -56,12 +56,15 @@ def find_licenses(
                 F.lit(r.weight).alias("weight"),
                 F.lit(r.base).alias("base"),
                 F.lit(f" {r.keyword}").alias("keyword"),
+                F.lit(f" {r.also}").alias("also"),
                 F.lit(r.pattern).alias("pattern"),
             )
             for order, r in enumerate(signatures)
         ]
     )
-    keywords = sorted({f" {r.keyword}" for r in signatures})
+    second = sorted({f" {r.also}" for r in signatures if r.also})
+    free = sorted({f" {r.keyword}" for r in signatures if not r.also} | set(second))
+    bound = sorted({f" {r.keyword}" for r in signatures if r.also} - set(free))
 
     words = df.select(
         F.col(doc_id).alias("id"),
@@ -76,20 +79,29 @@ def find_licenses(
         .cast("long")
         .alias("n_words"),
         F.concat(F.lit(" "), "words", F.lit(" ")).alias("words"),
-    ).withColumn("folded", F.lower("words"))  # folds more than ASCII, so no match is missed
-    gated = gated.withColumn(
-        "hits", F.array_compact(F.array(*[F.when(F.contains("folded", F.lit(k)), F.lit(k)) for k in keywords]))
-    )
-    low = F.translate("words", string.ascii_uppercase, string.ascii_lowercase)
-    found = gated.withColumn("low", F.when(F.size("hits") > 0, low)).select(
+    ).withColumn("low", F.translate("words", string.ascii_uppercase, string.ascii_lowercase))
+
+    def present(keys: list[str]) -> Column:
+        return F.array_compact(F.array(*[F.when(F.contains("low", F.lit(k)), F.lit(k)) for k in keys]))
+
+    # keywords that only count beside a second one are looked for where one of those is
+    gated = gated.withColumn("hits", present(free))
+    if bound:
+        some = F.arrays_overlap("hits", F.array(*[F.lit(k) for k in second]))
+        gated = gated.withColumn("hits", F.when(some, F.concat("hits", present(bound))).otherwise(F.col("hits")))
+    found = gated.select(
         "id",
         "row",
         "n_words",
         F.when(
-            F.col("low").isNotNull(),
+            F.size("hits") > 0,
             F.flatten(
                 F.transform(
-                    F.filter(table, lambda r: F.array_contains("hits", r["keyword"])),
+                    F.filter(
+                        table,
+                        lambda r: F.array_contains("hits", r["keyword"])
+                        & ((r["also"] == " ") | F.array_contains("hits", r["also"])),
+                    ),
                     lambda r: F.transform(
                         _places(F.col("low"), r["pattern"]),
                         lambda p: F.struct(

@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortlens.llm.bpe import count_tokens
 from cohortlens.llm.common import table
 from cohortlens.llm.decontaminate import contaminated
+from cohortlens.llm.language import identify_language
 from cohortlens.llm.licenses import find_licenses
 from cohortlens.llm.packing import best_fit_packing
+from cohortlens.llm.quality import classify_quality
 from cohortlens.llm.repetition import repetition_rules
 from cohortlens.llm.secret_scan import find_secrets
 from cohortlens.llm.simhash import near_duplicates
+from cohortlens.llm.urls import RULES, judge_urls, rule_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,3 +55,41 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_licenses(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), rule_table(spark, RULES))
+
+
+CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ORACLES["op4_urls"] = f"""
+WITH parts AS (
+    SELECT row_number() OVER () AS n, page_id,
+           coalesce(translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), '{CAPITALS}', '{CAPITALS.lower()}'), '') AS host,
+           coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
+    FROM pages),
+rules(verdict, host, path) AS (VALUES {", ".join(str(tuple(r)) for r in RULES)}),
+fits AS (
+    SELECT n, r.host || r.path AS rule, r.verdict,
+           row_number() OVER (PARTITION BY n ORDER BY length(r.host || r.path) DESC, length(r.host) DESC) AS k
+    FROM parts p JOIN rules r
+      ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+FROM parts p LEFT JOIN fits f ON f.n = p.n AND f.k = 1
+"""
+
+
+@query
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"))
