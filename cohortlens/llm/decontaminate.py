@@ -39,7 +39,7 @@ class Settings(NamedTuple):
     match: int = 2
     mismatch: int = -1
     gap: int = -1
-    share: float = 0.6
+    share: float = 0.5
     long_match: int = 40
     block_chars: int = 8 << 20
 
