@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.evaluation.running import running_totals
-from cohortlens.session import join_small, materialise
+from cohortlens.session import materialise
 
 _ALL = "_all"
 
@@ -143,51 +143,43 @@ def best_f1(curve: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def threshold_sweep(
-    df: DataFrame, score: str, label: str, step: float = 0.0005, keys: Sequence[str] = ()
-) -> DataFrame:
-    """Sensitivity, specificity and J at ``min, min + step, ... max`` per group.
+# thresholds that one row of a sweep's grid is exploded to
+_BLOCK = 65_536
 
-    Each distinct score is mapped to the last threshold it reaches and counted
-    there; running totals over the thresholds do the rest. Scores never meet the
-    thresholds row by row.
-    """
-    df, groups = _grouped(df, keys)
-    scores = materialise(distinct_scores(df, score, label, groups), "scores")
-    bounds = scores.groupBy(*groups).agg(F.min("score").alias("_min"), F.max("score").alias("_max"))
 
-    def at(k: Column) -> Column:
-        return F.col("_min") + k * F.lit(step)
+def _at(k: Column, step: float) -> Column:
+    return F.col("_min") + k * F.lit(step)
+
 
+def _hits(df: DataFrame, score: str, label: str, step: float, groups: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Positives and negatives at the last threshold that each score reaches, and the bounds of each group."""
+    scores = materialise(distinct_scores(df, score, label, groups), "scores")
+    bounds = scores.groupBy(*groups).agg(F.min("score").alias("_min"), F.max("score").alias("_max"))
+    bounds = bounds.withColumn("_last", F.floor((F.col("_max") - F.col("_min")) / F.lit(step) + F.lit(1e-10)))
     guess = F.floor((F.col("score") - F.col("_min")) / F.lit(step))
     # the division may be off by one at a threshold; the comparison decides
     k = (
-        F.when(F.col("score") < at(F.col("_g")), F.col("_g") - 1)
-        .when(F.col("score") >= at(F.col("_g") + 1), F.col("_g") + 1)
+        F.when(F.col("score") < _at(F.col("_g"), step), F.col("_g") - 1)
+        .when(F.col("score") >= _at(F.col("_g") + 1, step), F.col("_g") + 1)
         .otherwise(F.col("_g"))
     )
-    last = F.floor((F.col("_max") - F.col("_min")) / F.lit(step) + F.lit(1e-10))
     # a score above the last threshold reaches it all the same
     hits = (
-        join_small(scores, bounds, groups)
-        .withColumns({"_g": guess, "_last": last})
+        scores.join(bounds, groups)
+        .withColumn("_g", guess)
         .withColumn("k", F.least(k, F.col("_last")))
         .groupBy(*groups, "k")
-        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    )
-    grid = bounds.withColumn("k", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    per_threshold = (
-        grid.withColumn("threshold", at(F.col("k")))
-        .select(*groups, "k", "threshold")
-        .join(hits, [*groups, "k"], "left")
-        .fillna(0, subset=["pos", "neg"])
+        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.first("_min").alias("_min"))
     )
-    swept = running_totals(per_threshold, groups, "k", ["pos", "neg"], keep=["threshold"])
+    return hits, bounds
+
+
+def _rates(swept: DataFrame, keys: Sequence[str], thresholds: Sequence[Column]) -> DataFrame:
     sensitivity = F.try_divide(F.col("cum_pos"), F.col("all_pos"))
     specificity = F.try_divide(F.col("all_neg") - F.col("cum_neg"), F.col("all_neg"))
     return swept.select(
         *keys,
-        "threshold",
+        *thresholds,
         F.col("cum_pos").alias("tp"),
         F.col("cum_neg").alias("fp"),
         sensitivity.alias("sensitivity"),
@@ -196,6 +188,49 @@ def threshold_sweep(
     )
 
 
+def threshold_sweep(
+    df: DataFrame, score: str, label: str, step: float = 0.0005, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Sensitivity, specificity and J at ``min, min + step, ... max`` per group.
+
+    Each distinct score is mapped to the last threshold it reaches and counted
+    there; running totals over the thresholds do the rest. Scores never meet the
+    thresholds row by row. The grid is made in two levels, so no row holds a list
+    that grows with the range of the scores.
+    """
+    df, groups = _grouped(df, keys)
+    hits, bounds = _hits(df, score, label, step, groups)
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("_last") / _BLOCK))
+    first = F.col("_block") * _BLOCK
+    grid = bounds.withColumn("_block", F.explode(blocks)).withColumn(
+        "k", F.explode(F.sequence(first, F.least(first + _BLOCK - 1, F.col("_last"))))
+    )
+    per_threshold = (
+        grid.withColumn("threshold", _at(F.col("k"), step))
+        .select(*groups, "k", "threshold")
+        .join(hits.drop("_min"), [*groups, "k"], "left")
+        .fillna(0, subset=["pos", "neg"])
+    )
+    swept = running_totals(per_threshold, groups, "k", ["pos", "neg"], keep=["threshold"])
+    return _rates(swept, keys, [F.col("threshold")])
+
+
+def threshold_runs(
+    df: DataFrame, score: str, label: str, step: float = 0.0005, keys: Sequence[str] = ()
+) -> DataFrame:
+    """The sweep with equal neighbours as one row: its thresholds from ``threshold`` to ``until``.
+
+    The same thresholds and figures as ``threshold_sweep`` has, in as many rows as
+    distinct scores at most, whatever the range.
+    """
+    df, groups = _grouped(df, keys)
+    hits, _ = _hits(df, score, label, step, groups)
+    # the next row in falling order is the last threshold of the run below
+    ordered = running_totals(hits.withColumn("_k", F.col("k")), groups, "k", ["pos", "neg", "_k"], keep=["_min"])
+    lowest = _at(F.coalesce(F.col("next__k") + 1, F.lit(0)), step)
+    return _rates(ordered, keys, [lowest.alias("threshold"), _at(F.col("k"), step).alias("until")])
+
+
 def best_threshold(sweep: DataFrame, metric: str = "j_index", keys: Sequence[str] = ()) -> DataFrame:
     """Threshold with the highest metric per group; the lowest threshold wins a tie."""
     return sweep.groupBy(*keys).agg(
@@ -207,7 +242,7 @@ def best_threshold(sweep: DataFrame, metric: str = "j_index", keys: Sequence[str
 def attach_by_key(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows with their group's values; ``table`` has one row per group."""
     if keys:
-        return join_small(df, table, keys)
+        return df.join(table, list(keys))
     row = table.first()  # no groups: one row, its values become constants
     if row is None:
         raise ValueError("no values to attach")

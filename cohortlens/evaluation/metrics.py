@@ -277,8 +277,8 @@ def _incomplete_beta(a: float, b: float, x: float) -> float:
             c = (1.0 + top / c) or tiny
             total *= c * d
         if abs(c * d - 1.0) < 1e-15:
-            break
-    return front * total
+            return front * total
+    raise ArithmeticError(f"no convergence for a={a}, b={b}, x={x}")
 
 
 @F.pandas_udf(T.DoubleType())
@@ -354,8 +354,8 @@ def contender_name(model_id: str, types: str, numbers: str, names: Mapping[tuple
     return out
 
 
-def stacked_roc(tables: Mapping[str, DataFrame], champion: str) -> DataFrame:
-    """ROC tables of several model families under (tpr, fpr, model_name), with a champion mark.
+def stacked_roc(tables: Mapping[str, DataFrame], champion: str, others: str = "others") -> DataFrame:
+    """ROC tables of several model families under (tpr, fpr, model_name), with a champion mark and a label.
 
     Tables carry ``fpr`` or ``specificity``, ``tpr`` or ``sensitivity``, and
     ``model_name`` or ``test_dt``.
@@ -373,7 +373,7 @@ def stacked_roc(tables: Mapping[str, DataFrame], champion: str) -> DataFrame:
     is_champion = F.substring("model_name", 1, len(champion)) == champion
     return reduce(lambda a, b: a.unionByName(b), parts).withColumns(
         {
-            "group": F.when(is_champion, F.col("model_name")).otherwise("Other contender models"),
-            "linetype_group": F.when(is_champion, "champion").otherwise("contender"),
+            "is_champion": is_champion,
+            "shown_as": F.when(is_champion, F.col("model_name")).otherwise(others),
         }
     )

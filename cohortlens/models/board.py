@@ -56,8 +56,15 @@ def score(model: Transformer, df: DataFrame, keys: Sequence[str], label: str | N
     )
 
 
-def gbt_from_params(params: Mapping[str, object] | str, label: str, seed: int = 23) -> GBTClassifier:
-    """Boosted trees from a parameter file (JSON text or a dict ``{name: value | {"actual": value}}``)."""
+def gbt_from_params(
+    params: Mapping[str, object] | str, label: str, seed: int = 23, leave: Sequence[str] = (), weight: str | None = None
+) -> GBTClassifier:
+    """Boosted trees from a parameter file (JSON text or a dict ``{name: value | {"actual": value}}``).
+
+    ``balance_classes`` needs the name of a ``weight`` column (see ``class_weights``).
+    A parameter that Spark has no counterpart for is an error unless it is named in
+    ``leave`` or has no value.
+    """
     if isinstance(params, str):
         params = json.loads(params)
     read = {k: v["actual"] if isinstance(v, Mapping) else v for k, v in params.items()}
@@ -68,6 +75,14 @@ def gbt_from_params(params: Mapping[str, object] | str, label: str, seed: int =
         "min_split_improvement": "minInfoGain", "nbins": "maxBins",
     }
     known = {names[k]: v for k, v in read.items() if k in names and v is not None}
+    if read.get("balance_classes"):
+        if weight is None:
+            raise ValueError("balance_classes needs a weight column")
+        known["weightCol"] = weight
+    given = {k for k, v in read.items() if v is not None and v is not False}
+    other = sorted(given - set(names) - {"col_sample_rate", "balance_classes"} - set(leave))
+    if other:
+        raise ValueError(f"no counterpart for {', '.join(other)}")
     for whole in ("maxDepth", "maxIter", "minInstancesPerNode", "maxBins"):
         if whole in known:
             known[whole] = int(known[whole])

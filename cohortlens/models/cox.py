@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -10,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlens.session import join_small, materialise
+from cohortlens.evaluation.running import running_totals
+from cohortlens.session import materialise
 
 
 @dataclass
@@ -23,19 +25,21 @@ class CoxModel:
     coefficients: dict[object, np.ndarray]
     loglik: dict[object, float]
     iterations: int
+    converged: dict[object, bool]
     baseline: DataFrame
 
     def table(self) -> DataFrame:
-        """(group, feature, coefficient) rows; a column without variation has a null coefficient."""
+        """(group, feature, coefficient, converged) rows; a column without variation has a null coefficient."""
         spark = self.baseline.sparkSession
         kind = self.baseline.schema[self.group].dataType
         schema = T.StructType([
             T.StructField(self.group, kind),
             T.StructField("feature", T.StringType()),
             T.StructField("coefficient", T.DoubleType()),
+            T.StructField("converged", T.BooleanType()),
         ])
         rows = [
-            (g, f, None if np.isnan(b) else float(b))
+            (g, f, None if np.isnan(b) else float(b), self.converged[g])
             for g, beta in self.coefficients.items()
             for f, b in zip(self.features, beta)
         ]
@@ -109,7 +113,8 @@ def fit_cox(
     """Newton steps with halving, all back-tests in the same pass.
 
     ``train`` is keyed by ``group`` (see ``backtest_rows``). One Spark job per
-    step, however many back-tests; the 12 x 12 solves run on the driver.
+    step, however many back-tests; the 12 x 12 solves run on the driver. A back-test
+    that is still open after ``max_iterations`` is marked and warned about.
     """
     features = list(features)
     p = len(features)
@@ -171,6 +176,8 @@ def fit_cox(
             direction[g] = np.linalg.pinv(info, rcond=1e-10, hermitian=True) @ np.array(row["grad"])
             direction[g][fixed[g]] = 0.0
             trial[g] = best[g][1] + direction[g]
+    if open_groups:
+        warnings.warn(f"not converged after {max_iterations} steps: {sorted(map(str, open_groups))}", stacklevel=2)
     scaled = {g: b for g, (_, b) in best.items()}
     hazard = (
         rows.withColumn("_w", F.exp(_linear([F.col(f"_x{i}") for i in range(p)], group, scaled)))
@@ -182,6 +189,7 @@ def fit_cox(
     coefficients = {g: np.where(fixed[g], np.nan, b / scale) for g, b in scaled.items()}
     return CoxModel(
         features, group, means, coefficients, {g: best[g][0] for g in groups}, iterations,
+        {g: g not in open_groups for g in groups},
         materialise(hazard, "hazard"),
     )
 
@@ -191,21 +199,27 @@ def predict_expected(
 ) -> DataFrame:
     """Add ``predict`` (expected events in the row's interval) and ``event_prob`` = 1 - exp(-predict).
 
-    The hazard steps of a back-test (one per event time) ride along as one array.
+    The cumulative hazard is made once for every (back-test, time) at which an
+    interval starts or ends, and is met by equality on both ends.
     """
     g = model.group
-    steps = model.baseline.groupBy(g).agg(
-        F.collect_list(F.struct("time", "hazard")).alias("_steps")
+    rows = df.filter(F.col(g).isin(list(model.coefficients)))
+    times = rows.select(g, F.explode(F.array(F.col(tstart).cast("double"), F.col(tstop).cast("double"))).alias("time")).filter("time is not null").distinct()
+    steps = (
+        times.withColumn("hazard", F.lit(0.0))
+        .unionByName(model.baseline.select(g, F.col("time").cast("double"), "hazard"))
+        .groupBy(g, "time")
+        .agg(F.sum("hazard").alias("hazard"))
     )
+    reached = running_totals(steps, [g], "time", ["hazard"], descending=False).select(g, "time", "cum_hazard")
     x = [F.col(f).cast("double") - F.lit(float(m)) for f, m in zip(model.features, model.means)]
-    inside = F.filter(
-        F.col("_steps"), lambda s: (s["time"] > F.col(tstart)) & (s["time"] <= F.col(tstop))
-    )
-    total = F.aggregate(inside, F.lit(0.0), lambda acc, s: acc + s["hazard"])
+    for end, name in ((tstart, "_before"), (tstop, "_after")):
+        at = reached.select(g, F.col("time").alias(f"{name}_t"), F.col("cum_hazard").alias(name))
+        rows = rows.withColumn(f"{name}_t", F.col(end).cast("double")).join(at, [g, f"{name}_t"], "left").drop(f"{name}_t")
+    total = F.greatest(F.col("_after") - F.col("_before"), F.lit(0.0))
     return (
-        join_small(df.filter(F.col(g).isin(list(model.coefficients))), steps, [g], "left", limit=10_000)
-        .withColumn("risk", F.exp(_linear(x, g, model.coefficients)))
-        .withColumn("predict", F.col("risk") * F.coalesce(total, F.lit(0.0)))
+        rows.withColumn("risk", F.exp(_linear(x, g, model.coefficients)))
+        .withColumn("predict", F.col("risk") * F.when(F.col("_after").isNull() | F.col("_before").isNull(), 0.0).otherwise(total))
         .withColumn("event_prob", 1 - F.exp(-F.col("predict")))
-        .drop("_steps")
+        .select(*df.columns, "risk", "predict", "event_prob")
     )

@@ -276,10 +276,10 @@ def importance_summary(spark, sf):
     UNION ALL SELECT CAST(tp AS DOUBLE) / NULLIF(p, 0), 1 - (1 - CAST(fp AS DOUBLE) / NULLIF(n, 0)),
       'Cox-' || substr(CAST(pred_dt AS VARCHAR), 3, 5) FROM curve
     UNION ALL SELECT CAST(tp AS DOUBLE) / NULLIF(p, 0), CAST(fp AS DOUBLE) / NULLIF(n, 0),
-      CASE WHEN month(pred_dt) = 1 THEN 'ANN-2' ELSE 'GBM-46' END FROM curve)
+      CASE WHEN month(pred_dt) = 1 THEN 'ANN-1' ELSE 'GBM-46' END FROM curve)
   SELECT ROUND(tpr, 6) AS tpr, ROUND(fpr, 6) AS fpr, model_name,
-    CASE WHEN substr(model_name, 1, 3) = 'PUL' THEN model_name ELSE 'Other contender models' END AS "group",
-    CASE WHEN substr(model_name, 1, 3) = 'PUL' THEN 'champion' ELSE 'contender' END AS linetype_group FROM fam""")
+    model_name LIKE 'PUL%' AS is_champion, CASE WHEN model_name LIKE 'PUL%' THEN model_name ELSE 'others' END AS shown_as
+  FROM fam""")
 def stacked_roc(spark, sf):
     curve = _scored_curve(spark, sf)
     points = curve.select(
@@ -291,8 +291,7 @@ def stacked_roc(spark, sf):
     ids = F.when(F.month("test_dt") == 1, "DeepLearning_grid_2_model_1").otherwise("GBM_grid_1_model_46")
     named = points.withColumn("model_id", ids).withColumn(
         "model_name",
-        metrics.contender_name("model_id", "GBM|Deep|StackedEnsemble", "_41|_22|grid_2|grid_3|_46|_54",
-                               {("Deep", "grid_2"): "ANN-2", ("Deep", "grid_3"): "ANN-3"}, ["StackedEnsemble"]),
+        metrics.contender_name("model_id", "^[A-Za-z]+", "_[0-9]+$", {("DeepLearning", "_1"): "ANN-1"}, ["StackedEnsemble"]),
     )
     return _round(metrics.stacked_roc({"PUL": points, "Cox": cox, "board": named}, "PUL"), "tpr", "fpr")
 

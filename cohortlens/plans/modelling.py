@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
 from cohortlens.causal import scm
 from cohortlens.evaluation import curves, metrics
 from cohortlens.models import board, cox, importance, pu
 from cohortlens.operators import assemble, labels
-from cohortlens.operators.grid import Grid
 from cohortlens.plans import bindings as b
 from cohortlens.plans import outcomes as out
 from cohortlens.plans.registry import query
@@ -19,7 +16,6 @@ from cohortlens.session import materialise
 
 COX_COVARIATES = ["days_a", "days_n", "days_r", "score"]
 PU_COVARIATES = ["days_a", "days_n", "days_r", "score"]
-PU_TESTS = Grid(dt.date(1999, 1, 1), dt.date(2000, 1, 1), 6)
 
 
 def survival_rows(spark, sf):
@@ -52,7 +48,7 @@ def cox_backtest(spark, sf):
         cox.predict_expected(model, test).select("test_dt", "tstart", "tstop", "label", "predict"), "cox"
     )
     keys = ["test_dt"]
-    sweep = curves.threshold_sweep(scored, "predict", "label", 0.0005, keys)
+    sweep = curves.threshold_runs(scored, "predict", "label", 0.0005, keys)
     best_j = curves.best_threshold(sweep, keys=keys).withColumnRenamed("threshold", "_t")
     hard = curves.binarise(curves.attach_by_key(scored, best_j, keys), "predict", "_t", name="hard")
     cells = metrics.confusion(hard, "label", "hard", keys)
@@ -76,7 +72,7 @@ def model_board(spark, sf):
     """Contender models on balanced training rows, ranked on the validation year."""
     parts, features = _model_frames(spark, sf)
     train = materialise(board.class_weights(parts["train"], "label"), "train")
-    estimators = board.contenders(features, "label", trees=10)
+    estimators = board.contenders(features, "label")
     models = {n: board.pipeline(features, e).fit(train) for n, e in estimators.items()}
     frames = {"val": parts["calibration"], "test": parts["test"]}
     return board.leaderboard(models, frames, ["ent", "pred_dt"], "label")
@@ -85,11 +81,8 @@ def model_board(spark, sf):
 @query("stacked_ensemble")
 def stacked_ensemble(spark, sf):
     parts, features = _model_frames(spark, sf)
-    bases = {
-        "lr": LogisticRegression(labelCol="label", maxIter=20),
-        "rf": RandomForestClassifier(labelCol="label", numTrees=10, seed=7),
-    }
-    stack = board.fit_stack(parts["train"], features, "label", bases, "ent", folds=2)
+    bases = board.contenders(features, "label", weight=None)
+    stack = board.fit_stack(materialise(parts["train"], "train"), features, "label", bases, "ent")
     return stack.score(parts["test"], ["ent", "pred_dt"], "label")
 
 
@@ -119,9 +112,9 @@ def model_importance(spark, sf):
 
 @query("logistic")
 def logistic(spark, sf):
-    """Binomial model on three quarters of the survey cohort, probabilities of the rest."""
-    cohort = out.survey_table(spark, sf).filter(F.col("answer") != 0)
-    train, test = assemble.hash_split(materialise(cohort, "survey"), "ent")
+    """Binomial model on the answered rows of three quarters of the survey cohort, probabilities of all the rest."""
+    train, test = assemble.hash_split(materialise(out.survey_table(spark, sf), "survey"), "ent")
+    train = train.filter(F.col("answer") != 0)
     formula = "depressive_disorder ~ answer + race + gender + language + excused + unexcused + total_courses + a_grades"
     model = board.logistic(train, formula, unseen="keep")
     return board.score(model, test, ["ent"], "depressive_disorder", "prob")
@@ -138,7 +131,7 @@ def pu_backtest(spark, sf):
     rows = pu.fourier_features(_pu_rows(spark, sf), PU_COVARIATES, dimension=64)
     projected = materialise(rows, "projected")
     scored = None
-    for day, train, test in assemble.backtest_splits(projected, PU_TESTS):
+    for day, train, test in assemble.backtest_splits(projected, out.BACKTESTS):
         model = pu.fit_pu(train, PU_COVARIATES, "label", "key")
         part = model.transform(test).select(F.lit(day).cast("date").alias("test_dt"), "ent", "label", "pu_score")
         scored = part if scored is None else scored.unionByName(part)
@@ -165,7 +158,7 @@ def permutation_importance(spark, sf):
     rows = _pu_rows(spark, sf).select("ent", "pred_dt", "key", "label", *PU_COVARIATES)
     model = pu.fit_pu(rows, PU_COVARIATES, "label", "key", gamma=None)
     scored = importance.permutation_importance(
-        model.transform, rows, ["ent", "pred_dt"], PU_COVARIATES, "label", "pu_score", repeats=3
+        model.transform, rows, ["ent", "pred_dt"], PU_COVARIATES, "label", "pu_score"
     )
     return (
         scored.groupBy("feature")

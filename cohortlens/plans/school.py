@@ -134,7 +134,12 @@ def household(rows: DataFrame, raw: DataFrame, grid: Grid = SEMESTERS, gender: s
 
     def by(key: str, other: str) -> DataFrame:
         part = rows.filter(F.col("student_id").isNotNull() if key == "student_id" else F.col("student_id").isNull())
-        known = snapshots.filter(F.col(key).isNotNull()).drop(other)
+        # members under all ids of the other kind count together: one snapshot per key and date
+        known = (
+            snapshots.filter(F.col(key).isNotNull())
+            .groupBy(key, "start_dt")
+            .agg(*[F.sum(c).alias(c) for c in relations])
+        )
         return asof.latest_snapshot(part.filter(F.col(key).isNotNull()), known, grid, [key]).withColumn(
             other, F.lit(None).cast("bigint")
         )
@@ -154,7 +159,10 @@ def outcome(
     labelled = labels.forward_label(found, horizon=horizon, label=LABEL, prior="depression_dx_prior_to_pred_dt", unresolved=unresolved)
     if unresolved or not censor:
         return labelled
-    return labels.censor_after_last_positive(labelled, ["student_id", "person_id"], LABEL)
+    # a student keeps one censoring date under all person ids; those without student id go by person
+    known = labels.censor_after_last_positive(labelled.filter("student_id is not null"), ["student_id"], LABEL)
+    others = labels.censor_after_last_positive(labelled.filter("student_id is null"), ["person_id"], LABEL)
+    return known.unionByName(others)
 
 
 def _first_by_either_key(rows: DataFrame, first: DataFrame) -> DataFrame:

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -68,21 +66,3 @@ def drop_materialised(spark: SparkSession) -> int:
         folder = hadoop.Path(path)
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
     return len(paths)
-
-
-# rows a table may have to be sent to every task; at some tens of bytes a row, a few MB
-SMALL_ROWS = 200_000
-
-
-def join_small(
-    df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "inner", limit: int = SMALL_ROWS
-) -> DataFrame:
-    """Join with a derived table that is expected to be small, after counting it.
-
-    Spark estimates an aggregate by the size of its input and would shuffle the
-    big side on what may be a handful of keys. The table is written, counted from
-    its file footers, and sent along only up to ``limit`` rows; beyond that the
-    join is an ordinary shuffled one, where Spark splits hot keys at run time.
-    """
-    written = materialise(table, "small")
-    return df.join(F.broadcast(written) if written.count() <= limit else written, list(on), how)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,25 +34,55 @@ SCHEMAS = {
 }
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], schema: str) -> DataFrame:
+def _headers(spark: SparkSession, paths: Sequence[str]) -> list[tuple[list[str], list[str]]]:
+    """(columns, files) for each header that occurs, from the first line of each file."""
+    firsts = (
+        spark.read.text(list(paths), wholetext=False)
+        .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+        .withColumn("row", F.monotonically_increasing_id())
+        .filter("at = 0")
+        .groupBy("file")
+        .agg(F.min_by("value", "row").alias("header"))
+        .groupBy("header")
+        .agg(F.sort_array(F.collect_list("file")).alias("files"))
+        .orderBy("header")
+        .collect()  # a row for each distinct header
+    )
+    return [(spark.read.csv(r["files"][:1], header=True, inferSchema=False).columns, r["files"]) for r in firsts]
+
+
+def read_csv(
+    spark: SparkSession, path: str | Sequence[str], schema: str, mixed: bool = False, rejects: bool = False
+) -> DataFrame:
     """CSV with a header, columns taken by name into a fixed schema; no inference pass.
 
-    ``schema`` is a name in ``SCHEMAS`` or a DDL string. Columns the file has
-    beyond the schema are not read; ones it lacks are null.
+    ``schema`` is a name in ``SCHEMAS`` or a DDL string. Columns a file has beyond
+    the schema are not read; ones it lacks are null, and so are values of another
+    type; with ``rejects`` the column ``n_rejected`` counts those in each row. All
+    files must have the header of the first, which is checked as they are read;
+    with ``mixed`` they may differ, and a pass over the lines finds who has which.
     """
     ddl = SCHEMAS.get(schema, schema)
     paths = [path] if isinstance(path, str) else list(path)
     wanted = spark.createDataFrame([], ddl).schema
-    # the header row only: names, every column text
-    found = spark.read.csv(paths, header=True, inferSchema=False).columns
-    read = ", ".join(f"`{c}` string" for c in found)
-    raw = spark.read.csv(paths, header=True, schema=read)
-    return raw.select(
-        *[
-            (F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in found else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in wanted.fields
-        ]
-    )
+    if mixed:
+        groups = _headers(spark, paths)
+    else:
+        groups = [(spark.read.csv(paths, header=True, inferSchema=False).columns, paths)]
+    parts = []
+    for found, files in groups:
+        read = ", ".join(f"`{c}` string" for c in found)
+        raw = spark.read.csv(files, header=True, schema=read, enforceSchema=False)
+        columns, failed = [], F.lit(0)
+        for f in wanted.fields:
+            if f.name not in found:
+                columns.append(F.lit(None).cast(f.dataType).alias(f.name))
+                continue
+            text = F.col(f"`{f.name}`")
+            columns.append(text.try_cast(f.dataType).alias(f.name))
+            failed = failed + (text.isNotNull() & text.try_cast(f.dataType).isNull()).cast("int")
+        parts.append(raw.select(*columns, *([failed.alias("n_rejected")] if rejects else [])))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:

@@ -104,6 +104,37 @@ def test_hash_index_is_dense_and_stable(spark):
     assert one == two and sorted(one.values()) == list(range(997))
 
 
+def test_runs_cover_a_wide_range(spark):
+    """Scores up to 3e6 at a step of 0.0005: six billion thresholds, as many rows as scores at most."""
+    pairs = [(0.0, 0), (0.0004, 1), (0.25, 0), (1234.5678, 1), (2_999_999.9, 0), (3e6, 1)]
+    step = 0.0005
+    got = curves.threshold_runs(scores(spark, pairs), "score", "label", step).orderBy("threshold").collect()
+    assert len(got) <= len(pairs) and got[0].threshold == 0.0
+    for r, after in zip(got, [*got[1:], None]):
+        for t in (r.threshold, (r.threshold + r.until) / 2, r.until):
+            assert r.tp == sum(y == 1 and s >= t - 1e-9 for s, y in pairs)
+            assert r.fp == sum(y == 0 and s >= t - 1e-9 for s, y in pairs)
+        assert after is None or after.threshold == pytest.approx(r.until + step, abs=1e-6)
+
+
+def test_runs_are_the_sweep(spark):
+    pairs = [(((i * 37) % 101) / 17, (i * 13) % 3 % 2) for i in range(90)]
+    df = scores(spark, pairs)
+    sweep = curves.threshold_sweep(df, "score", "label", 0.01)
+    runs = curves.threshold_runs(df, "score", "label", 0.01).collect()
+    for r in sweep.collect():
+        (run,) = [x for x in runs if x.threshold - 1e-9 <= r.threshold <= x.until + 1e-9]
+        assert (r.tp, r.fp) == (run.tp, run.fp)
+    best = curves.best_threshold(sweep).first()
+    assert curves.best_threshold(curves.threshold_runs(df, "score", "label", 0.01)).first() == best
+
+
+def test_grid_in_two_levels(spark, monkeypatch):
+    monkeypatch.setattr(curves, "_BLOCK", 7)
+    df = scores(spark, [(0.0, 0), (0.3, 1), (1.0, 1)])
+    assert curves.threshold_sweep(df, "score", "label", 0.01).count() == 101
+
+
 def test_sweep_against_brute_force(spark):
     pairs = random_pairs(400, 321, 3)
     lo, hi = min(s for s, _ in pairs), max(s for s, _ in pairs)
@@ -216,9 +247,8 @@ def test_first_detection_and_history(spark):
 
 def test_report_names(spark):
     df = spark.createDataFrame([("DeepLearning_grid_2_model_3",), ("GBM_grid_1_model_46",), ("StackedEnsemble_All_54",)], "m string")
-    name = metrics.contender_name("m", "GBM|Deep|StackedEnsemble", "_41|_22|grid_2|grid_3|_46|_54",
-                                  {("Deep", "grid_2"): "ANN-2"}, ["StackedEnsemble"])
-    assert [r[0] for r in df.select(name).collect()] == ["ANN-2", "GBM-46", "StackedEnsemble"]
+    name = metrics.contender_name("m", "^[A-Za-z]+", "_[0-9]+$", {("DeepLearning", "_3"): "ANN-3"}, ["StackedEnsemble"])
+    assert [r[0] for r in df.select(name).collect()] == ["ANN-3", "GBM-46", "StackedEnsemble"]
     ids = spark.createDataFrame([("AutoML_4_20231025_104540",)], "p string")
     assert ids.select(metrics.experiment_id("p")).first()[0] == "20231025_104540"
     test = spark.createDataFrame([(day("2015-07-01"),)], "test_dt date")

@@ -150,7 +150,10 @@ def test_permutation_importance_ranks_the_useful_feature(spark):
 
 def test_boosting_calibration_and_persistence(spark, tmp_path):
     df = clusters(spark)
-    gbt = board.gbt_from_params({"ntrees": 3, "max_depth": {"actual": 2}, "col_sample_rate": 0.5, "huber_alpha": 0.9}, "truth")
+    gbt = board.gbt_from_params({"ntrees": 3, "max_depth": {"actual": 2}, "col_sample_rate": 0.5, "huber_alpha": None}, "truth")
+    with pytest.raises(ValueError, match="huber_alpha"):
+        board.gbt_from_params({"ntrees": 3, "huber_alpha": 0.9}, "truth")
+    assert board.gbt_from_params({"huber_alpha": 0.9, "balance_classes": True}, "truth", leave=["huber_alpha"], weight="w").getWeightCol() == "w"
     assert (gbt.getMaxIter(), gbt.getMaxDepth()) == (3, 2)
     model = board.pipeline(["a", "b"], gbt).fit(df)
     scored = board.score(model, df, ["id"], "truth")

@@ -190,3 +190,29 @@ def test_survey(spark, raw):
     r = {x.student_id: x for x in got.collect()}
     assert (r[1].depressive_disorder, r[1].F, r[1].excused, r[1].unexcused, r[1].total_courses, r[1].A_grades) == (1, 1, 3, 1, 2, 1)
     assert (r[2].race, r[2].gender, r[2].language, r[2].B_grades) == ("4", "M", "other", 1)
+
+
+def test_two_persons_of_one_student(spark, raw):
+    """Censoring and household snapshots go by student, whatever person ids the student is known under."""
+    spine = spark.createDataFrame(
+        [(1, 101, day("2018-07-01")), (1, 101, day("2019-01-01")), (1, 102, day("2019-07-01")), (1, 102, day("2020-01-01"))],
+        "student_id long, person_id long, pred_dt date",
+    )
+    kept = school.outcome(spine, raw["conditions"], raw["condition_class"])
+    assert sorted(r.pred_dt for r in kept.collect()) == [day("2018-07-01"), day("2019-01-01")]
+    more = raw["household"].unionByName(
+        spark.createDataFrame([(1, 199, "Mother", "F", "2017-2018")], raw["household"].schema)
+    )
+    found = school.household(spine.select("student_id", "person_id", "pred_dt").distinct(), more, GRID)
+    dates = [r.pred_dt for r in found.filter("student_id = 1").collect()]
+    assert len(dates) == len(set(dates))
+
+
+def test_csv_files_with_other_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("student_id,person_id,note\n1,101,x\n2,,y\n")
+    (tmp_path / "b.csv").write_text("person_id,student_id\n202,3\nabc,4\n")
+    ddl = "student_id long, person_id long, gone string"
+    got = read_csv(spark, str(tmp_path), ddl, mixed=True, rejects=True)
+    assert rows(got) == [(1, 101, None, 0), (2, None, None, 0), (3, 202, None, 0), (4, None, None, 1)]
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, str(tmp_path), ddl).collect()

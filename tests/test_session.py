@@ -19,23 +19,6 @@ def test_materialised_tables_are_read_back_and_dropped(spark):
     assert session.drop_materialised(spark) == 0
 
 
-def test_small_side_is_counted_before_it_is_sent(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        big = spark.range(1000).withColumn("k", F.col("id") % 10)
-        small = spark.range(10).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-        sent = session.join_small(big, small, ["k"])
-        shuffled = session.join_small(big, small, ["k"], limit=5)
-
-        def plan(df):
-            return df._jdf.queryExecution().executedPlan().toString()
-
-        assert "BroadcastHashJoin" in plan(sent) and "BroadcastHashJoin" not in plan(shuffled)
-        assert rows(sent, "id", "v") == rows(shuffled, "id", "v")
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 class _Cluster:
     """Stands for a session on a cluster without a checkpoint folder, or with one."""
 
