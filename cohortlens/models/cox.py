@@ -62,11 +62,11 @@ def _linear(columns: Sequence[Column], group: str, betas: dict) -> Column:
     return out
 
 
-def _sums(rows: DataFrame, group: str, betas: dict, p: int) -> list:
+def _sums(rows: DataFrame, group: str, betas: dict, p: int) -> DataFrame:
     """Log-likelihood, gradient and information per group, from one pass over the rows.
 
     Rows are first summed per (group, event time) with partial aggregation, then
-    per group; only one row per back-test reaches the driver.
+    per group: one row per back-test.
     """
     x = [F.col(f"_x{i}") for i in range(p)]
     pairs = [(i, j) for i in range(p) for j in range(i, p)]
@@ -88,7 +88,7 @@ def _sums(rows: DataFrame, group: str, betas: dict, p: int) -> list:
             F.sum(d * (F.col(f"s{i}_{j}") / s0 - F.col(f"s{i}") * F.col(f"s{j}") / (s0 * s0)))
             for i, j in pairs
         ]).alias("info"),
-    ).collect()
+    )
 
 
 def at_risk_rows(
@@ -101,6 +101,19 @@ def at_risk_rows(
     )
 
 
+def partial_likelihood(
+    train: DataFrame, features: Sequence[str], event: str, coefficients: dict, group: str = "test_dt", step: int = 6
+) -> DataFrame:
+    """(group, loglik, grad, info) of each back-test at its given coefficients.
+
+    ``grad`` has one value per feature, ``info`` the upper triangle row by row. At
+    the coefficients of a fit the gradient is zero.
+    """
+    x = [F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)]
+    rows = at_risk_rows(train.filter(F.col(group).isin(list(coefficients))), event, step).select(group, "_t", "_e", *x)
+    return _sums(rows, group, coefficients, len(features))
+
+
 def fit_cox(
     train: DataFrame,
     features: Sequence[str],
@@ -112,7 +125,9 @@ def fit_cox(
 ) -> CoxModel:
     """Newton steps with halving, all back-tests in the same pass.
 
-    ``train`` is keyed by ``group`` (see ``backtest_rows``). One Spark job per
+    ``train`` is keyed by ``group`` (see ``backtest_rows``) and read once per step:
+    give it as a plan over a written table, so that what is stored does not grow
+    with the number of back-tests, whose rows are made in memory. One Spark job per
     step, however many back-tests; the 12 x 12 solves run on the driver. A back-test
     that is still open after ``max_iterations`` is marked and warned about.
     """
@@ -132,15 +147,12 @@ def fit_cox(
     squares = np.array([sum(s * (r[f"q{i}"] or 0.0) for s, r in zip(share, moments)) for i in range(p)])
     scale = np.sqrt(np.maximum(squares - means**2, 0.0))
     scale[scale < 1e-9 * (1.0 + np.abs(means))] = 1.0
-    rows = materialise(
-        at_risk_rows(train, event, step).select(
-            group, "_t", "_e",
-            *[
-                ((F.col(f).cast("double") - F.lit(float(means[i]))) / F.lit(float(scale[i]))).alias(f"_x{i}")
-                for i, f in enumerate(features)
-            ],
-        ),
-        "risk",
+    rows = at_risk_rows(train, event, step).select(
+        group, "_t", "_e",
+        *[
+            ((F.col(f).cast("double") - F.lit(float(means[i]))) / F.lit(float(scale[i]))).alias(f"_x{i}")
+            for i, f in enumerate(features)
+        ],
     )
     best = {g: (-np.inf, np.zeros(p)) for g in groups}
     trial = {g: np.zeros(p) for g in groups}
@@ -151,7 +163,7 @@ def fit_cox(
     while open_groups and iterations < max_iterations:
         iterations += 1
         active = rows if len(open_groups) == len(groups) else rows.filter(F.col(group).isin(list(open_groups)))
-        answers = {r[group]: r for r in _sums(active, group, {g: trial[g] for g in open_groups}, p)}
+        answers = {r[group]: r for r in _sums(active, group, {g: trial[g] for g in open_groups}, p).collect()}
         for g in list(open_groups):
             row = answers.get(g)
             if row is None:  # no event in this back-test's past

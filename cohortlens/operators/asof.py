@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions import dates
 from cohortlens.operators.grid import Grid
-from cohortlens.operators.windows import spine_keys
+from cohortlens.operators.windows import on_spine, spine_keys
 
 
 def ever_before_flags(
@@ -45,7 +45,7 @@ def ever_before_flags(
 
 
 def school_year_flags(
-    spine: DataFrame,
+    spine: DataFrame | None,
     status: DataFrame,
     keys: Sequence[str],
     flags: Mapping[str, Column],
@@ -61,11 +61,11 @@ def school_year_flags(
         .groupBy(*keys, pred)
         .agg(*[F.max(F.when(test, 1).otherwise(0)).alias(name) for name, test in flags.items()])
     )
-    return dated.join(spine_keys(spine, keys, pred), [*keys, pred])
+    return on_spine(dated, spine, keys, pred)
 
 
 def current_and_ever(
-    spine: DataFrame,
+    spine: DataFrame | None,
     status: DataFrame,
     keys: Sequence[str],
     test: Column,
@@ -87,9 +87,7 @@ def current_and_ever(
     )
     # one row per entity and status date by now, so "earlier rows" are "earlier dates"
     earlier = Window.partitionBy(*keys).orderBy(pred).rowsBetween(Window.unboundedPreceding, -1)
-    return dated.withColumn(ever, F.max(current).over(earlier)).join(
-        spine_keys(spine, keys, pred), [*keys, pred]
-    )
+    return on_spine(dated.withColumn(ever, F.max(current).over(earlier)), spine, keys, pred)
 
 
 def snapshot_counts(
@@ -105,7 +103,7 @@ def snapshot_counts(
 
 
 def latest_snapshot(
-    spine: DataFrame,
+    spine: DataFrame | None,
     snapshots: DataFrame,
     grid: Grid,
     keys: Sequence[str],
@@ -126,5 +124,5 @@ def latest_snapshot(
         .withColumn("_until", F.lead(date).over(Window.partitionBy(*keys).orderBy(date)))
     )
     valid = grid.valid_after(spans, date, "_until", pred).drop("_until")
-    chosen = spine.select(*keys, pred).distinct().join(valid, [*keys, pred])
+    chosen = on_spine(valid, spine, keys, pred).select(*keys, pred, date)
     return chosen.join(snapshots, [*keys, date])

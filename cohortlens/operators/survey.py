@@ -55,10 +55,11 @@ def respondent_demographics(
 
 
 def status_in_year(
-    status: DataFrame, key: str, in_year: Column, values: Sequence[str] = ("F", "R", "S"), column: str = "eligibility"
+    status: DataFrame, key: str, in_year: Column, values: Sequence[str] = ("F", "R", "S"), column: str = "eligibility",
+    other: str | None = None,
 ) -> DataFrame:
     """0/1 per status value an entity holds in the year."""
-    return pivot_presence(status.filter(in_year), [key], column, values)
+    return pivot_presence(status.filter(in_year), [key], column, values, other=other)
 
 
 def absences_in_year(
@@ -70,19 +71,21 @@ def absences_in_year(
         & F.col(status).isin(fixed.ATTENDANCE_STATUSES["absence"])
         & F.col(excuse).isin(fixed.EXCUSED + fixed.UNEXCUSED)
     ).withColumn("absence_type", F.when(F.col(excuse).isin(fixed.UNEXCUSED), "unexcused").otherwise("excused"))
-    return pivot_counts(rows, [key], "absence_type", ["excused", "unexcused"])
+    return pivot_counts(rows, [key], "absence_type", ["excused", "unexcused"], other=None)
 
 
 def grade_summary(
     grades: DataFrame, key: str, in_scope: Column, score: str = "score",
     families: Mapping[str, Sequence[str]] | None = None,
     ungraded: Sequence[str] = tuple(fixed.SURVEY_UNGRADED),
+    other: str | None = "other_grades",
 ) -> DataFrame:
-    """Courses in scope per entity, and graded courses per family.
+    """Courses in scope per entity, and graded courses per family, those of no family in ``other``.
 
     The course total counts every row in scope; entities without a graded one are absent.
     """
     families = families or fixed.SURVEY_GRADE_FAMILIES
+    listed = [v for family in families.values() for v in family]
     graded = F.col(score).isNotNull() & ~F.col(score).isin(list(ungraded))
     return (
         grades.filter(in_scope)
@@ -91,6 +94,7 @@ def grade_summary(
             F.count("*").alias("total_courses"),
             F.count_if(graded).alias("_graded"),
             *[F.count_if(graded & F.col(score).isin(list(v))).alias(n) for n, v in families.items()],
+            *([F.count_if(graded & ~F.col(score).isin(listed)).alias(other)] if other else []),
         )
         .filter(F.col("_graded") > 0)
         .drop("_graded")

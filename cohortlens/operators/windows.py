@@ -23,6 +23,11 @@ def spine_keys(spine: DataFrame, keys: Sequence[str], pred: str = "pred_dt") ->
     return spine.select(*keys, pred).distinct()
 
 
+def on_spine(df: DataFrame, spine: DataFrame | None, keys: Sequence[str], pred: str = "pred_dt") -> DataFrame:
+    """The rows whose (entity, prediction date) is on the spine; all rows without one, for tables that meet it later."""
+    return df if spine is None else df.join(spine_keys(spine, keys, pred), [*keys, pred])
+
+
 def _day_counts(events, keys, date, category, categories, grid, length, pred):
     """Distinct event days per (entity, prediction date), one column per category."""
     known = F.col(category).isin(list(categories))
@@ -35,7 +40,7 @@ def _day_counts(events, keys, date, category, categories, grid, length, pred):
 
 
 def window_distinct_days(
-    spine: DataFrame,
+    spine: DataFrame | None,
     events: DataFrame,
     grid: Grid,
     keys: Sequence[str],
@@ -47,9 +52,12 @@ def window_distinct_days(
 ) -> DataFrame:
     """Distinct event days per category in ``[pred - length, pred]``.
 
-    Every spine key stays; keys without events get zeros.
+    Every spine key stays; keys without events get zeros. Without a spine only
+    keys with events appear, to be joined and filled by ``assemble``.
     """
     counts = _day_counts(events, keys, date, category, categories, grid, length, pred)
+    if spine is None:
+        return counts
     return (
         spine_keys(spine, keys, pred)
         .join(counts, [*keys, pred], "left")
@@ -136,7 +144,7 @@ def lag_names(columns: Sequence[str], old: str, new: Sequence[str]) -> dict[str,
 
 
 def window_flags(
-    spine: DataFrame,
+    spine: DataFrame | None,
     events: DataFrame,
     grid: Grid,
     keys: Sequence[str],
@@ -151,11 +159,11 @@ def window_flags(
         .groupBy(*keys, pred)
         .agg(*[F.max(f).alias(f) for f in flags])
     )
-    return seen.join(spine_keys(spine, keys, pred), [*keys, pred])
+    return on_spine(seen, spine, keys, pred)
 
 
 def window_category_counts(
-    spine: DataFrame,
+    spine: DataFrame | None,
     events: DataFrame,
     grid: Grid,
     keys: Sequence[str],
@@ -176,11 +184,11 @@ def window_category_counts(
             for c in categories
         ])
     )
-    return counts.join(spine_keys(spine, keys, pred), [*keys, pred])
+    return on_spine(counts, spine, keys, pred)
 
 
 def window_shares(
-    spine: DataFrame,
+    spine: DataFrame | None,
     rows: DataFrame,
     grid: Grid,
     keys: Sequence[str],
@@ -206,7 +214,7 @@ def window_shares(
             for value, name in buckets.items()
         ]
     )
-    return shares.join(spine_keys(spine, keys, pred), [*keys, pred])
+    return on_spine(shares, spine, keys, pred)
 
 
 def share_of_total(

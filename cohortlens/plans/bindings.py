@@ -174,12 +174,12 @@ def labelled(
 
 def scored_spine(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled spine rows with a fixed score: share of A days among event days."""
-    counts = day_counts(spark, sf)
+    names = {c: f"days_{c.lower()}" for c in CODES}
+    counts = windows.window_distinct_days(None, items(spark, sf), GRID, ENT, CODES).withColumnsRenamed(names)
+    rows = labelled(spark, sf).select("ent", "pred_dt", "label").join(counts, ["ent", "pred_dt"], "left")
     total = F.col("days_a") + F.col("days_n") + F.col("days_r")
     score = F.coalesce(F.try_divide(F.col("days_a"), total), F.lit(0.0))
-    return labelled(spark, sf).select("ent", "pred_dt", "label").join(
-        counts.select("ent", "pred_dt", "days_a", "days_n", "days_r", score.alias("score")), ["ent", "pred_dt"]
-    )
+    return rows.fillna(0, subset=list(names.values())).withColumn("score", score)
 
 
 def scored_documents(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Queries: model jobs and what-ifs. Results of iterative fits have no SQL meaning."""
+"""Queries: model jobs and what-ifs. Fits whose answer is known beforehand are in ``checks``, with their SQL."""
 
 from __future__ import annotations
 
@@ -14,18 +14,21 @@ from cohortlens.plans import outcomes as out
 from cohortlens.plans.registry import query
 from cohortlens.session import materialise
 
-COX_COVARIATES = ["days_a", "days_n", "days_r", "score"]
-PU_COVARIATES = ["days_a", "days_n", "days_r", "score"]
+#: The counterparts of the source's twelve covariates in the main table.
+COVARIATES = [
+    "days_a", "days_n", "days_r", "urgent", "high", "low", "closed", "open", "urgent_in_yr", "n_f", "n_o", "n_p",
+]
 
 
 def survival_rows(spark, sf):
-    return labels.survival_intervals(b.scored_spine(spark, sf), b.ENT).drop("stop_dt")
+    rows = out.main_table(spark, sf).select("ent", "pred_dt", "label", *COVARIATES)
+    return labels.survival_intervals(rows, b.ENT).drop("stop_dt")
 
 
 def _cox(spark, sf):
     rows = materialise(survival_rows(spark, sf), "survival")
     train, test = assemble.backtest_rows(rows, out.BACKTESTS)
-    return cox.fit_cox(train, COX_COVARIATES, "label"), test
+    return cox.fit_cox(train, COVARIATES, "label"), test
 
 
 @query("cox_fit")
@@ -121,18 +124,18 @@ def logistic(spark, sf):
 
 
 def _pu_rows(spark, sf):
-    rows = b.scored_spine(spark, sf).withColumn("key", F.concat_ws("/", "ent", "pred_dt"))
-    return materialise(rows, "pu")
+    rows = out.main_table(spark, sf).select("ent", "pred_dt", "label", *COVARIATES)
+    return materialise(rows.withColumn("key", F.concat_ws("/", "ent", "pred_dt")), "pu")
 
 
 @query("pu_backtest")
 def pu_backtest(spark, sf):
     """One PU model per test date; all dates are evaluated together."""
-    rows = pu.fourier_features(_pu_rows(spark, sf), PU_COVARIATES, dimension=64)
+    rows = pu.fourier_features(_pu_rows(spark, sf), COVARIATES, dimension=64)
     projected = materialise(rows, "projected")
     scored = None
     for day, train, test in assemble.backtest_splits(projected, out.BACKTESTS):
-        model = pu.fit_pu(train, PU_COVARIATES, "label", "key")
+        model = pu.fit_pu(train, COVARIATES, "label", "key")
         part = model.transform(test).select(F.lit(day).cast("date").alias("test_dt"), "ent", "label", "pu_score")
         scored = part if scored is None else scored.unionByName(part)
     return metrics.best_f1_board(materialise(scored, "scored"), "pu_score", "label", ["test_dt"])
@@ -155,10 +158,10 @@ def pu_embeddings(spark, sf):
 
 @query("permutation_importance")
 def permutation_importance(spark, sf):
-    rows = _pu_rows(spark, sf).select("ent", "pred_dt", "key", "label", *PU_COVARIATES)
-    model = pu.fit_pu(rows, PU_COVARIATES, "label", "key", gamma=None)
+    rows = _pu_rows(spark, sf).select("ent", "pred_dt", "key", "label", *COVARIATES)
+    model = pu.fit_pu(rows, COVARIATES, "label", "key", gamma=None)
     scored = importance.permutation_importance(
-        model.transform, rows, ["ent", "pred_dt"], PU_COVARIATES, "label", "pu_score"
+        model.transform, rows, ["ent", "pred_dt"], COVARIATES, "label", "pu_score"
     )
     return (
         scored.groupBy("feature")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -15,7 +14,7 @@ from cohortlens.plans import bindings as b
 from cohortlens.plans import features as feats
 from cohortlens.plans import sql as q
 from cohortlens.plans.registry import query
-from cohortlens.session import checkpoint_root, materialise
+from cohortlens.session import materialise, scratch_path
 from cohortlens.sources import tables
 
 BACKTESTS = Grid(dt.date(1998, 1, 1), dt.date(2000, 7, 1), 6)
@@ -144,8 +143,9 @@ MAIN_COLUMNS = [
 def main_table(spark, sf):
     """All feature families on the spine, shares required, degenerate tenure dropped.
 
-    The spine feeds seven families and the order lines two, so both are written
-    once; the lines are the big side and would otherwise be joined twice.
+    Families that need no spine row of their own stay aggregates and meet the
+    spine in the one join of ``assemble``; the label is made on the spine itself. The
+    order lines feed two families and are the big side, so they are written once.
     """
     rows = materialise(b.spine(spark, sf), "spine")
     lines = materialise(
@@ -156,17 +156,18 @@ def main_table(spark, sf):
     flags = {"closed": F.col("status").isin("F", "P"), "open": F.col("status") == "O"}
     status = b.yearly_status(spark, sf)
     tables_ = [
-        b.day_counts(spark, sf, rows, lines),
+        windows.window_distinct_days(None, lines, b.GRID, b.ENT, b.CODES).withColumnsRenamed(
+            {c: f"days_{c.lower()}" for c in b.CODES}
+        ),
         asof.ever_before_flags(rows, b.incidents(spark, sf), b.ENT, feats.EVER),
-        asof.school_year_flags(rows, status, b.ENT, flags),
+        asof.school_year_flags(None, status, b.ENT, flags),
         asof.current_and_ever(
-            rows, status, b.ENT, F.col("priority") == "1-URGENT", "urgent_in_yr", "urgent_ever"
+            None, status, b.ENT, F.col("priority") == "1-URGENT", "urgent_in_yr", "urgent_ever"
         ),
-        asof.latest_snapshot(rows, snapshots.withColumnsRenamed(names), b.GRID, b.ENT).drop("start_dt"),
-        b.labelled(spark, sf, rows=rows).select("ent", "pred_dt", "label"),
+        asof.latest_snapshot(None, snapshots.withColumnsRenamed(names), b.GRID, b.ENT).drop("start_dt"),
     ]
-    base = rows.select(
-        "ent", "pred_dt", F.round(dates.years_between("enrollment_start", "pred_dt"), 6).alias("tenure")
+    base = b.labelled(spark, sf, rows=rows).select(
+        "ent", "pred_dt", F.round(dates.years_between("enrollment_start", "pred_dt"), 6).alias("tenure"), "label"
     )
     out = assemble.assemble(
         base, tables_, [feats.grade_shares(spark, sf, rows, lines)], keys=b.ENT, nonzero=["tenure"]
@@ -272,11 +273,12 @@ def backtest_counts(spark, sf):
   att AS (SELECT ent, COUNT(*) FILTER (WHERE ls = 'F') AS excused, COUNT(*) FILTER (WHERE ls <> 'F') AS unexcused
     FROM items WHERE year(dt) = 1999 AND code = 'A' GROUP BY ent),
   gr AS (SELECT ent, COUNT(*) AS total_courses, COUNT(*) FILTER (WHERE qty > 40) AS a_grades,
-    COUNT(*) FILTER (WHERE qty > 20 AND qty <= 40) AS b_grades FROM items WHERE year(dt) = 1999 GROUP BY ent
+    COUNT(*) FILTER (WHERE qty > 20 AND qty <= 40) AS b_grades,
+    COUNT(*) FILTER (WHERE NOT qty > 20 AND NOT qty <= 10) AS other_grades FROM items WHERE year(dt) = 1999 GROUP BY ent
     HAVING COUNT(*) FILTER (WHERE qty > 10) > 0)
   SELECT k.*, COALESCE("F", 0) AS "F", COALESCE("O", 0) AS "O", COALESCE(excused, 0) AS excused,
     COALESCE(unexcused, 0) AS unexcused, COALESCE(total_courses, 0) AS total_courses, COALESCE(a_grades, 0) AS a_grades,
-    COALESCE(b_grades, 0) AS b_grades FROM known k LEFT JOIN stat s ON k.ent = s.ent LEFT JOIN att a ON k.ent = a.ent
+    COALESCE(b_grades, 0) AS b_grades, COALESCE(other_grades, 0) AS other_grades FROM known k LEFT JOIN stat s ON k.ent = s.ent LEFT JOIN att a ON k.ent = a.ent
     LEFT JOIN gr g ON k.ent = g.ent""")
 def survey_cohort(spark, sf):
     return survey_table(spark, sf)
@@ -330,7 +332,7 @@ def csv_round_trip(spark, sf):
         F.col("o_orderkey").alias("Order Key"), F.col("ent").alias("Entity"), F.col("status").alias("orderStatus"),
         F.when(F.col("status") == "O", "no date").otherwise(F.date_format("dt", "M/d/yyyy")).alias("Order date"),
     )
-    path = f"{checkpoint_root(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "csv")
     tables.write_table(out, path, "csv")
     schema = "`Order Key` long, Entity long, orderStatus string, `Order date` string"
     back = tables.clean_names(tables.read_csv(spark, path, schema))

@@ -49,12 +49,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     files outlive any executor, and a re-read prunes columns.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.mode("error").parquet(path)
-    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder for files of another kind, dropped with the written tables."""
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 _WRITTEN: dict[str, list[str]] = {}
 
 

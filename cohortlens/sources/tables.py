@@ -85,11 +85,6 @@ def read_csv(
     return reduce(DataFrame.unionByName, parts)
 
 
-def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
-    return df.select(*columns) if columns else df
-
-
 def snake(name: str) -> str:
     """``"How confident?  (Values)"`` -> ``how_confident_values``."""
     name = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", name)
@@ -107,10 +102,6 @@ def clean_names(df: DataFrame) -> DataFrame:
     return df.toDF(*names)
 
 
-def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
-    return df.withColumnsRenamed(dict(names))
-
-
 def suffix_clashes(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Columns both sides have besides the keys get ``_x`` / ``_y``."""
     both = (set(left.columns) & set(right.columns)) - set(keys)
@@ -147,8 +138,3 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Se
 def catalogue(df: DataFrame) -> DataFrame:
     """Column names of a table as a table."""
     return df.sparkSession.createDataFrame([(c,) for c in df.columns], "feature string")
-
-
-def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A short table written in the code."""
-    return spark.createDataFrame(list(rows), schema)

@@ -245,8 +245,8 @@ def test_columns_by_name(spark):
 
 def test_reshape(spark):
     df = spark.createDataFrame([(1, "x"), (1, "x"), (1, "y"), (2, "z")], "ent long, c string")
-    assert rows(reshape.pivot_counts(df, ["ent"], "c", ["x", "y"])) == [(1, 2, 1), (2, 0, 0)]
-    assert rows(reshape.pivot_presence(df, ["ent"], "c", ["x", "y"])) == [(1, 1, 1), (2, 0, 0)]
+    assert rows(reshape.pivot_counts(df, ["ent"], "c", ["x", "y"])) == [(1, 2, 1, 0), (2, 0, 0, 1)]
+    assert rows(reshape.pivot_presence(df, ["ent"], "c", ["x", "y"], other=None)) == [(1, 1, 1), (2, 0, 0)]
     stacked = reshape.stack([df, spark.createDataFrame([(3,)], "ent long")])
     assert stacked.filter("c is null").count() == 1
 
