@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.evaluation.running import running_totals
 from cohortlens.functions.recode import relabel
 
 EDGE = "Edge Coef."  # fixed value: type of the rows that are edges
 
 
 def dag_nodes(edges: DataFrame, old: str | None = None, new: str | None = None) -> DataFrame:
-    """Distinct labels of both ends with an id in label order. A graph has few nodes."""
+    """Distinct labels of both ends with an id in label order, numbered by ranges."""
     labels = edges.select(F.explode(F.array("from", "to")).alias("label"))
     if old:
         labels = labels.withColumn("label", relabel("label", old, new))
-    return labels.distinct().withColumn(
-        "id", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("label")).cast("bigint")
-    )
+    counted = labels.filter("label is not null").distinct().withColumns({"_all": F.lit(0), "_one": F.lit(1)})
+    numbered = running_totals(counted, ["_all"], "label", ["_one"], descending=False)
+    return numbered.select("label", F.col("cum__one").cast("bigint").alias("id"))
 
 
 def dag_edges(edges: DataFrame, nodes: DataFrame, old: str | None = None, new: str | None = None,
