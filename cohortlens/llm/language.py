@@ -24,12 +24,14 @@ LETTERS = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 
 class Settings(NamedTuple):
     """The dictionary of a language is made of at most ``samples`` training texts of it, the first ``excerpt``
-    characters of each; which texts these are is drawn by a hash of their ids. Scoring reads whole texts."""
+    characters of each; which texts these are is drawn by a hash of their ids. With very many languages the excerpts
+    shrink, so that all dictionaries together stay within ``budget`` characters. Scoring reads whole texts."""
 
     samples: int = 256
     excerpt: int = 1000
     level: int = 6
     narrow: float = 0.01
+    budget: int = 16_000_000
 
 
 def dictionaries(train: DataFrame, doc_id: str, text: str, lang: str, settings: Settings) -> dict[str, bytes]:
@@ -46,9 +48,11 @@ def dictionaries(train: DataFrame, doc_id: str, text: str, lang: str, settings:
     )
     drawn = hashed.groupBy("lang", "bucket").agg(F.min("hash").alias("hash"), F.count("*").alias("n"))
     drawn = materialise(drawn, "drawn")
+    languages = drawn.select("lang").distinct().count()
+    excerpt = max(1, min(settings.excerpt, settings.budget // max(1, settings.samples * languages)))
     found = (
         hashed.join(drawn, ["lang", "bucket", "hash"])
-        .select("lang", "bucket", "n", F.substring("body", 1, settings.excerpt).alias("part"))
+        .select("lang", "bucket", "n", F.substring("body", 1, excerpt).alias("part"))
         .groupBy("lang", "bucket")
         .agg(F.min("part").alias("part"), F.max("n").alias("n"))
         .groupBy("lang")
