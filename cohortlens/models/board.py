@@ -15,6 +15,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import RFormula, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,22 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     return df.withColumn(name, weight)
 
 
+def balanced_rows(df: DataFrame, label: str, key: str, seed: int = 5454) -> DataFrame:
+    """Rows of the smaller class repeated until both classes are about equal, for estimators without weights.
+
+    A row is repeated as often as the whole part of the ratio says, and once more if
+    a hash of its key falls below the rest; no row of either class is left out.
+    """
+    n = df.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) == 0).alias("q")).first()
+    if not n["p"] or not n["q"]:
+        return df
+    small, ratio = (1, n["q"] / n["p"]) if n["p"] < n["q"] else (0, n["p"] / n["q"])
+    more = (hash_percent(key, seed) < F.lit(int(round(100 * (ratio % 1))))).cast("int")
+    copies = F.when(F.col(label) == small, F.lit(int(ratio)) + more).otherwise(1)
+    repeated = df.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
+    return repeated.drop("_copy")
+
+
 def score(model: Transformer, df: DataFrame, keys: Sequence[str], label: str | None = None,
           name: str = "p1") -> DataFrame:
     """Keys, label, positive-class probability and hard prediction of every row.
@@ -122,6 +139,26 @@ def logistic(df: DataFrame, formula: str, unseen: str = "error") -> PipelineMode
     ).fit(df)
 
 
+def binomial_summary(df: DataFrame, formula: str, unseen: str = "error") -> DataFrame:
+    """(term, coefficient, std_error, z, p_value) of the unpenalised binomial model, the intercept last."""
+    frame = RFormula(formula=formula, featuresCol="features", labelCol="_label", handleInvalid=unseen).fit(df).transform(df)
+    model = GeneralizedLinearRegression(
+        family="binomial", link="logit", featuresCol="features", labelCol="_label", maxIter=100, tol=1e-10
+    ).fit(frame)
+    attributes = frame.schema["features"].metadata["ml_attr"]["attrs"]
+    named = sorted((a["idx"], a["name"]) for group in attributes.values() for a in group)
+    terms = [name for _, name in named] + ["intercept"]
+    values = [*model.coefficients, model.intercept]
+    summary = model.summary
+    rows = [
+        (t, float(v), float(e), float(z), float(p))
+        for t, v, e, z, p in zip(
+            terms, values, summary.coefficientStandardErrors, summary.tValues, summary.pValues, strict=True
+        )
+    ]
+    return df.sparkSession.createDataFrame(rows, "term string, coefficient double, std_error double, z double, p_value double")
+
+
 def fit_platt(scored: DataFrame, label: str, raw: str = "p1") -> PipelineModel:
     """Sigmoid of the model's score, fitted on the calibration rows."""
     return Pipeline(

@@ -126,6 +126,30 @@ def balanced_weights(spark, sf):
     )
 
 
+@query("balanced_rows", f"""WITH {q.DOCS}, n AS (SELECT COUNT(*) FILTER (WHERE label = 1) AS p, COUNT(*) FILTER (WHERE label = 0) AS q FROM docs),
+  r AS (SELECT CASE WHEN p < q THEN 1 ELSE 0 END AS small, GREATEST(p, q) / CAST(LEAST(p, q) AS DOUBLE) AS ratio FROM n)
+  SELECT label, CAST(SUM(CASE WHEN label = small THEN FLOOR(ratio) + CASE WHEN CAST(concat('0x', substr(md5(concat(CAST(doc_id AS VARCHAR),
+      '5454')), 1, 8)) AS BIGINT) % 100 < ROUND(100 * (ratio - FLOOR(ratio))) THEN 1 ELSE 0 END ELSE 1 END) AS BIGINT) AS n
+  FROM docs, r GROUP BY label""")
+def balanced_rows(spark, sf):
+    """Rows of the smaller class repeated up to the larger."""
+    docs = b.scored_documents(spark, sf).select("doc_id", "label")
+    return board.balanced_rows(docs, "label", "doc_id").groupBy("label").agg(F.count("*").alias("n"))
+
+
+@query("binomial_standard_errors", f"""WITH {q.DOCS}, c AS (SELECT COUNT(*) FILTER (WHERE toxic = 0 AND label = 1) AS a,
+    COUNT(*) FILTER (WHERE toxic = 0 AND label = 0) AS b, COUNT(*) FILTER (WHERE toxic = 1 AND label = 1) AS c,
+    COUNT(*) FILTER (WHERE toxic = 1 AND label = 0) AS d FROM docs)
+  SELECT 'toxic' AS term, ROUND(ln(CAST(c AS DOUBLE) / d) - ln(CAST(a AS DOUBLE) / b), 4) AS coefficient,
+    ROUND(SQRT(1.0 / a + 1.0 / b + 1.0 / c + 1.0 / d), 4) AS std_error FROM c
+  UNION ALL SELECT 'intercept', ROUND(ln(CAST(a AS DOUBLE) / b), 4), ROUND(SQRT(1.0 / a + 1.0 / b), 4) FROM c""")
+def binomial_standard_errors(spark, sf):
+    """Coefficients and standard errors on one 0/1 column, which a two by two table gives."""
+    docs = materialise(b.scored_documents(spark, sf).select("doc_id", "toxic", "label"), "docs")
+    terms = board.binomial_summary(docs, "label ~ toxic")
+    return terms.select("term", F.round("coefficient", 4).alias("coefficient"), F.round("std_error", 4).alias("std_error"))
+
+
 @query("saved_model_scores", f"""WITH {q.DOCS} SELECT lang, ROUND(AVG(label), 3) AS prob FROM docs GROUP BY lang""")
 def saved_model_scores(spark, sf):
     """A model saved, listed, loaded and used to score."""
@@ -150,6 +174,29 @@ def roc_with_area(spark, sf):
     return points.join(area, "pred_dt").withColumn("model_type", F.lit("fixed"))
 
 
+MANY = f"""{q.BASE}, {q.labelled()}, many AS (SELECT label, CAST(concat('0x', substr(md5(concat(CAST(ent AS VARCHAR), '/',
+    CAST(pred_dt AS VARCHAR))), 1, 8)) AS BIGINT) % 5003 / CAST(5003 AS DOUBLE) AS score FROM labelled), {q.curve('many', '')}"""
+
+
+def _many_scores(spark, sf):
+    """Thousands of distinct scores, with ties, that depend on the key alone."""
+    text = F.concat_ws("/", F.col("ent").cast("string"), F.col("pred_dt").cast("string"))
+    head = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
+    return b.labelled(spark, sf).select("label", ((head % 5003) / F.lit(5003.0)).alias("score"))
+
+
+@query("roc_curve_many_scores", f"""WITH {MANY} SELECT threshold, CAST(fp AS DOUBLE) / NULLIF(n, 0) AS fpr,
+  CAST(tp AS DOUBLE) / NULLIF(p, 0) AS tpr FROM curve UNION ALL SELECT CAST(NULL AS DOUBLE), 0.0::DOUBLE, 0.0::DOUBLE""")
+def roc_curve_many_scores(spark, sf):
+    return curves.roc_points(curves.score_curve(_many_scores(spark, sf), "score", "label"))
+
+
+@query("best_f1_many_scores", f"""WITH {MANY}, f AS (SELECT threshold, COALESCE(2.0 * tp / NULLIF(p + tp + fp, 0), 0) AS f1 FROM curve)
+  SELECT threshold, f1 AS max_f1 FROM f ORDER BY f1 DESC, threshold LIMIT 1""")
+def best_f1_many_scores(spark, sf):
+    return curves.best_f1(curves.score_curve(_many_scores(spark, sf), "score", "label"))
+
+
 @query("backtest_counts_inclusive", f"""WITH {q.BASE}, {q.labelled(6)}, {out.BACKTEST_SQL}
   SELECT test_dt, COUNT(*) AS n_train, COUNT(*) FILTER (WHERE label = 1) AS train_positive
   FROM bt JOIN labelled ON pred_dt <= test_dt GROUP BY test_dt""")

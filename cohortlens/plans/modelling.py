@@ -72,11 +72,17 @@ def _model_frames(spark, sf):
 
 @query("model_board")
 def model_board(spark, sf):
-    """Contender models on balanced training rows, ranked on the validation year."""
+    """Contender models on balanced training rows, ranked on the validation year.
+
+    The network takes no weights; it is trained on rows repeated to the same balance.
+    """
     parts, features = _model_frames(spark, sf)
     train = materialise(board.class_weights(parts["train"], "label"), "train")
-    estimators = board.contenders(features, "label")
-    models = {n: board.pipeline(features, e).fit(train) for n, e in estimators.items()}
+    repeated = materialise(board.balanced_rows(train, "label", "ent"), "repeated")
+    models = {
+        n: board.pipeline(features, e).fit(train if e.hasParam("weightCol") else repeated)
+        for n, e in board.contenders(features, "label").items()
+    }
     frames = {"val": parts["calibration"], "test": parts["test"]}
     return board.leaderboard(models, frames, ["ent", "pred_dt"], "label")
 
