@@ -38,7 +38,7 @@ NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
-LINES = re.compile(r"(?:[A-Za-z0-9+/]{40,}\r?\n)+[A-Za-z0-9+/]+={0,2}")
+TAIL = re.compile(r"\r?\n[A-Za-z0-9+/]{1,15}={0,2}(?![A-Za-z0-9+/=])")
 ESCAPE = re.compile(
     r"(?P<url>(?:%[0-9A-Fa-f]{2})+)"
     r"|\\u(?P<high>[dD][89abAB][0-9A-Fa-f]{2})\\u(?P<low>[dD][c-fC-F][0-9A-Fa-f]{2})"
@@ -65,6 +65,23 @@ class Layer(NamedTuple):
         return int(self.start[a]), int(self.end[b - 1])
 
 
+def encoded_runs(text: str) -> list[tuple[int, int]]:
+    """Runs that may be base64, and runs of 40 characters or more joined over line ends. Linear in the text."""
+    runs = [m.span() for m in RUN.finditer(text)]
+    joined, first = [], 0
+    for i, (a, b) in enumerate(runs):
+        after = runs[i + 1][0] if i + 1 < len(runs) else -1
+        if b - a >= 40 and b < after <= b + 2 and text[b:after] in ("\n", "\r\n"):
+            continue  # goes on in the next line
+        tail = TAIL.match(text, b) if b - a >= 40 else None
+        if first < i:
+            joined.append((runs[first][0], b))
+        if tail:  # a short last line, or the word after the run
+            joined.append((runs[first][0], tail.end()))
+        first = i + 1
+    return runs + joined
+
+
 class Found(NamedTuple):
     base: list[tuple[int, int, int]]  # start, kind, end
     added: list[tuple[int, int, int]]
@@ -205,10 +222,7 @@ def scan(text: str | None) -> Found:
             for data, a, b in raw:
                 if unpack(data, 1) is not None:
                     push(data, *layer.span(a, b), f"{layer.path}>url")
-        runs = [(m.start(), m.end()) for m in RUN.finditer(inner)]
-        if any(b - a >= 40 for a, b in runs):
-            runs += [(m.start(), m.end()) for m in LINES.finditer(inner)]
-        for a, b in runs:
+        for a, b in encoded_runs(inner):
             data = from_base64(inner[a:b])
             if data is not None and (unpack(data, 1) is not None or as_text(data) is not None):
                 push(data, *layer.span(a, b), f"{layer.path}>base64")

@@ -8,6 +8,7 @@ import hashlib
 import os
 import random
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -89,6 +90,21 @@ def test_nested_layers_are_opened(seed):
     assert secret_scan.scan(secret_scan.redacted(text)).added == []
 
 
+@pytest.mark.parametrize("after", ["\nafter", "", "\r\n\r\nafter", " after"])
+@pytest.mark.parametrize("size", range(100, 112))
+def test_base64_over_lines(size, after):
+    lines = base64.encodebytes(b"x" * (size - 30) + b" password: hunter2hunter2 or").decode().strip()
+    found = secret_scan.scan(f"before\n{lines}{after}").added
+    assert any(a == 7 for a, _, _ in found)
+
+
+@pytest.mark.parametrize("text", ["a" * 500_000, "QUJD" * 100_000, "%41" * 50_000, "token " * 100_000, ("A" * 60 + "\n") * 5_000])
+def test_time_is_linear_in_long_texts(text):
+    began = time.process_time()
+    secret_scan.scan(text)
+    assert time.process_time() - began < 20
+
+
 def test_positions_through_escapes_are_exact():
     text = "é%20 pass%77ord%3Dabcdefgh%49 z"
     (span,) = secret_scan.scan(text).added
