@@ -67,12 +67,12 @@ unlicense | unlicense | unlicense | (?:the )?unlicense | unlicense org
 wtfpl | wtfpl | public licen | do what the f\S* you want to public licen[cs]e | wtfpl net
 cc0 | cc0 1 0 | cc0 | (?:creative commons )?cc0(?: 1 0)?(?: universal)?(?: public domain dedication)? | creativecommons org publicdomain zero 1 0
 pdm | cc pddc | public domain | (?:public domain mark|released (?:in|into|to) the public domain|dedicated to the public domain) | creativecommons org publicdomain mark 1 0
-cc-by | cc by [1234] 0 | creative commons | creative commons attribution(?: (?:[1234] 0|generic|unported|international))*(?: licen[cs]e)? | creativecommons org licenses by [1234] 0
-cc-by-sa | cc by sa [1234] 0 | creative commons | creative commons attribution share ?alike(?: (?:[1234] 0|generic|unported|international))*(?: licen[cs]e)? | creativecommons org licenses by sa [1234] 0
-cc-by-nc | cc by nc [1234] 0 | creative commons | creative commons attribution non ?commercial(?: (?:[1234] 0|generic|unported|international))*(?: licen[cs]e)? | creativecommons org licenses by nc [1234] 0
-cc-by-nd | cc by nd [1234] 0 | creative commons | creative commons attribution no ?deriv(?:ative)?s?(?: works)?(?: (?:[1234] 0|generic|unported|international))*(?: licen[cs]e)? | creativecommons org licenses by nd [1234] 0
-cc-by-nc-sa | cc by nc sa [1234] 0 | creative commons | creative commons attribution non ?commercial share ?alike(?: (?:[1234] 0|generic|unported|international))*(?: licen[cs]e)? | creativecommons org licenses by nc sa [1234] 0
-cc-by-nc-nd | cc by nc nd [1234] 0 | creative commons | creative commons attribution non ?commercial no ?deriv(?:ative)?s?(?: works)?(?: (?:[1234] 0|generic|unported|international))*(?: licen[cs]e)? | creativecommons org licenses by nc nd [1234] 0
+cc-by | cc by [1234] 0 | creative commons | creative commons attribution(?: (?:[1234] 0|generic|unported|international)){0,6}(?: licen[cs]e)? | creativecommons org licenses by [1234] 0
+cc-by-sa | cc by sa [1234] 0 | creative commons | creative commons attribution share ?alike(?: (?:[1234] 0|generic|unported|international)){0,6}(?: licen[cs]e)? | creativecommons org licenses by sa [1234] 0
+cc-by-nc | cc by nc [1234] 0 | creative commons | creative commons attribution non ?commercial(?: (?:[1234] 0|generic|unported|international)){0,6}(?: licen[cs]e)? | creativecommons org licenses by nc [1234] 0
+cc-by-nd | cc by nd [1234] 0 | creative commons | creative commons attribution no ?deriv(?:ative)?s?(?: works)?(?: (?:[1234] 0|generic|unported|international)){0,6}(?: licen[cs]e)? | creativecommons org licenses by nd [1234] 0
+cc-by-nc-sa | cc by nc sa [1234] 0 | creative commons | creative commons attribution non ?commercial share ?alike(?: (?:[1234] 0|generic|unported|international)){0,6}(?: licen[cs]e)? | creativecommons org licenses by nc sa [1234] 0
+cc-by-nc-nd | cc by nc nd [1234] 0 | creative commons | creative commons attribution non ?commercial no ?deriv(?:ative)?s?(?: works)?(?: (?:[1234] 0|generic|unported|international)){0,6}(?: licen[cs]e)? | creativecommons org licenses by nc nd [1234] 0
 odbl | odbl 1 0 | open data | open (?:data commons open )?data(?:base)? licen[cs]e|open data commons open database licen[cs]e | opendatacommons org licenses odbl(?: 1 0)?
 odc-by | odc by 1 0 | open data | open data commons attribution licen[cs]e | opendatacommons org licenses by(?: 1 0)?
 pddl | pddl 1 0 | public domain | (?:open data commons )?public domain dedication and licen[cs]e | opendatacommons org licenses pddl(?: 1 0)?
