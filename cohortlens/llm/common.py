@@ -60,16 +60,23 @@ def per_text(
     that gives the fields. No row meets another, so there is no shuffle, and a
     lost task is simply run again.
     """
-    source, given = fresh(df.select(*keep), "text_in"), list(keep)
+    given = list(keep)
     fields, arrow = arrow_fields(ddl)
-    inner = df.select(*given, F.col(text).cast("string").alias(source))
+    inner = df.select(*given)
+    if text in given and isinstance(df.schema[text].dataType, T.StringType):
+        at = given.index(text)  # one copy of the text is enough
+    else:
+        at = len(given)
+        inner = df.select(*given, F.col(text).cast("string").alias(fresh(inner, "text_in")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = make()
         for batch in batches:
-            rows = [one(value.as_py()) for value in batch.column(len(given))]
+            rows = [one(value.as_py()) for value in batch.column(at)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(len(given))] + columns_of(rows, arrow), given + arrow.names
             )
+            del batch, rows
+        pa.default_memory_pool().release_unused()  # the worker lives on and shares the executor's memory
 
     return inner.mapInArrow(run, T.StructType([*inner.select(*given).schema.fields, *fields.fields]))

@@ -266,13 +266,19 @@ def drop_contaminated(
     for rows in blocks(items, item_id, item_text, settings):
         block = Block(rows, settings)
         block.choose(count_runs(df, text, block))
-        name = fresh(df, "text_in")
+        plain = isinstance(df.schema[text].dataType, T.StringType)
+        at = df.columns.index(text) if plain else len(df.columns)
+        given = df if plain else df.withColumn(fresh(df, "text_in"), F.col(text).cast("string"))
 
-        def run(batches: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
+        def run(
+            batches: Iterator[pa.RecordBatch], block: Block = block, at: int = at, plain: bool = plain
+        ) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                clean = [not block.find(value.as_py()) for value in batch.column(batch.num_columns - 1)]
+                clean = [not block.find(value.as_py()) for value in batch.column(at)]
                 kept = batch.filter(pa.array(clean, pa.bool_()))
-                yield pa.RecordBatch.from_arrays(kept.columns[:-1], kept.schema.names[:-1])
+                yield kept if plain else kept.select(kept.schema.names[:-1])
+                del batch, kept
+            pa.default_memory_pool().release_unused()
 
-        df = df.withColumn(name, F.col(text).cast("string")).mapInArrow(run, df.schema)
+        df = given.mapInArrow(run, df.schema)
     return df

@@ -26,8 +26,8 @@ from cohortlens.session import materialise
 CAPACITY = 1024
 END = 2
 TOKENIZER = "byte_bpe_50k"
-#: Entries of the word cache of one worker (some 250 bytes each); a full cache starts anew.
-CACHE = 1_000_000
+#: Entries of the word cache of one worker (some 250 bytes each, 150 MB); a full cache starts anew.
+CACHE = 600_000
 
 Filling = tuple[tuple[int, int], ...]  # (length, how many), longest first
 
