@@ -86,7 +86,7 @@ class Block:
             [(np.searchsorted(self.codes, c), i, p) for i, (at, code) in enumerate(found) for p, c in zip(at.tolist(), code)],
             np.int64,
         ).reshape(-1, 3)  # run, item, position
-        self.seeds = self.rows
+        self.seeds = self.rows[np.argsort(self.rows[:, 0], kind="stable")]  # by run; all of them until some are chosen
 
     def numbers(self, text: str | None) -> np.ndarray:
         words = words_of(text)
