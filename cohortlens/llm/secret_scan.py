@@ -4,8 +4,8 @@ A worklist holds the layers of a document. The first layer is the text itself.
 Every layer is searched with the same patterns and then opened: percent and
 Unicode escapes give the whole layer rewritten, with a position for each
 character; base64 runs give layers of their own, and compressed bytes in them are
-unpacked first. New layers join the worklist until none is left. A layer that was
-met before at the same place is not taken again, so a cycle ends.
+unpacked first, all members and frames of them. Layers are opened until none is left.
+A layer that was met before at the same place is not taken again, so a cycle ends.
 
 Positions are code points of the document. What is found in an opened layer has
 the span of the encoded characters that it came from.
@@ -20,7 +20,7 @@ import hashlib
 import lzma
 import re
 import zlib
-from collections import deque
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -48,6 +48,10 @@ ESCAPE = re.compile(
 CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f\ufffe\uffff]")
 #: Largest unpacked layer, and bytes unpacked for one document. A layer beyond it is counted in `n_unopened`.
 MAX_LAYER, MAX_TOTAL = 64 << 20, 256 << 20
+BROKEN = (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError, zstandard.ZstdError)
+PIECE = 1 << 16
+#: Share of characters that are no text up to which a bare base64 word is taken for text.
+NO_TEXT = 0.1
 MASK = "[SECRET]"
 
 
@@ -122,51 +126,120 @@ def unescape(layer: Layer) -> tuple[Layer | None, list[tuple[bytes, int, int]]]:
             if code > 0x10FFFF or 0xD800 <= code < 0xE000:
                 continue
             chars, widths = chr(code), [m.end() - m.start()]
+        pieces += [text[at : m.start()], chars]
+        if isinstance(layer.start, int):  # all at one place
+            at = m.end()
+            continue
         plain = np.arange(at, m.start())
         first = m.start() + np.concatenate(([0], np.cumsum(widths)[:-1])).astype(np.int64)
-        pieces += [text[at : m.start()], chars]
         starts += [plain, first]
         ends += [plain + 1, first + np.array(widths)]
         at = m.end()
     if not pieces:
         return None, raw
-    plain = np.arange(at, len(text))
     pieces.append(text[at:])
-    start, end = np.concatenate([*starts, plain]), np.concatenate([*ends, plain + 1])
     if isinstance(layer.start, int):
         return Layer("".join(pieces), layer.start, layer.end, f"{layer.path}>escape"), raw
+    plain = np.arange(at, len(text))
+    start, end = np.concatenate([*starts, plain]), np.concatenate([*ends, plain + 1])
     if layer.start is not None:
         start, end = layer.start[start], layer.end[end - 1]
     return Layer("".join(pieces), start, end, f"{layer.path}>escape"), raw
 
 
+def packing(head: bytes) -> str | None:
+    """The format that the first bytes announce."""
+    if head[:2] == b"\x1f\x8b":
+        return "gzip"
+    if head[:3] == b"BZh":
+        return "bzip2"
+    if head[:6] == b"\xfd7zXZ\x00":
+        return "xz"
+    if head[:4] == b"\x28\xb5\x2f\xfd" or head[1:4] == b"\x2a\x4d\x18" and head[0] >> 4 == 5:
+        return "zstd"
+    if len(head) > 2 and head[0] & 15 == 8 and (head[0] << 8 | head[1]) % 31 == 0:
+        return "zlib"
+    return None
+
+
+OPENERS = {
+    "gzip": lambda: zlib.decompressobj(47),
+    "zlib": lambda: zlib.decompressobj(47),
+    "bzip2": bz2.BZ2Decompressor,
+    "xz": lzma.LZMADecompressor,
+    "zstd": lambda: zstandard.ZstdDecompressor().decompressobj(),
+}
+
+
+class Source:
+    """Pieces of bytes, none empty before the end; those taken since ``log`` was set can be put back."""
+
+    def __init__(self, pieces: Iterator[bytes]) -> None:
+        self.pieces, self.back, self.log = pieces, [], None
+
+    def take(self) -> bytes:
+        piece = self.back.pop() if self.back else next(self.pieces, b"")
+        if self.log is not None:
+            self.log.append(piece)
+        return piece
+
+
+def pieces_of(data: bytes) -> Iterator[bytes]:
+    return (data[at : at + PIECE] for at in range(0, len(data), PIECE))
+
+
+def members(source: Source) -> Iterator[bytes]:
+    """The content of every member or frame, piece by piece, as far as it can be read."""
+    data = source.take()
+    while True:
+        while len(data) < 6 and (more := source.take()):
+            data += more
+        if (name := packing(data[:6])) is None:
+            return
+        opened = OPENERS[name]()
+        try:
+            while not opened.eof:
+                if name == "zstd":  # has no bound of its own on what comes out
+                    out, data = opened.decompress(data[:1024]), data[1024:]
+                    if opened.eof:
+                        data = opened.unused_data + data
+                else:
+                    out = opened.decompress(data, PIECE)
+                    data = opened.unused_data if opened.eof else opened.unconsumed_tail if hasattr(opened, "unconsumed_tail") else b""
+                if out:
+                    yield out
+                elif not opened.eof and not data and not (data := source.take()):
+                    return
+        except BROKEN:
+            return
+        if name in ("gzip", "xz"):  # may be padded
+            while not (data := data.lstrip(b"\0")) and (data := source.take()):
+                pass
+
+
 def unpack(data: bytes, room: int) -> tuple[str, bytes | None] | None:
     """(format, content) of compressed bytes; content None: larger than ``room``; None: not compressed."""
-    try:
-        if data[:2] == b"\x1f\x8b" or len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0:
-            name, opened = ("gzip" if data[0] == 0x1F else "zlib"), zlib.decompressobj(47)
-            out = opened.decompress(data, room + 1)
-        elif data[:3] == b"BZh":
-            name, out = "bzip2", bz2.BZ2Decompressor().decompress(data, room + 1)
-        elif data[:6] == b"\xfd7zXZ\x00":
-            name, out = "xz", lzma.LZMADecompressor().decompress(data, room + 1)
-        elif data[:4] == b"\x28\xb5\x2f\xfd":
-            name = "zstd"
-            with zstandard.ZstdDecompressor().stream_reader(data) as reader:
-                out = reader.read(room + 1)
-        else:
-            return None
-    except (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError, zstandard.ZstdError):
+    if (name := packing(data[:6])) is None:
         return None
-    return name, out if len(out) <= room else None
+    out = bytearray()
+    for piece in members(Source(pieces_of(data))):
+        out += piece
+        if len(out) > room:
+            return name, None
+    return (name, bytes(out)) if out else None
 
 
-def as_text(data: bytes) -> str | None:
+def views(data: bytes) -> list[str]:
+    """The bytes as text, if they are clean text."""
     try:
         text = data.decode()
     except UnicodeDecodeError:
-        return None
-    return None if not text or CONTROL.search(text) else text
+        return []
+    return [] if not text or CONTROL.search(text) else [text]
+
+
+def no_text(text: str) -> float:
+    return float(not text)
 
 
 def from_base64(run: str) -> bytes | None:
@@ -177,60 +250,100 @@ def from_base64(run: str) -> bytes | None:
         return None
 
 
+def suffixes(run: str) -> Iterator[int]:
+    """Where in a run, behind a '/', '_' or '-', compressed bytes or a text seem to start."""
+    aligned = set()
+    for m in re.finditer(r"[/_-](?=[A-Za-z0-9+/_-]{16})", run):
+        at = m.end()
+        head = from_base64(run[at : at + 24][: len(run[at : at + 24].rstrip("=")) // 4 * 4])
+        if head is None:
+            continue
+        if packing(head[:6]) is not None:
+            yield at
+        elif at % 4 not in aligned and views(head):
+            data = from_base64(run[at:])
+            if data is not None and min(map(no_text, views(data)), default=1.0) <= NO_TEXT:
+                aligned.add(at % 4)  # a later one of this kind lies in it
+                yield at
+
+
 def scan(text: str | None) -> Found:
     """All secrets of one text. Null is the empty text, which has none."""
     text = text or ""
     base = matches(text)
-    added, paths, unopened, room = set(), set(), 0, MAX_TOTAL
+    own = set(base)
+    added, paths, closed, room = set(), set(), [], MAX_TOTAL
     seen: set[tuple] = set()
-    todo = deque([Layer(text, None, None, "")])
+    charged: set[bytes] = set()
+
+    def charge(data: bytes) -> bytes:
+        nonlocal room
+        digest = hashlib.blake2b(data, digest_size=16).digest()
+        if digest not in charged:
+            charged.add(digest)
+            room -= len(data)
+        return digest
 
-    def push(data: bytes, start: int, end: int, path: str) -> None:
-        nonlocal unopened, room
+    def opened(data: bytes, start: int, end: int, path: str) -> Iterator[Layer]:
         known = set()
-        while (packed := unpack(data, min(MAX_LAYER, room))) is not None:
+        while (packed := unpack(data, min(MAX_LAYER, max(room, 0)))) is not None:
             name, content = packed
+            path = f"{path}>{name}"
             if content is None:
-                unopened += 1
+                closed.append((start, end))
                 return
-            room -= len(content)
-            path, data = f"{path}>{name}", content
-            if (digest := hashlib.blake2b(data, digest_size=16).digest()) in known:
+            if (digest := charge(content)) in known:
                 return
             known.add(digest)
-        if (inner := as_text(data)) is not None:
-            todo.append(Layer(inner, start, end, path))
+            data = content
+        for inner in views(data):
+            yield Layer(inner, start, end, path)
 
-    while todo:
-        layer = todo.popleft()
-        if layer.path:
-            span = layer.span(0, len(layer.text)) if layer.text else (0, 0)
-            mark = (hashlib.blake2b(layer.text.encode("utf-8", "replace"), digest_size=16).digest(), *span)
-            if mark in seen:
-                continue
-            seen.add(mark)
-            for a, kind, b in matches(layer.text):
-                start, end = layer.span(a, b)
-                added.add((start, kind, end))
-                if (start, kind, end) not in base:
-                    paths.add(layer.path[1:])
+    def inside(layer: Layer) -> Iterator[Layer]:
         inner = layer.text
-        if "%" in inner or "\\" in inner or "&#" in inner:
-            opened, raw = unescape(layer)
-            if opened is not None:
-                todo.append(opened)
-            for data, a, b in raw:
-                if unpack(data, 1) is not None:
-                    push(data, *layer.span(a, b), f"{layer.path}>url")
         for a, b in encoded_runs(inner):
             data = from_base64(inner[a:b])
-            if data is not None and (unpack(data, 1) is not None or as_text(data) is not None):
-                push(data, *layer.span(a, b), f"{layer.path}>base64")
-            else:
-                for part in re.finditer(r"[A-Za-z0-9+]{16,}={0,2}", inner[a:b]):  # a path around it
+            share = 1.0
+            if data is not None:
+                if unpack(data, 1) is not None:
+                    share = 0.0
+                else:
+                    share = min(map(no_text, views(data)), default=1.0)
+                if share <= NO_TEXT:
+                    yield from opened(data, *layer.span(a, b), f"{layer.path}>base64")
+            if share:  # a path around it
+                for part in re.finditer(r"[A-Za-z0-9+]{16,}={0,2}", inner[a:b]):
                     if part.end() - part.start() < b - a and (data := from_base64(part[0])) is not None:
-                        push(data, *layer.span(a + part.start(), a + part.end()), f"{layer.path}>base64")
-    return Found(base, sorted(added - set(base)), sorted(paths), unopened)
+                        if unpack(data, 1) is not None or min(map(no_text, views(data)), default=1.0) <= NO_TEXT:
+                            yield from opened(data, *layer.span(a + part.start(), a + part.end()), f"{layer.path}>base64")
+                for at in suffixes(inner[a:b]):
+                    if (data := from_base64(inner[a + at : b])) is not None:
+                        yield from opened(data, *layer.span(a + at, b), f"{layer.path}>base64")
+        if "%" in inner or "\\" in inner or "&#" in inner:
+            plain, raw = unescape(layer)
+            for data, a, b in raw:
+                if unpack(data, 1) is not None:
+                    yield from opened(data, *layer.span(a, b), f"{layer.path}>url")
+            if plain is not None:
+                yield plain
+
+    todo = [inside(Layer(text, None, None, ""))]
+    while todo:
+        if (layer := next(todo[-1], None)) is None:
+            todo.pop()
+            continue
+        span = layer.span(0, len(layer.text)) if layer.text else (0, 0)
+        mark = (hashlib.blake2b(layer.text.encode("utf-8", "replace"), digest_size=16).digest(), *span)
+        if mark in seen:
+            continue
+        seen.add(mark)
+        for a, kind, b in matches(layer.text):
+            start, end = layer.span(a, b)
+            added.add((start, kind, end))
+            if (start, kind, end) not in own:
+                paths.add(layer.path[1:])
+        todo.append(inside(layer))
+    return Found(base, sorted(added - own), sorted(paths), len(closed))
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:
