@@ -7,6 +7,9 @@ character; base64 runs give layers of their own, and compressed bytes in them ar
 unpacked first, all members and frames of them. Layers are opened until none is left.
 A layer that was met before at the same place is not taken again, so a cycle ends.
 
+Unpacked bytes are always searched, whatever they are; only a bare base64 word must
+look like text.
+
 Positions are code points of the document. What is found in an opened layer has
 the span of the encoded characters that it came from.
 """
@@ -112,12 +115,11 @@ def unescape(layer: Layer) -> tuple[Layer | None, list[tuple[bytes, int, int]]]:
         kind, value = m.lastgroup, m[m.lastgroup]
         if kind == "url":
             data = bytes.fromhex(value.replace("%", ""))
-            try:
-                chars = data.decode()
-            except UnicodeDecodeError:
+            chars = data.decode("utf-8", "surrogateescape")
+            widths = [3 if "\udc80" <= c <= "\udcff" else 3 * len(c.encode()) for c in chars]
+            if any("\udc80" <= c <= "\udcff" for c in chars):  # such bytes stand as characters of their own
                 raw.append((data, m.start(), m.end()))
-                continue
-            widths = [3 * len(c.encode()) for c in chars]
+                chars = "".join(chr(ord(c) - 0xDC00) if "\udc80" <= c <= "\udcff" else c for c in chars)
         else:
             if kind == "low":
                 code = 0x10000 + ((int(m["high"], 16) & 0x3FF) << 10) + (int(value, 16) & 0x3FF)
@@ -230,16 +232,18 @@ def unpack(data: bytes, room: int) -> tuple[str, bytes | None] | None:
 
 
 def views(data: bytes) -> list[str]:
-    """The bytes as text, if they are clean text."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return []
-    return [] if not text or CONTROL.search(text) else [text]
+    """The bytes as text; with NUL bytes (UTF-16, UTF-32) also without them. Bytes that are no text are replaced."""
+    out = [data.decode("utf-8", "replace")]
+    if b"\0" in data:
+        out.append(data.replace(b"\0", b"").decode("utf-8", "replace"))
+    if data[:2] in (b"\xff\xfe", b"\xfe\xff"):
+        out.append(data.decode("utf-16", "replace"))
+    return [text for text in out if text]
 
 
 def no_text(text: str) -> float:
-    return float(not text)
+    """Share of control and replaced characters."""
+    return (sum(1 for _ in CONTROL.finditer(text)) + text.count("\ufffd")) / len(text) if text else 1.0
 
 
 def from_base64(run: str) -> bytes | None:
@@ -260,7 +264,7 @@ def suffixes(run: str) -> Iterator[int]:
             continue
         if packing(head[:6]) is not None:
             yield at
-        elif at % 4 not in aligned and views(head):
+        elif at % 4 not in aligned and no_text(views(head)[-1] if head else "") == 0:
             data = from_base64(run[at:])
             if data is not None and min(map(no_text, views(data)), default=1.0) <= NO_TEXT:
                 aligned.add(at % 4)  # a later one of this kind lies in it

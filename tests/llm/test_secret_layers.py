@@ -4,6 +4,7 @@ import base64
 import bz2
 import gzip
 import lzma
+import urllib.parse
 
 import pytest
 import zstandard
@@ -40,3 +41,30 @@ def test_blobs_behind_a_path_are_opened(front):
         blob = wrapped(gzip.compress("".join(map(chr, range(300, 500))).encode() + str(k).encode() + SECRET))
         assert "/" in blob
         assert hidden(f"see {front}{blob} end"), k
+
+
+@pytest.mark.parametrize(
+    "data",
+    [
+        b"caf\xe9 " * 3 + SECRET,
+        b"\x1b[31mred\x1b[0m\f " + SECRET,
+        b"a\0b " + SECRET,
+        SECRET.decode().encode("utf-16"),
+        SECRET.decode().encode("utf-16-le"),
+        SECRET.decode().encode("utf-16-be"),
+    ],
+    ids=["latin-1", "escapes", "nul", "utf-16", "utf-16-le", "utf-16-be"],
+)
+def test_unclean_content_is_searched(data):
+    assert hidden(wrapped(gzip.compress(data)))
+
+
+def test_unclean_base64_words_are_searched():
+    assert hidden(wrapped(b"a caf\xe9 has the " + SECRET))
+    assert hidden(wrapped(SECRET.decode().encode("utf-16-le")))
+
+
+def test_escapes_that_are_no_utf8_keep_their_ascii_part():
+    text = "caf%E9%20" + urllib.parse.quote("password: hunter2hunter2", safe="").replace("p", "%70", 1)
+    (span,) = scan(text).added
+    assert text[span[0] : span[2]].startswith("%70assword")
