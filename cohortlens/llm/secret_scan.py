@@ -8,7 +8,7 @@ unpacked first, all members and frames of them. Layers are opened until none is
 A layer that was met before at the same place is not taken again, so a cycle ends.
 
 Unpacked bytes are always searched, whatever they are; only a bare base64 word must
-look like text.
+look like text. A layer over `MAX_LAYER` is searched in overlapping windows.
 
 Positions are code points of the document. What is found in an opened layer has
 the span of the encoded characters that it came from.
@@ -49,8 +49,12 @@ ESCAPE = re.compile(
     r"|\\x(?P<two>[0-9A-Fa-f]{2})|&#[xX](?P<ref>[0-9A-Fa-f]{1,6});|&#(?P<dec>[0-9]{1,7});"
 )
 CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f\ufffe\uffff]")
-#: Largest unpacked layer, and bytes unpacked for one document. A layer beyond it is counted in `n_unopened`.
-MAX_LAYER, MAX_TOTAL = 64 << 20, 256 << 20
+#: Size from which a layer is taken in windows, and what they share at least: more where an encoded run crosses.
+MAX_LAYER, OVERLAP = 64 << 20, 1 << 20
+#: Bytes unpacked for one document, so that nested bombs end. What is beyond, and encoded runs of over half a window
+#: within a windowed layer, are counted in `n_unopened`; `redacted` masks the place that they came from.
+MAX_TOTAL = 8 << 30
+ENCODED = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=%\\&#;{}\r\n\x00"
 BROKEN = (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError, zstandard.ZstdError)
 PIECE = 1 << 16
 #: Share of characters that are no text up to which a bare base64 word is taken for text.
@@ -94,6 +98,7 @@ class Found(NamedTuple):
     added: list[tuple[int, int, int]]
     paths: list[str]
     unopened: int
+    closed: list[tuple[int, int]]  # where the layers counted in unopened came from
 
 
 def matches(text: str) -> list[tuple[int, int, int]]:
@@ -219,6 +224,25 @@ def members(source: Source) -> Iterator[bytes]:
                 pass
 
 
+def peel(source: Source) -> tuple[str, Source] | None:
+    """(format, content) if the bytes are compressed, else None and nothing is taken."""
+    source.log = []
+    head = b""
+    while len(head) < 6 and (piece := source.take()):
+        head += piece
+    name, taken = packing(head[:6]), [p for p in source.log if p]
+    source.back += reversed(taken)
+    source.log = []
+    inner = Source(members(source))
+    first = inner.take() if name else b""
+    taken, source.log = [p for p in source.log if p], None
+    if not first:
+        source.back += reversed(taken)
+        return None
+    inner.back.append(first)
+    return name, inner
+
+
 def unpack(data: bytes, room: int) -> tuple[str, bytes | None] | None:
     """(format, content) of compressed bytes; content None: larger than ``room``; None: not compressed."""
     if (name := packing(data[:6])) is None:
@@ -294,7 +318,7 @@ def scan(text: str | None) -> Found:
             name, content = packed
             path = f"{path}>{name}"
             if content is None:
-                closed.append((start, end))
+                yield from windows(data, start, end, path)
                 return
             if (digest := charge(content)) in known:
                 return
@@ -303,6 +327,36 @@ def scan(text: str | None) -> Found:
         for inner in views(data):
             yield Layer(inner, start, end, path)
 
+    def windows(data: bytes, start: int, end: int, path: str) -> Iterator[Layer]:
+        nonlocal room
+        digest = hashlib.blake2b(data, digest_size=16).digest()
+        again, whole, depth = digest in charged, True, 0
+        charged.add(digest)
+        source = Source(members(Source(pieces_of(data))))
+        while depth < 100 and (packed := peel(source)) is not None:
+            name, source = packed
+            path, depth = f"{path}>{name}", depth + 1
+        buffer = bytearray()
+        while True:
+            piece = source.take()
+            buffer += piece
+            room -= 0 if again else len(piece)
+            if piece and len(buffer) < MAX_LAYER and room > 0:
+                continue
+            for inner in views(bytes(buffer)):
+                yield Layer(inner, start, end, path)
+            if not piece:
+                break
+            if room <= 0:
+                whole = False
+                break
+            run = len(buffer) - len(buffer.rstrip(ENCODED))
+            if run > len(buffer) // 2:
+                whole, run = False, 0
+            del buffer[: len(buffer) - max(run, min(OVERLAP, len(buffer) // 2))]
+        if not whole or depth == 100:
+            closed.append((start, end))
+
     def inside(layer: Layer) -> Iterator[Layer]:
         inner = layer.text
         for a, b in encoded_runs(inner):
@@ -347,7 +401,7 @@ def scan(text: str | None) -> Found:
             if (start, kind, end) not in own:
                 paths.add(layer.path[1:])
         todo.append(inside(layer))
-    return Found(base, sorted(added - own), sorted(paths), len(closed))
+    return Found(base, sorted(added - own), sorted(paths), len(closed), closed)
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:
@@ -355,11 +409,15 @@ def written(spans: list[tuple[int, int, int]]) -> str:
 
 
 def redacted(text: str | None) -> str | None:
-    """The text with every secret, overlapping ones together, replaced by one mark. Null stays null."""
+    """The text with every secret, overlapping ones together, replaced by one mark. Null stays null.
+
+    So is the place of a layer that could not be searched to its end.
+    """
     if not text:
         return text
     found, out, at = scan(text), [], 0
-    for start, _, end in sorted([*found.base, *found.added]):
+    hidden = [(a, b) for a, _, b in (*found.base, *found.added)] + found.closed
+    for start, end in sorted(hidden):
         if start >= at:
             out += [text[at:start], MASK]
         at = max(at, end)
@@ -371,7 +429,7 @@ def find_secrets(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 
     `spans` lists base and decoded findings as kind:start:end, `n_added` counts
     those that only an opened layer shows, `layers` names the encodings around
-    them and `n_unopened` the layers larger than the documented limit. Null and
+    them and `n_unopened` the layers not searched to their end. Null and
     empty texts have zero counts and empty lists; repeated rows are repeated; other
     columns are not looked at.
     """

@@ -9,6 +9,7 @@ import urllib.parse
 import pytest
 import zstandard
 
+from cohortlens.llm import secret_scan
 from cohortlens.llm.secret_scan import MASK, redacted, scan
 
 SECRET = b"password: hunter2hunter2 "
@@ -68,3 +69,34 @@ def test_escapes_that_are_no_utf8_keep_their_ascii_part():
     text = "caf%E9%20" + urllib.parse.quote("password: hunter2hunter2", safe="").replace("p", "%70", 1)
     (span,) = scan(text).added
     assert text[span[0] : span[2]].startswith("%70assword")
+
+
+def test_large_layers_are_searched_to_their_end(monkeypatch):
+    monkeypatch.setattr(secret_scan, "MAX_LAYER", 200_000)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 5_000)
+    for front in (b"some words " * n for n in (20_000, 50_000, 54_545, 90_000)):
+        text = "x " + wrapped(gzip.compress(front + SECRET + b" more words" * 30_000))
+        assert hidden(text) and scan(text).unopened == 0
+        deep = wrapped(gzip.compress(front + b64(SECRET) + b" more words" * 30_000))
+        assert hidden(deep) and scan(deep).unopened == 0
+        twice = wrapped(gzip.compress(gzip.compress(front + SECRET)))
+        assert hidden(twice)
+
+
+def b64(data):
+    return base64.b64encode(gzip.compress(data * 50)) + b" "
+
+
+def test_small_layers_after_large_ones_are_opened(monkeypatch):
+    monkeypatch.setattr(secret_scan, "MAX_LAYER", 100_000)
+    large = wrapped(gzip.compress(b"some words " * 100_000))
+    small = wrapped(gzip.compress(SECRET))
+    text = " ".join([large] * 5 + [small])
+    assert scan(text).added and scan(text).unopened == 0
+
+
+def test_what_stays_closed_is_masked(monkeypatch):
+    monkeypatch.setattr(secret_scan, "MAX_TOTAL", 50_000)
+    blob = wrapped(gzip.compress(b"some words " * 100_000 + SECRET))
+    found = scan(f"before {blob} after")
+    assert found.unopened == 1 and redacted(f"before {blob} after") == f"before {MASK} after"
