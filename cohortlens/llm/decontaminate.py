@@ -11,6 +11,8 @@ pass, so neither a hot source nor a passage in very many documents matters.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Iterator
 from itertools import repeat
 from typing import NamedTuple
@@ -24,14 +26,24 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from cohortlens.llm.common import columns_of, fresh
 
-#: Digits, ASCII letters and all bytes of other characters make words.
+#: Digits, ASCII letters and all bytes of other characters make words, after `_apart`.
 FOLD = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
+BEYOND = re.compile(r"[^\x00-\x7f]+")
+#: Scripts written without spaces: each of their characters is a word. CJK, kana, Bopomofo, Yi, Thai, Lao, Burmese,
+#: Khmer, Tai, Balinese, Javanese.
+UNSEGMENTED = (
+    (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x3029), (0x3040, 0x30FA), (0x30FC, 0x312F), (0x31A0, 0x31BF),
+    (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x1B000, 0x1B16F),
+    (0x20000, 0x3FFFF), (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF),
+    (0x1B00, 0x1B7F), (0xA980, 0xA9FF), (0xAA60, 0xAADF),
+)
 MULTIPLIER = 0x9E3779B97F4A7C15
 
 
 class Settings(NamedTuple):
     """An item counts as held if the alignment reaches ``share`` of the item's own score, or as many matches as
-    ``long_match`` words; items shorter than ``seed`` words can't be told from chance and are not looked for."""
+    ``long_match`` words; items shorter than ``seed`` words can't be told from chance within a longer text and are held
+    by a document that has just their words."""
 
     seed: int = 3
     stretch: int = 32
@@ -52,8 +64,30 @@ class Hit(NamedTuple):
     last_word: int
 
 
+class _Apart(dict):
+    """What stands for a character beyond ASCII: a space for punctuation, spaces and controls, nothing for format marks
+    inside words, the character by itself for scripts without spaces."""
+
+    def __missing__(self, code: int) -> str:
+        char, kind = chr(code), unicodedata.category(chr(code))
+        if kind == "Cf" and code != 0x200B:
+            char = ""
+        elif kind[0] in "PZC":
+            char = " "
+        elif any(a <= code <= b for a, b in UNSEGMENTED):
+            char = f" {char} "
+        self[code] = char
+        return char
+
+
+_apart = _Apart()
+
+
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode().translate(FOLD).split()
+    text = (text or "").lower()
+    if not text.isascii():
+        text = BEYOND.sub(lambda m: m[0].translate(_apart), text)
+    return text.encode().translate(FOLD).split()
 
 
 def runs(ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,6 +114,10 @@ class Block:
         self.vocabulary: dict[bytes, int] = {}
         number = lambda w: self.vocabulary.setdefault(w, len(self.vocabulary))
         self.words = [np.array([number(w) for w in words_of(text)], np.int64) for _, text in items]
+        self.short: dict[bytes, list[int]] = {}
+        for i, w in enumerate(self.words):
+            if 0 < len(w) < settings.seed:
+                self.short.setdefault(w.tobytes(), []).append(i)
         found = [runs(w, settings.seed) for w in self.words]
         self.codes = np.unique(np.concatenate([np.zeros(0, np.uint64), *(c for _, c in found)]))
         self.rows = np.array(
@@ -115,6 +153,8 @@ class Block:
     def find(self, text: str | None) -> list[Hit]:
         """The best alignment of each item that the text holds, by item."""
         s, ids = self.settings, self.numbers(text)
+        if 0 < len(ids) < s.seed:
+            return [Hit(i, s.match * len(ids), 1.0, 0, len(ids) - 1) for i in self.short.get(ids.tobytes(), ())]
         at, run = self.met(ids)
         if not len(at) or not len(self.seeds):
             return []
@@ -218,7 +258,7 @@ def contaminated(
 
     ``score`` is the share of the item's own score, ``first_word`` and ``last_word``
     the passage in words of the document. Null and empty texts hold nothing, and
-    null, empty and very short items are held by nothing. Repeated rows of documents
+    null and empty items are held by nothing, items shorter than ``seed`` words by documents of just these words. Repeated rows of documents
     are judged each; repeated items count once. Other columns are not looked at.
     """
     docs = df.select(F.col(doc_id).alias("doc"), F.col(text).cast("string").alias("body"))
