@@ -7,13 +7,17 @@ others, the rare ones, are the seeds. A second pass looks the runs of each docum
 up among the seeds, and where a seed is met, the passage around it is aligned with
 the item by Smith-Waterman over words. No document row is shuffled in either
 pass, so neither a hot source nor a passage in very many documents matters.
+
+With several blocks the hits of each are written before the next block is read, so
+that one block lives at a time; they meet in an aggregation by text digest and item.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 from typing import NamedTuple
 
@@ -25,6 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from cohortlens.llm.common import columns_of, fresh
+from cohortlens.session import materialise, scratch_path
 
 #: Digits, ASCII letters and all bytes of other characters make words, after `_apart`.
 FOLD = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -216,14 +221,19 @@ def _ends(query: np.ndarray, window: np.ndarray, s: Settings) -> tuple[int, int,
     return best, column, row
 
 
-def blocks(items: DataFrame, item_id: str, text: str, settings: Settings) -> Iterator[list[tuple]]:
-    """The items in blocks of about ``block_chars``; all rows of one id are in one block, null texts in none."""
-    rows = items.select(F.col(item_id).alias("id"), F.col(text).cast("string").alias("body")).filter("body is not null")
+def blocks(items: DataFrame, item_id: str, text: str, settings: Settings) -> tuple[int, Callable[[int], list[tuple]]]:
+    """How many blocks of about ``block_chars`` there are, and what reads one.
+
+    Rows are dealt by id and text, so an id on very many rows is in many blocks.
+    Repeated rows are one; null texts are in none.
+    """
+    rows = items.select(F.col(item_id).alias("id"), F.col(text).cast("string").alias("body")).filter("body is not null").distinct()
     total = rows.agg(F.sum(F.length("body"))).first()[0] or 0
     n = -(-total // settings.block_chars)
-    part = F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(max(1, n)))
-    for k in range(n):
-        yield [(r["id"], r["body"]) for r in rows.filter(part == k).distinct().collect()]
+    if n > 1:  # written in the order of the blocks, so that reading one skips the others
+        part = F.pmod(F.xxhash64("id", "body"), F.lit(n))
+        rows = materialise(rows.withColumn("part", part).repartition("part").sortWithinPartitions("part"), "items")
+    return n, lambda k: [(r["id"], r["body"]) for r in (rows.filter(F.col("part") == k) if n > 1 else rows).collect()]
 
 
 def count_runs(df: DataFrame, text: str, block: Block) -> np.ndarray:
@@ -268,30 +278,81 @@ def contaminated(
     schema = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)] + fields)
     arrow = pa.schema([("score", pa.float64()), *((c, pa.int64()) for c in ("alignment", "first_word", "last_word"))])
     item_type = to_arrow_type(kinds[1])
-    out = df.sparkSession.createDataFrame([], schema)
-    for rows in blocks(items, item_id, item_text, settings):
-        block = Block(rows, settings)
+    n, read = blocks(items, item_id, item_text, settings)
+    if not n:
+        return df.sparkSession.createDataFrame([], schema)
+    marked = T.StructType([*schema.fields, T.StructField("digest", T.StringType())])
+
+    def hits_of(k: int) -> DataFrame:
+        block = Block(read(k), settings)
         block.choose(count_runs(docs, "body", block))
 
-        def run(batches: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                origin, held, hits = [], [], []
+                origin, held, hits, digests = [], [], [], []
                 for i, value in enumerate(batch.column(1)):
                     best: dict = {}
-                    for hit in block.find(value.as_py()):
+                    body = value.as_py()
+                    for hit in block.find(body):
                         own = block.ids[hit.item]
                         if own not in best or hit.share > best[own][0]:
                             best[own] = (hit.share, hit.score, hit.first_word, hit.last_word)
-                    origin += [i] * len(best)
-                    held += best
-                    hits += best.values()
+                    if best:
+                        origin += [i] * len(best)
+                        held += best
+                        hits += best.values()
+                        digests += [digest_of(body)] * len(best)
                 if hits:
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(origin)), pa.array(held, item_type), *columns_of(hits, arrow)], schema.names
+                        [
+                            batch.column(0).take(pa.array(origin)),
+                            pa.array(held, item_type),
+                            *columns_of(hits, arrow),
+                            pa.array(digests, pa.string()),
+                        ],
+                        marked.names,
                     )
 
-        out = out.union(docs.mapInArrow(run, schema))
-    return out
+        return docs.mapInArrow(run, marked)
+
+    if n == 1:
+        return hits_of(0).drop("digest")
+    # equal rows have equal hits in a block: one row for each of them is given back
+    columns = [F.col(f"`{c}`") for c in names]
+    rest = [f.name for f in fields]
+    best = F.struct("score", "alignment", (-F.col("first_word")).alias("first"), (-F.col("last_word")).alias("last"))
+    each = written(
+        n,
+        lambda k: hits_of(k).groupBy(*columns, "digest", *rest).agg(F.count("*").alias("n")),
+        T.StructType([*schema.fields, T.StructField("digest", T.StringType()), T.StructField("n", T.LongType())]),
+        [*names, "digest", *rest, "n"],
+        df,
+    )
+    whole = each.groupBy(*columns, "digest").agg(F.max(best).alias("best"), F.max("n").alias("n"))
+    return whole.select(
+        *columns,
+        F.col("best.score").alias("score"),
+        F.col("best.alignment").alias("alignment"),
+        (-F.col("best.first")).alias("first_word"),
+        (-F.col("best.last")).alias("last_word"),
+        F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("copy"),
+    ).drop("copy")
+
+
+def digest_of(text: str) -> str:
+    """The same as Spark's sha2 of the text."""
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def written(n: int, result: Callable[[int], DataFrame], schema: T.StructType, columns: list[str], df: DataFrame) -> DataFrame:
+    """The results of all blocks; each is written before the next is begun, into one folder."""
+    path = scratch_path(df.sparkSession, "blocks")
+    numbered = [f"c{i}" for i in range(len(columns))]  # any name can be written so
+    for k in range(n):
+        result(k).toDF(*numbered).write.mode("append").parquet(path)
+    kinds = {f.name: f.dataType for f in schema.fields}
+    read = T.StructType([T.StructField(c, kinds[name]) for c, name in zip(numbered, columns, strict=True)])
+    return df.sparkSession.read.schema(read).parquet(path).toDF(*columns)
 
 
 def drop_contaminated(
@@ -302,17 +363,22 @@ def drop_contaminated(
     item_text: str = "text",
     settings: Settings = Settings(),
 ) -> DataFrame:
-    """The rows that hold no item, with all their columns."""
-    for rows in blocks(items, item_id, item_text, settings):
-        block = Block(rows, settings)
+    """The rows that hold no item, with all their columns.
+
+    With several blocks the digests of the texts that hold an item are written
+    block by block, and rows with such a text go at the end.
+    """
+    n, read = blocks(items, item_id, item_text, settings)
+    if not n:
+        return df
+    if n == 1:
+        block = Block(read(0), settings)
         block.choose(count_runs(df, text, block))
         plain = isinstance(df.schema[text].dataType, T.StringType)
         at = df.columns.index(text) if plain else len(df.columns)
         given = df if plain else df.withColumn(fresh(df, "text_in"), F.col(text).cast("string"))
 
-        def run(
-            batches: Iterator[pa.RecordBatch], block: Block = block, at: int = at, plain: bool = plain
-        ) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 clean = [not block.find(value.as_py()) for value in batch.column(at)]
                 kept = batch.filter(pa.array(clean, pa.bool_()))
@@ -320,5 +386,23 @@ def drop_contaminated(
                 del batch, kept
             pa.default_memory_pool().release_unused()
 
-        df = given.mapInArrow(run, df.schema)
-    return df
+        return given.mapInArrow(run, df.schema)
+
+    bodies = df.select(F.col(text).cast("string").alias("body"))
+
+    def gone_of(k: int) -> DataFrame:
+        block = Block(read(k), settings)
+        block.choose(count_runs(bodies, "body", block))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = [t for t in (value.as_py() for value in batch.column(0)) if t and block.find(t)]
+                yield pa.RecordBatch.from_arrays([pa.array([*map(digest_of, texts)], pa.string())], ["digest"])
+
+        return bodies.mapInArrow(run, "digest string").distinct()
+
+    name = fresh(df, "digest")
+    schema = T.StructType([T.StructField(name, T.StringType())])
+    gone = materialise(written(n, gone_of, schema, [name], df).distinct(), "gone")
+    own = F.sha2(F.col(text).cast("string").cast("binary"), 256)
+    return df.withColumn(name, own).join(gone, name, "left_anti").select(*df.columns)

@@ -4,7 +4,8 @@ import random
 
 import pytest
 
-from cohortlens.llm.decontaminate import Block, Settings, words_of
+from cohortlens.llm import decontaminate
+from cohortlens.llm.decontaminate import Block, Settings, blocks, contaminated, drop_contaminated, words_of
 
 CHINESE = "水的沸点随着大气压强的降低而下降，因此在高山上煮鸡蛋需要更长的时间才能熟透。"
 THAI = "น้ำเดือดที่อุณหภูมิต่ำลงเมื่อความดันอากาศลดลงบนภูเขาสูง"
@@ -39,3 +40,39 @@ def test_short_items_are_found_as_whole_documents():
     assert [h.item for h in block.find(" forty two! ")] == [0, 3]
     assert [h.item for h in block.find("YES.")] == [1]
     assert not block.find("no") and not block.find("...") and not block.find("")
+
+
+def test_one_block_at_a_time_and_none_too_large(spark, monkeypatch):
+    pick = random.Random(3)
+    passage = lambda: " ".join("".join(pick.choice("abcdefgh") for _ in range(5)) for _ in range(30))
+    texts = [passage() for _ in range(60)]
+    ids = [7] * 30 + [None] * 15 + list(range(100, 115))  # half of the rows under one id, a quarter under none
+    items = spark.createDataFrame(list(zip(ids, texts)), "item_id long, text string")
+    docs = [(d, f"{passage()} {texts[d]} {passage()}") for d in range(60)] + [(60 + d, passage()) for d in range(20)]
+    docs += [docs[0], docs[0], (80, f"{texts[0]} {texts[1]} {texts[55]}"), (81, None), (82, "")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    small = Settings(block_chars=1000)
+
+    seen = []
+
+    def watched(*given):
+        n, read = blocks(*given)
+
+        def noted(k):
+            rows = read(k)
+            seen.append(sum(len(t) for _, t in rows))
+            return rows
+
+        return n, noted
+
+    one = sorted(map(str, contaminated(frame, items).collect()))
+    kept = sorted(map(str, drop_contaminated(frame, items).collect()))
+    monkeypatch.setattr(decontaminate, "blocks", watched)
+    several = contaminated(frame, items, settings=small)
+    assert len(seen) == 11 and max(seen) < 3000
+    rest = drop_contaminated(frame, items, settings=small)
+    for result in (several, rest):  # no block is in the plan
+        assert "MapInArrow" not in result._jdf.queryExecution().toString()
+    assert sorted(map(str, several.collect())) == one
+    assert sorted(map(str, rest.collect())) == kept
+    assert len(kept) == 22 and sum("doc_id=0," in r for r in one) == 3
