@@ -1,7 +1,7 @@
 """Signature rules for license texts, over lower-case words with one space between them.
 
-Each rule has a priority (1 is strongest), a label, a keyword that every match
-holds, a weight and a regular expression. Keywords start a word. The order of the list
+Each rule has a priority (1 is strongest), a label, keywords of which every match
+holds one, a weight and a regular expression. Keywords start a word. The order of the list
 breaks ties.
 """
 
@@ -14,7 +14,7 @@ class Rule(NamedTuple):
     priority: int
     label: str
     weight: float
-    keyword: str
+    keyword: str  # one or several, with | between them
     pattern: str
     base: bool = False
     also: str = ""  # a second keyword that every match holds
@@ -27,9 +27,9 @@ PHRASES = (
     ("cc-by-nc", "cc by nc"),
 )
 
-#: label | identifier in words | keyword of the name | name | address in words
+#: label | identifier in words | keywords of the name, with / between them | name | address in words
 LICENSES = r"""
-mit | mit | mit | (?:mit|expat)(?: x11)? licen[cs]e | (?:opensource org licenses mit(?: license)?|choosealicense com licenses mit)
+mit | mit | mit/expat | (?:mit|expat)(?: x11)? licen[cs]e | (?:opensource org licenses mit(?: license)?|choosealicense com licenses mit)
 mit-0 | mit 0 | mit | mit no attribution licen[cs]e | opensource org licenses mit 0
 apache-1 | apache 1 [01] | apache | apache (?:software )?licen[cs]e(?: version)? 1(?: [01])? | apache org licenses license 1 [01]
 apache-2 | apache 2 0 | apache | apache(?: software)? licen[cs]e(?: version)? ?v?2(?: 0)?|apache 2(?: 0)? licen[cs]e | apache org licenses license 2 0
@@ -62,7 +62,7 @@ artistic-2 | artistic 2 0 | artistic | artistic licen[cs]e(?: version)? 2(?: 0)?
 boost | bsl 1 0 | boost | boost software licen[cs]e(?: version)?(?: 1(?: 0)?)? | boost org license 1 0
 bsl-1.1 | busl 1 1 | business source | business source licen[cs]e(?: version)?(?: 1(?: 1)?)? | mariadb com bsl11
 zlib | zlib | zlib | zlib(?: libpng)? licen[cs]e | (?:zlib net zlib license|opensource org licenses zlib(?: license)?)
-libpng | libpng(?: 2 0)? | libpng | (?:png reference library|libpng) licen[cs]e(?: version)?(?: 2)? | libpng org pub png src libpng license
+libpng | libpng(?: 2 0)? | libpng/png reference | (?:png reference library|libpng) licen[cs]e(?: version)?(?: 2)? | libpng org pub png src libpng license
 unlicense | unlicense | unlicense | (?:the )?unlicense | unlicense org
 wtfpl | wtfpl | public licen | do what the f\S* you want to public licen[cs]e | wtfpl net
 cc0 | cc0 1 0 | cc0 | (?:creative commons )?cc0(?: 1 0)?(?: universal)?(?: public domain dedication)? | creativecommons org publicdomain zero 1 0
@@ -97,7 +97,7 @@ mulan | mulanpsl [12] 0 | mulan | mulan permissive software licen[cs]e(?: v?[12]
 sspl | sspl 1 0 | server side | server side public licen[cs]e(?: version)?(?: 1)? | mongodb com licensing server side public license
 elastic | elastic 2 0 | elastic | elastic licen[cs]e(?: version)?(?: 2(?: 0)?)? | elastic co licensing elastic license
 polyform | polyform (?:noncommercial|small business) 1 0 0 | polyform | polyform (?:noncommercial|small business|shield|strict) licen[cs]e(?: 1 0 0)? | polyformproject org licenses
-openrail | openrail | openrail | (?:bigscience |creativeml )?open ?rail(?: m)?(?: licen[cs]e)? | huggingface co spaces bigscience license
+openrail | openrail | openrail/open rail | (?:bigscience |creativeml )?open ?rail(?: m)?(?: licen[cs]e)? | huggingface co spaces bigscience license
 llama | llama[ 23]* | llama | llama [23] community licen[cs]e(?: agreement)? | llama meta com llama[ 23]* license
 """
 
@@ -117,7 +117,7 @@ WORDINGS = (
     (1, "boost", 1.0, "permission is hereby granted", r"permission is hereby granted free of charge to any person or organization obtaining a copy"),
     (1, "unlicense", 1.0, "unencumbered", r"this is free and unencumbered software released into the public domain"),
     (1, "mpl", 1.0, "source code form", r"this source code form is subject to the terms of the mozilla public licen[cs]e"),
-    (2, "ofl", 0.9, "reserved font", r"this font software is licensed under the sil open font licen[cs]e|with reserved font names?"),
+    (2, "ofl", 0.9, "reserved font|font software", r"this font software is licensed under the sil open font licen[cs]e|with reserved font names?"),
     (2, "cc-by-nc", 0.9, "cc by", r"cc by nc(?: [1234] 0)?"),
     (2, "cc-by-nc-sa", 0.9, "cc by", r"cc by nc sa(?: [1234] 0)?"),
     (2, "cc-by-nc-nd", 0.9, "cc by", r"cc by nc nd(?: [1234] 0)?"),
@@ -149,6 +149,7 @@ def rules() -> list[Rule]:
     out = [Rule(1, label, 1.0, phrase, phrase, True) for label, phrase in PHRASES]
     for line in LICENSES.strip().splitlines():
         label, tag, keyword, name, address = (part.strip() for part in line.split(" | "))
+        keyword = keyword.replace("/", "|")
         also = "" if label in BARE else "licen"
         host = address.split(" org")[0] if " org" in address else ""
         out += [

@@ -36,6 +36,11 @@ def _places(low: Column, pattern: Column) -> Column:
     return F.transform(F.arrays_zip(starts.alias("a"), ends.alias("b")), lambda s: F.struct(s["a"].alias("first"), s["b"].alias("last")))
 
 
+def keys(rule: Rule) -> list[str]:
+    """The keywords of which every match holds one, as they stand among the words."""
+    return [f" {k}" for k in rule.keyword.split("|")]
+
+
 def find_licenses(
     df: DataFrame, doc_id: str = "doc_id", text: str = "text", signatures: list[Rule] | None = None
 ) -> DataFrame:
@@ -55,7 +60,7 @@ def find_licenses(
                 F.lit(r.label).alias("label"),
                 F.lit(r.weight).alias("weight"),
                 F.lit(r.base).alias("base"),
-                F.lit(f" {r.keyword}").alias("keyword"),
+                F.array(*[F.lit(k) for k in keys(r)]).alias("keywords"),
                 F.lit(f" {r.also}").alias("also"),
                 F.lit(r.pattern).alias("pattern"),
             )
@@ -63,8 +68,8 @@ def find_licenses(
         ]
     )
     second = sorted({f" {r.also}" for r in signatures if r.also})
-    free = sorted({f" {r.keyword}" for r in signatures if not r.also} | set(second))
-    bound = sorted({f" {r.keyword}" for r in signatures if r.also} - set(free))
+    free = sorted({k for r in signatures if not r.also for k in keys(r)} | set(second))
+    bound = sorted({k for r in signatures if r.also for k in keys(r)} - set(free))
 
     words = df.select(
         F.col(doc_id).alias("id"),
@@ -99,7 +104,7 @@ def find_licenses(
                 F.transform(
                     F.filter(
                         table,
-                        lambda r: F.array_contains("hits", r["keyword"])
+                        lambda r: F.arrays_overlap("hits", r["keywords"])
                         & ((r["also"] == " ") | F.array_contains("hits", r["also"])),
                     ),
                     lambda r: F.transform(
