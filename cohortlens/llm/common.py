@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortlens.evaluation.running import running_totals
+
 ARROW = {
     "bigint": pa.int64(),
     "int": pa.int32(),
@@ -16,6 +18,7 @@ ARROW = {
     "boolean": pa.bool_(),
     "string": pa.string(),
     "binary": pa.binary(),
+    "array<int>": pa.list_(pa.int32()),
     "array<bigint>": pa.list_(pa.int64()),
     "array<double>": pa.list_(pa.float64()),
     "array<string>": pa.list_(pa.string()),
@@ -34,9 +37,9 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def remainder(doc_id: str = "doc_id") -> F.Column:
-    """crc32 of the id as text, modulo 4; a null id counts as the empty text."""
-    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 4
+def remainder(doc_id: str = "doc_id", modulus: int = 4) -> F.Column:
+    """crc32 of the id as text, modulo ``modulus``; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
 def arrow_fields(ddl: str) -> tuple[T.StructType, pa.Schema]:
@@ -80,3 +83,11 @@ def per_text(
         pa.default_memory_pool().release_unused()  # the worker lives on and shares the executor's memory
 
     return inner.mapInArrow(run, T.StructType([*inner.select(*given).schema.fields, *fields.fields]))
+
+
+def ranked(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """``i``, the rank within the keys, and ``n``, their number of rows. Equal rows are dealt to several tasks too."""
+    spread = rows.withColumn("order", F.struct(*order, F.monotonically_increasing_id())).withColumn("one", F.lit(1).cast("long"))
+    kept = [c for c in rows.columns if c not in keys]
+    counted = running_totals(spread, keys, "order", ["one"], descending=False, keep=kept)
+    return counted.select(*rows.columns, (F.col("cum_one") - 1).alias("i"), F.col("all_one").alias("n"))

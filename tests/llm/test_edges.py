@@ -8,11 +8,13 @@ from cohortlens.llm.bpe import count_tokens
 from cohortlens.llm.decontaminate import contaminated, drop_contaminated
 from cohortlens.llm.language import identify_language
 from cohortlens.llm.licenses import find_licenses
+from cohortlens.llm.merkle import merkle_manifest
 from cohortlens.llm.packing import best_fit_packing
 from cohortlens.llm.quality import classify_quality
 from cohortlens.llm.repetition import keep_by_rules, repetition_rules
 from cohortlens.llm.secret_scan import find_secrets, redact_secrets
 from cohortlens.llm.simhash import drop_near_duplicates, near_duplicates
+from cohortlens.llm.toxicity import classify_toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, "
 CLASH = "print long, kept boolean, score double, row long, text_in string, low string, id string, least long, masked string, n long"
@@ -46,6 +48,8 @@ PER_ROW = {
     "simhash": lambda d: near_duplicates(d),
     "language": lambda d: identify_language(d),
     "tokens": lambda d: count_tokens(d),
+    "manifest": lambda d: merkle_manifest(d),
+    "toxicity": lambda d: classify_toxicity(d, labels(d.sparkSession)),
 }
 
 
