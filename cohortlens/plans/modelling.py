@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from cohortlens.models import board, cox, importance, pu
 from cohortlens.operators import assemble, labels
 from cohortlens.plans import bindings as b
 from cohortlens.plans import outcomes as out
+from cohortlens.plans import sql as q
 from cohortlens.plans.registry import query
 from cohortlens.session import materialise
 
@@ -137,7 +140,7 @@ def _pu_rows(spark, sf):
 @query("pu_backtest")
 def pu_backtest(spark, sf):
     """One PU model per test date; all dates are evaluated together."""
-    rows = pu.fourier_features(_pu_rows(spark, sf), COVARIATES, dimension=64)
+    rows = pu.fourier_features(_pu_rows(spark, sf), COVARIATES)
     projected = materialise(rows, "projected")
     scored = None
     for day, train, test in assemble.backtest_splits(projected, out.BACKTESTS):
@@ -158,23 +161,89 @@ def pu_embeddings(spark, sf):
         "vec_id", positive.cast("int").alias("truth"), shown.cast("int").alias("shown"),
         *[F.get("embedding", F.lit(i)).cast("double").alias(n) for i, n in enumerate(names)],
     )
-    model = pu.fit_pu(materialise(rows, "vectors"), names, "shown", "vec_id", dimension=256)
+    rows = materialise(rows, "vectors")
+    model = pu.fit_pu(rows, names, "shown", "vec_id", dimension=256)
     return model.transform(rows).select("vec_id", "truth", "shown", "pu_score")
 
 
 @query("permutation_importance")
 def permutation_importance(spark, sf):
+    """Importance in the kernel model of the back-test, trained on all its rows."""
     rows = _pu_rows(spark, sf).select("ent", "pred_dt", "key", "label", *COVARIATES)
-    model = pu.fit_pu(rows, COVARIATES, "label", "key", gamma=None)
-    scored = importance.permutation_importance(
-        model.transform, rows, ["ent", "pred_dt"], COVARIATES, "label", "pu_score"
+    model = pu.fit_pu(materialise(pu.fourier_features(rows, COVARIATES), "projected"), COVARIATES, "label", "key")
+    found = importance.permutation_importance(
+        lambda moved: model.slot_scores(moved, 10), rows, ["ent", "pred_dt"], COVARIATES, "label"
     )
-    return (
-        scored.groupBy("feature")
-        .agg(F.avg("importance").alias("mean_imp"), F.stddev_pop("importance").alias("sd_imp"))
+    return found.groupBy("feature").agg(
+        F.avg("importance").alias("mean_imp"), F.stddev_pop("importance").alias("sd_imp")
     )
 
 
+MOVED, REPEATS, SEED = ["days_a", "score"], 3, 626
+
+
+def _moves_sql() -> str:
+    """The permutations written out: the rounds of each slot, folded over the row number.
+
+    The keys are drawn modulo n in the query, since n is the number of rows; the number of rounds is that of up to
+    2^20 rows, and rows in the library have fewer rounds for fewer rows.
+    """
+    slots = [(f, r) for f in MOVED for r in range(REPEATS)]
+    values = []
+    for i, (feature, repeat) in enumerate(slots):
+        rng = random.Random(f"{SEED}/{feature}/{repeat}")
+        keys = [(rng.randrange(1 << 62), rng.randrange(1, importance.PRIME), rng.randrange(importance.PRIME)) for _ in range(24)]
+        values.append(f"({i}, '{feature}', {repeat}, [{', '.join(f'[{k}, {a}, {b}]' for k, a, b in keys)}])")
+    p = importance.PRIME
+    return f"""{q.SCORED}, slots(slot, feature, repeat, keys) AS (VALUES {", ".join(values)}),
+  rows AS (SELECT ent, pred_dt, label, CAST(days_a AS DOUBLE) AS days_a, CAST(score AS DOUBLE) AS score,
+    row_number() OVER (ORDER BY ent, pred_dt) - 1 AS idx, COUNT(*) OVER () AS n FROM scored),
+  sent AS (SELECT feature, repeat, CASE feature WHEN 'days_a' THEN days_a ELSE score END AS value,
+    list_reduce([[idx, 0, 0]] || keys[1:greatest(8, len(bin(n)) + 4)], lambda x, key: CASE
+      WHEN ((greatest(x[1], ((key[1] % n) - x[1] + n) % n) % {p}) * key[2] + key[3]) % {p} % 2 = 1
+      THEN [((key[1] % n) - x[1] + n) % n, 0, 0] ELSE x END)[1] AS idx FROM rows, slots),
+  moves AS (SELECT r.ent, r.pred_dt, r.label, r.days_a, r.score, s.feature, s.repeat, s.value FROM sent s JOIN rows r USING (idx))"""
+
+
+def _moved(spark, sf):
+    rows = b.scored_spine(spark, sf)
+    return importance.moved_values(rows, ["ent", "pred_dt"], MOVED, ["label"], REPEATS, SEED)
+
+
+@query("permutation_moves", f"""WITH {_moves_sql()} SELECT ent, pred_dt, feature, repeat, value FROM moves""")
+def permutation_moves(spark, sf):
+    """The value that comes to each row by the permutation of each feature and repeat."""
+    moved = _moved(spark, sf)
+    slots = moved.select("ent", "pred_dt", F.posexplode("moved").alias("slot", "value"))
+    names = F.array(*[F.lit(f) for f in MOVED])
+    return slots.select(
+        "ent", "pred_dt", F.get(names, F.floor(F.col("slot") / REPEATS).cast("int")).alias("feature"),
+        (F.col("slot") % REPEATS).alias("repeat"), "value",
+    )
+
+
+@query("permutation_f1", f"""WITH {_moves_sql()}, s AS (
+    SELECT feature, repeat, label, CASE feature WHEN 'days_a' THEN value + 100 * score ELSE days_a + 100 * value END AS v FROM moves
+    UNION ALL SELECT '', -1, label, days_a + 100 * score FROM rows),
+  c AS (SELECT DISTINCT feature, repeat, SUM(label) OVER w AS tp, COUNT(*) OVER w AS k, SUM(label) OVER (PARTITION BY feature, repeat) AS p
+    FROM s WINDOW w AS (PARTITION BY feature, repeat ORDER BY v DESC RANGE UNBOUNDED PRECEDING)),
+  f AS (SELECT feature, repeat, MAX(CASE WHEN p > 0 THEN 2.0 * tp / (k + p) ELSE 0 END) AS f1 FROM c GROUP BY feature, repeat)
+  SELECT feature, repeat, ROUND((SELECT f1 FROM f WHERE repeat < 0) - f1, 9) + 0.0 AS importance FROM f WHERE repeat >= 0""")
+def permutation_f1(spark, sf):
+    """Drop of the best F1 of a given linear score."""
+    rows = b.scored_spine(spark, sf)
+
+    def scores(moved):
+        x, new = F.col("x"), F.col("moved")
+        own = F.get(x, F.lit(0)) + 100 * F.get(x, F.lit(1))
+        first = [F.get(new, F.lit(r)) + 100 * F.get(x, F.lit(1)) for r in range(REPEATS)]
+        second = [F.get(x, F.lit(0)) + 100 * F.get(new, F.lit(REPEATS + r)) for r in range(REPEATS)]
+        return moved.withColumn("scores", F.array(own, *first, *second))
+
+    found = importance.permutation_importance(scores, rows, ["ent", "pred_dt"], MOVED, "label", REPEATS, SEED)
+    return found.withColumn("importance", F.round("importance", 9) + 0.0)
+
+
 # --- what-ifs ---------------------------------------------------------------
 
 EDGES = [("l_quantity", "l_extendedprice"), ("l_extendedprice", "l_tax"), ("l_quantity", "l_discount"),

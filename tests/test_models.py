@@ -130,24 +130,47 @@ def test_fourier_features_approximate_the_kernel(spark):
     assert abs(z[0] @ z[1] - np.exp(-0.4 * (0.3**2 + 0.5**2))) < 0.05
 
 
-def test_shuffle_is_a_permutation(spark):
-    df = spark.range(101).select(F.col("id").alias("k"), (F.col("id") * 10).alias("a"), (F.col("id") * 100).alias("b"), F.lit(1).alias("y"))
-    moved = importance.shuffled_rows(df, ["k"], ["a", "b"], ["y"], 2, 3)
-    for (feature, repeat), part in moved.toPandas().groupby(["feature", "repeat"]):
-        assert sorted(part.a) == [i * 10 for i in range(101)] and sorted(part.b) == [i * 100 for i in range(101)]
-        tied = (part.a * 10 == part.b).sum()
-        assert tied < 101  # the pairing of the columns is broken
+@pytest.mark.parametrize("n", [1, 2, 7, 1000])
+def test_every_slot_is_a_permutation_of_its_own(spark, n):
+    df = spark.range(n).select(F.col("id").alias("k"), (F.col("id") * 10).alias("a"), (F.col("id") * 100).alias("b"), F.lit(1).alias("y"))
+    rows = importance.moved_values(df, ["k"], ["a", "b"], ["y"], 3, 3).toPandas().sort_values("k")
+    moved = np.array(rows.moved.tolist())
+    scale = np.array([10] * 3 + [100] * 3)
+    assert moved.shape == (n, 6) and all(sorted(column) == list(range(n)) for column in (moved / scale).T)
+    if n == 1000:
+        near = np.corrcoef(np.vstack([np.arange(n), (moved / scale).T]))
+        assert np.abs(near - np.eye(7)).max() < 0.15  # neither the row's place nor another slot shows
 
 
 def test_permutation_importance_ranks_the_useful_feature(spark):
     df = clusters(spark).withColumn("noise", (F.col("id") * 7919 % 13).cast("double"))
     model = pu.fit_pu(df, ["a", "noise"], "truth", "id", gamma=None)
-    got = importance.permutation_importance(model.transform, df, ["id"], ["a", "noise"], "truth", "pu_score", repeats=2)
+    got = importance.permutation_importance(lambda m: model.slot_scores(m, 2), df, ["id"], ["a", "noise"], "truth", 2)
     mean = {r.feature: r.m for r in got.groupBy("feature").agg(F.avg("importance").alias("m")).collect()}
     assert mean["a"] > 0.1 and abs(mean["noise"]) < 0.05
     assert got.count() == 4
 
 
+@pytest.mark.parametrize("gamma", [None, 0.4])
+def test_slot_scores_are_those_of_changed_rows(spark, gamma):
+    df = clusters(spark).limit(40)
+    model = pu.fit_pu(df, ["a", "b"], "truth", "id", gamma=gamma, dimension=16, seed=5)
+    moved = importance.moved_values(df, ["id"], ["a", "b"], ["truth"], 1, 3)
+    got = model.slot_scores(moved, 1).collect()
+    for slot in range(3):
+        changed = spark.createDataFrame(
+            [(r.id, r.moved[0] if slot == 1 else r.x[0], r.moved[1] if slot == 2 else r.x[1]) for r in got], "id long, a double, b double"
+        )
+        want = {r.id: r.pu_score for r in model.transform(changed).collect()}
+        assert all(abs(want[r.id] - r.scores[slot]) < 1e-9 for r in got)
+
+
+def test_seed_of_a_pu_model_is_that_of_its_projection(spark):
+    df = clusters(spark).limit(30)
+    first, second = (pu.fit_pu(df, ["a", "b"], "truth", "id", dimension=8, seed=s).features_of(df).first().features for s in (1, 2))
+    assert first != second
+
+
 def test_boosting_calibration_and_persistence(spark, tmp_path):
     df = clusters(spark)
     gbt = board.gbt_from_params({"ntrees": 3, "max_depth": {"actual": 2}, "col_sample_rate": 0.5, "huber_alpha": None}, "truth")
