@@ -6,9 +6,12 @@ Unicode escapes give the whole layer rewritten, with a position for each
 character; base64 runs give layers of their own, and compressed bytes in them are
 unpacked first, all members and frames of them. Layers are opened until none is left.
 A layer that was met before at the same place is not taken again, so a cycle ends.
+Escapes of escapes are searched level by level; below `LEVELS` of them the rest is
+resolved to its fixpoint in one pass, so that time and memory stay linear.
 
-Unpacked bytes are always searched, whatever they are; only a bare base64 word must
-look like text. A layer over `MAX_LAYER` is searched in overlapping windows.
+Decoded and unpacked bytes are always searched, whatever they are; a bare base64 word
+must look like text only to be opened further. A layer over `MAX_LAYER` is searched in
+overlapping windows.
 
 Positions are code points of the document. What is found in an opened layer has
 the span of the encoded characters that it came from.
@@ -23,6 +26,7 @@ import hashlib
 import lzma
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -57,8 +61,12 @@ MAX_TOTAL = 8 << 30
 ENCODED = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=%\\&#;{}\r\n\x00"
 BROKEN = (zlib.error, OSError, ValueError, EOFError, lzma.LZMAError, zstandard.ZstdError)
 PIECE = 1 << 16
-#: Share of characters that are no text up to which a bare base64 word is taken for text.
+#: Share of characters that are no text up to which a bare base64 word is opened further.
 NO_TEXT = 0.1
+#: Levels of escapes within escapes that are layers of their own, and the longest escape of one character.
+LEVELS, ESCAPED = 16, 12
+#: Compressed formats within each other that are read as one stream; below them the bytes are held.
+STREAMS = 100
 MASK = "[SECRET]"
 
 
@@ -67,6 +75,8 @@ class Layer(NamedTuple):
     start: np.ndarray | int | None  # document position of each character; one for all; None: the document itself
     end: np.ndarray | int | None
     path: str
+    level: int = 0  # of escapes within escapes
+    sealed: bool = False  # searched, but not opened further
 
     def span(self, a: int, b: int) -> tuple[int, int]:
         if self.start is None:
@@ -114,44 +124,114 @@ def matches(text: str) -> list[tuple[int, int, int]]:
 
 
 def unescape(layer: Layer) -> tuple[Layer | None, list[tuple[bytes, int, int]]]:
-    """The layer with its escapes resolved (None if it has none), and byte runs that are no text."""
-    text, pieces, starts, ends, at, raw = layer.text, [], [], [], 0, []
+    """The layer with one level of escapes resolved (None if it has none), and byte runs that are no text."""
+    text, pieces, at, raw = layer.text, [], 0, []
+    lengths, starts, widths = array("q"), array("q"), array("q")  # runs of characters: of the text, or one escape each
+
+    def run(length: int, start: int, width: int) -> None:
+        lengths.append(length)
+        starts.append(start)
+        widths.append(width)
+
     for m in ESCAPE.finditer(text):
         kind, value = m.lastgroup, m[m.lastgroup]
         if kind == "url":
             data = bytes.fromhex(value.replace("%", ""))
             chars = data.decode("utf-8", "surrogateescape")
-            widths = [3 if "\udc80" <= c <= "\udcff" else 3 * len(c.encode()) for c in chars]
+            sizes = [3 if "\udc80" <= c <= "\udcff" else 3 * len(c.encode()) for c in chars]
             if any("\udc80" <= c <= "\udcff" for c in chars):  # such bytes stand as characters of their own
                 raw.append((data, m.start(), m.end()))
                 chars = "".join(chr(ord(c) - 0xDC00) if "\udc80" <= c <= "\udcff" else c for c in chars)
+        elif (chars := character(m)) is None:
+            continue
         else:
-            if kind == "low":
-                code = 0x10000 + ((int(m["high"], 16) & 0x3FF) << 10) + (int(value, 16) & 0x3FF)
-            else:
-                code = int(value, 10 if kind == "dec" else 16)
-            if code > 0x10FFFF or 0xD800 <= code < 0xE000:
-                continue
-            chars, widths = chr(code), [m.end() - m.start()]
+            sizes = [m.end() - m.start()]
         pieces += [text[at : m.start()], chars]
-        if isinstance(layer.start, int):  # all at one place
-            at = m.end()
-            continue
-        plain = np.arange(at, m.start())
-        first = m.start() + np.concatenate(([0], np.cumsum(widths)[:-1])).astype(np.int64)
-        starts += [plain, first]
-        ends += [plain + 1, first + np.array(widths)]
+        run(m.start() - at, at, 1)
+        first = m.start()
+        for size in sizes:
+            run(1, first, size)
+            first += size
         at = m.end()
     if not pieces:
         return None, raw
     pieces.append(text[at:])
-    if isinstance(layer.start, int):
-        return Layer("".join(pieces), layer.start, layer.end, f"{layer.path}>escape"), raw
-    plain = np.arange(at, len(text))
-    start, end = np.concatenate([*starts, plain]), np.concatenate([*ends, plain + 1])
+    run(len(text) - at, at, 1)
+    path, level = f"{layer.path}>escape" if not layer.level else layer.path, layer.level + 1
+    if isinstance(layer.start, int):  # all at one place
+        return Layer("".join(pieces), layer.start, layer.end, path, level), raw
+    length = np.frombuffer(lengths, np.int64)
+    start = np.repeat(np.frombuffer(starts, np.int64) - np.cumsum(length) + length, length) + np.arange(length.sum())
+    end = start + np.repeat(np.frombuffer(widths, np.int64), length)
     if layer.start is not None:
         start, end = layer.start[start], layer.end[end - 1]
-    return Layer("".join(pieces), start, end, f"{layer.path}>escape"), raw
+    return Layer("".join(pieces), start, end, path, level), raw
+
+
+def character(m: re.Match) -> str | None:
+    """The character of an escape that is no percent escape; None if it is none."""
+    kind, value = m.lastgroup, m[m.lastgroup]
+    if kind == "low":
+        code = 0x10000 + ((int(m["high"], 16) & 0x3FF) << 10) + (int(value, 16) & 0x3FF)
+    else:
+        code = int(value, 10 if kind == "dec" else 16)
+    return None if code > 0x10FFFF or 0xD800 <= code < 0xE000 else chr(code)
+
+
+def settled(layer: Layer) -> Layer:
+    """The layer with its escapes resolved until none is left, in one pass.
+
+    A resolved character goes back to what is still to be read, with as many characters before it as may begin an
+    escape that it completes. Each escape makes the text shorter, so the pass is linear.
+    """
+    text, ahead = layer.text, []  # characters put back, the next one last: (character, first, last)
+    done: list[str] = []
+    first, last = array("q"), array("q")
+    at = 0
+    while ahead or at < len(text):
+        next_one = ahead[-1][0] if ahead else text[at]
+        if next_one in "%\\&":
+            back = ahead[: -ESCAPED - 1 : -1]
+            window = "".join(c for c, _, _ in back) + text[at : at + ESCAPED - len(back)]
+            m = ESCAPE.match(window)
+            if m is not None:
+                char, used = None, m.end()
+                if m.lastgroup == "url":
+                    data = bytes.fromhex(m["url"].replace("%", ""))[:4]
+                    size = next((k for k in range(1, len(data) + 1) if _is_character(data[:k])), 0)
+                    char, used = (data[:size].decode(), 3 * size) if size else (chr(data[0]), 3)
+                else:
+                    char = character(m)
+                if char is not None:
+                    held = min(used, len(ahead))
+                    spots = [ahead.pop()[1:] for _ in range(held)]
+                    spots += [(at + k, at + k) for k in range(used - held)]
+                    at += used - held
+                    ahead.append((char, spots[0][0], spots[-1][1]))
+                    tail = "".join(done[-ESCAPED + 1 :])
+                    for _ in range(len(tail) - min((k for k in map(tail.find, "%\\&") if k >= 0), default=len(tail))):
+                        ahead.append((done.pop(), first.pop(), last.pop()))
+                    continue
+        if ahead:
+            char, a, b = ahead.pop()
+        else:
+            char, a, b = next_one, at, at
+            at += 1
+        done.append(char)
+        first.append(a)
+        last.append(b)
+    if isinstance(layer.start, int):
+        return Layer("".join(done), layer.start, layer.end, layer.path, layer.level)
+    start, end = np.frombuffer(first, np.int64), np.frombuffer(last, np.int64)
+    start, end = (layer.start[start], layer.end[end]) if layer.start is not None else (start, end + 1)
+    return Layer("".join(done), start, end, layer.path, layer.level)
+
+
+def _is_character(data: bytes) -> bool:
+    try:
+        return len(data.decode()) == 1
+    except UnicodeDecodeError:
+        return False
 
 
 def packing(head: bytes) -> str | None:
@@ -258,6 +338,8 @@ def unpack(data: bytes, room: int) -> tuple[str, bytes | None] | None:
 def views(data: bytes) -> list[str]:
     """The bytes as text; with NUL bytes (UTF-16, UTF-32) also without them. Bytes that are no text are replaced."""
     out = [data.decode("utf-8", "replace")]
+    if "\ufffd" in out[0]:
+        out.append(data.decode("latin-1"))
     if b"\0" in data:
         out.append(data.replace(b"\0", b"").decode("utf-8", "replace"))
     if data[:2] in (b"\xff\xfe", b"\xfe\xff"):
@@ -333,10 +415,19 @@ def scan(text: str | None) -> Found:
         again, whole, depth = digest in charged, True, 0
         charged.add(digest)
         source = Source(members(Source(pieces_of(data))))
-        while depth < 100 and (packed := peel(source)) is not None:
+        while depth < STREAMS and (packed := peel(source)) is not None:
             name, source = packed
             path, depth = f"{path}>{name}", depth + 1
         buffer = bytearray()
+        if depth == STREAMS:  # a stream within a stream takes stack; what is left starts anew, if it can be held
+            while len(buffer) <= MAX_LAYER and (piece := source.take()):
+                buffer += piece
+            if len(buffer) <= MAX_LAYER:
+                charge(bytes(buffer))
+                yield from opened(bytes(buffer), start, end, path)
+                return
+            source.back.append(bytes(buffer))
+            buffer.clear()
         while True:
             piece = source.take()
             buffer += piece
@@ -354,42 +445,49 @@ def scan(text: str | None) -> Found:
             if run > len(buffer) // 2:
                 whole, run = False, 0
             del buffer[: len(buffer) - max(run, min(OVERLAP, len(buffer) // 2))]
-        if not whole or depth == 100:
+        if not whole:
             closed.append((start, end))
 
+    def word(data: bytes | None, start: int, end: int, path: str) -> Iterator[Layer]:
+        """Layers of a decoded base64 word; those of one that is no text are only searched."""
+        if data is None:
+            return
+        if unpack(data, 1) is not None or min(map(no_text, views(data)), default=1.0) <= NO_TEXT:
+            yield from opened(data, start, end, path)
+        else:
+            for inner in views(data):
+                yield Layer(inner, start, end, path, sealed=True)
+
     def inside(layer: Layer) -> Iterator[Layer]:
+        """The layers in a layer. That of its escapes is returned at the end, when this one is no longer needed."""
         inner = layer.text
         for a, b in encoded_runs(inner):
             data = from_base64(inner[a:b])
-            share = 1.0
-            if data is not None:
-                if unpack(data, 1) is not None:
-                    share = 0.0
-                else:
-                    share = min(map(no_text, views(data)), default=1.0)
-                if share <= NO_TEXT:
-                    yield from opened(data, *layer.span(a, b), f"{layer.path}>base64")
-            if share:  # a path around it
+            yield from word(data, *layer.span(a, b), f"{layer.path}>base64")
+            if data is None or unpack(data, 1) is None and min(map(no_text, views(data)), default=1.0):  # a path around it
                 for part in re.finditer(r"[A-Za-z0-9+]{16,}={0,2}", inner[a:b]):
-                    if part.end() - part.start() < b - a and (data := from_base64(part[0])) is not None:
-                        if unpack(data, 1) is not None or min(map(no_text, views(data)), default=1.0) <= NO_TEXT:
-                            yield from opened(data, *layer.span(a + part.start(), a + part.end()), f"{layer.path}>base64")
+                    if part.end() - part.start() < b - a:
+                        yield from word(from_base64(part[0]), *layer.span(a + part.start(), a + part.end()), f"{layer.path}>base64")
                 for at in suffixes(inner[a:b]):
-                    if (data := from_base64(inner[a + at : b])) is not None:
-                        yield from opened(data, *layer.span(a + at, b), f"{layer.path}>base64")
+                    yield from word(from_base64(inner[a + at : b]), *layer.span(a + at, b), f"{layer.path}>base64")
         if "%" in inner or "\\" in inner or "&#" in inner:
             plain, raw = unescape(layer)
             for data, a, b in raw:
                 if unpack(data, 1) is not None:
                     yield from opened(data, *layer.span(a, b), f"{layer.path}>url")
             if plain is not None:
-                yield plain
+                return settled(plain) if plain.level >= LEVELS else plain
+        return None
 
     todo = [inside(Layer(text, None, None, ""))]
     while todo:
-        if (layer := next(todo[-1], None)) is None:
+        try:
+            layer = next(todo[-1])
+        except StopIteration as end:
             todo.pop()
-            continue
+            layer = end.value
+            if layer is None:
+                continue
         span = layer.span(0, len(layer.text)) if layer.text else (0, 0)
         mark = (hashlib.blake2b(layer.text.encode("utf-8", "replace"), digest_size=16).digest(), *span)
         if mark in seen:
@@ -400,7 +498,8 @@ def scan(text: str | None) -> Found:
             added.add((start, kind, end))
             if (start, kind, end) not in own:
                 paths.add(layer.path[1:])
-        todo.append(inside(layer))
+        if not layer.sealed:
+            todo.append(inside(layer))
     return Found(base, sorted(added - own), sorted(paths), len(closed), closed)
 
 
