@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from itertools import product
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (
@@ -12,16 +14,15 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import RFormula, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortlens.evaluation import metrics
+from cohortlens.models.fits import together
 from cohortlens.operators.assemble import hash_percent
 from cohortlens.session import materialise
 
@@ -109,21 +110,68 @@ def gbt_from_params(
     return GBTClassifier(labelCol=label, seed=seed).setParams(**known)
 
 
-def cross_validate(
-    estimator: Estimator, features: Sequence[str], df: DataFrame, label: str, grid: Mapping[str, Sequence],
-    folds: int = 3, seed: int = 23,
-):
-    """Small grid by k-fold AUC."""
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(estimator.getParam(name), list(values))
-    return CrossValidator(
-        estimator=pipeline(features, estimator),
-        estimatorParamMaps=builder.build(),
-        evaluator=BinaryClassificationEvaluator(labelCol=label),
-        numFolds=folds,
-        seed=seed,
-    ).fit(df)
+def fold_rows(df: DataFrame, key: str, folds: int, seed: int, name: str = "fold") -> DataFrame:
+    """The fold of each row by a hash of its key: no key in two folds, and the same rows in every job."""
+    return df.withColumn(name, hash_percent(key, seed) % folds)
+
+
+def expand_grid(
+    grid: Mapping[str, tuple[type[Estimator], Mapping, Mapping[str, Sequence]]], label: str, weight: str | None = None
+) -> dict[str, Estimator]:
+    """One estimator for each combination of the varied parameters, named ``family|parameter=value``.
+
+    A family has a class, its fixed parameters and the values of those that vary.
+    """
+    out = {}
+    columns = {"labelCol": label} | ({"weightCol": weight} if weight else {})
+    for family, (kind, fixed, values) in grid.items():
+        for cell in product(*values.values()):
+            chosen = dict(zip(values, cell, strict=True))
+            name = "|".join([family, *[f"{k}={v}" for k, v in chosen.items()]])
+            out[name] = kind(**columns, **fixed, **chosen)
+    return out
+
+
+@dataclass
+class GridBoard:
+    """Metrics of every candidate over all its out-of-fold scores, which are in ``scored``."""
+
+    board: DataFrame
+    scored: DataFrame
+    candidates: dict[str, Estimator]
+
+    def best(self, family: str) -> Estimator:
+        """The candidate of a family with the largest area; the first by name wins a tie."""
+        own = self.board.filter(F.substring_index("model_id", "|", 1) == family)
+        return self.candidates[own.orderBy(F.desc("auroc"), "model_id").first()["model_id"]]
+
+
+def grid_board(
+    df: DataFrame, features: Sequence[str], label: str, key: str, candidates: Mapping[str, Estimator], folds: int = 3,
+    seed: int = 23, threads: int = 4, keep: Sequence[str] = (),
+) -> GridBoard:
+    """Out-of-fold scores of all candidates, and one board over them.
+
+    Rows are written once with their fold and their assembled vector. Each (candidate, fold) is a job on a filter of
+    that table, ``threads`` of them at a time; what they score is one table, and all curves are computed together.
+    """
+    columns = dict.fromkeys([key, label, *keep, *([w] if (w := "weight") in df.columns else [])])
+    rows = materialise(fold_rows(assembler(features).transform(df), key, folds, seed).select(*columns, "features", "fold"), "folds")
+    models = together(
+        {
+            (name, k): lambda e=e, k=k: e.fit(rows.filter(F.col("fold") != k))
+            for name, e in candidates.items()
+            for k in range(folds)
+        },
+        threads,
+    )
+    scored = None
+    for (name, k), model in models.items():
+        part = score(model, rows.filter(F.col("fold") == k), ["fold", *dict.fromkeys([key, *keep])], label)
+        part = part.withColumn("model_id", F.lit(name))
+        scored = part if scored is None else scored.unionByName(part)
+    scored = materialise(scored, "out_of_fold")
+    return GridBoard(metrics.metric_board(scored, "p1", label, "predict", ["model_id"]), scored, dict(candidates))
 
 
 def logistic(df: DataFrame, formula: str, unseen: str = "error") -> PipelineModel:
@@ -211,23 +259,27 @@ def _base_column(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
 
 def fit_stack(
     df: DataFrame, features: Sequence[str], label: str, estimators: Mapping[str, Estimator],
-    fold_key: str, folds: int = 3, seed: int = 5454,
+    fold_key: str, folds: int = 3, seed: int = 5454, threads: int = 4,
 ) -> Stack:
-    """Folds by hash of ``fold_key``; the base models are refitted on all rows for scoring."""
-    fold = hash_percent(fold_key, seed) % folds
-    parts = []
+    """Folds by hash of ``fold_key``; the base models are refitted on all rows for scoring. Fits run side by side."""
+    rows = materialise(fold_rows(df, fold_key, folds, seed, "_fold"), "stack_rows")
+    fits = together(
+        {
+            (k, name): lambda k=k, e=e: pipeline(features, e).fit(rows if k is None else rows.filter(F.col("_fold") != k))
+            for k in (*range(folds), None)
+            for name, e in estimators.items()
+        },
+        threads,
+    )
+    scored = None
     for k in range(folds):
-        held = df.filter(fold == k)
-        for name, estimator in estimators.items():
-            held = _base_column(pipeline(features, estimator).fit(df.filter(fold != k)), held, name)
-        parts.append(held)
-    scored = parts[0]
-    for part in parts[1:]:
-        scored = scored.unionByName(part)
+        held = rows.filter(F.col("_fold") == k)
+        for name in estimators:
+            held = _base_column(fits[k, name], held, name)
+        scored = held if scored is None else scored.unionByName(held)
     names = [f"base_{n}" for n in estimators]
     top = pipeline(names, LogisticRegression(labelCol=label)).fit(materialise(scored, "stack"))
-    bases = {n: pipeline(features, e).fit(df) for n, e in estimators.items()}
-    return Stack(bases, top)
+    return Stack({n: fits[None, n] for n in estimators}, top)
 
 
 def leaderboard(

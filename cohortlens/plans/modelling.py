@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import random
 
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.sql import functions as F
 
-from cohortlens.causal import scm
+from cohortlens.causal import mechanisms, scm
 from cohortlens.evaluation import curves, metrics
 from cohortlens.models import board, cox, importance, pu
+from cohortlens.models.fits import together
 from cohortlens.operators import assemble, labels
 from cohortlens.plans import bindings as b
 from cohortlens.plans import outcomes as out
@@ -73,23 +74,59 @@ def _model_frames(spark, sf):
     return parts, features
 
 
+GRID = {
+    "GLM": (LogisticRegression, {"maxIter": 50}, {"regParam": [0.0, 0.01]}),
+    "GBM": (GBTClassifier, {"maxIter": 20, "seed": 5454}, {"maxDepth": [3, 5]}),
+}
+FOLDS, FOLD_SEED = 3, 23
+
+
 @query("model_board")
 def model_board(spark, sf):
     """Contender models on balanced training rows, ranked on the validation year.
 
-    The network takes no weights; it is trained on rows repeated to the same balance.
+    Linear and boosted contenders are the best of a small grid over hash folds. The network takes no weights; it is
+    trained on rows repeated to the same balance.
     """
     parts, features = _model_frames(spark, sf)
     train = materialise(board.class_weights(parts["train"], "label"), "train")
     repeated = materialise(board.balanced_rows(train, "label", "ent"), "repeated")
-    models = {
-        n: board.pipeline(features, e).fit(train if e.hasParam("weightCol") else repeated)
-        for n, e in board.contenders(features, "label").items()
-    }
+    chosen = board.contenders(features, "label")
+    ranked = board.grid_board(train, features, "label", "ent", board.expand_grid(GRID, "label", "weight"), FOLDS, FOLD_SEED)
+    chosen |= {"GLM_1": ranked.best("GLM"), "GBM_1": ranked.best("GBM")}
+    models = together(
+        {
+            n: lambda e=e: board.pipeline(features, e).fit(train if e.hasParam("weightCol") else repeated)
+            for n, e in chosen.items()
+        }
+    )
     frames = {"val": parts["calibration"], "test": parts["test"]}
     return board.leaderboard(models, frames, ["ent", "pred_dt"], "label")
 
 
+@query("fold_table", f"""WITH {q.BASE}, {q.labelled(6)} SELECT CAST(CAST(concat('0x', substr(md5(concat(CAST(ent AS VARCHAR), '{FOLD_SEED}')),
+    1, 8)) AS BIGINT) % 100 % {FOLDS} AS BIGINT) AS fold, COUNT(*) AS n, COUNT(DISTINCT ent) AS n_ent,
+    COUNT(*) FILTER (WHERE label = 1) AS positive FROM labelled GROUP BY 1""")
+def fold_table(spark, sf):
+    """Folds by entity: the same rows at any partitioning, and no entity in two folds."""
+    rows = board.fold_rows(b.labelled(spark, sf), "ent", FOLDS, FOLD_SEED)
+    return rows.groupBy("fold").agg(
+        F.count("*").alias("n"), F.count_distinct("ent").alias("n_ent"), F.count_if(F.col("label") == 1).alias("positive")
+    )
+
+
+@query("grid_means", f"""WITH {q.DOCS}, f AS (SELECT *, CAST(concat('0x', substr(md5(concat(CAST(doc_id AS VARCHAR), '{FOLD_SEED}')), 1, 8)) AS BIGINT)
+    % 100 % {FOLDS} AS fold FROM docs)
+  SELECT CAST(h.fold AS BIGINT) AS fold, h.toxic, ROUND(AVG(t.label), 3) AS p1 FROM (SELECT DISTINCT fold, toxic FROM f) h
+  JOIN f t ON t.fold <> h.fold AND t.toxic = h.toxic GROUP BY h.fold, h.toxic""")
+def grid_means(spark, sf):
+    """Out-of-fold scores of an unpenalised model on one 0/1 column: the means of the other folds."""
+    docs = materialise(b.scored_documents(spark, sf).select("doc_id", "toxic", "label"), "docs")
+    plain = {"GLM": (LogisticRegression, {"tol": 1e-10, "maxIter": 200}, {"regParam": [0.0]})}
+    ranked = board.grid_board(docs, ["toxic"], "label", "doc_id", board.expand_grid(plain, "label"), FOLDS, FOLD_SEED, keep=["toxic"])
+    return ranked.scored.groupBy("fold", "toxic").agg(F.round(F.avg("p1"), 3).alias("p1"))
+
+
 @query("stacked_ensemble")
 def stacked_ensemble(spark, sf):
     parts, features = _model_frames(spark, sf)
@@ -311,3 +348,50 @@ def case_study(spark, sf):
         F.round("l_extendedprice", 2).alias("price"), F.round("l_extendedprice_cf", 2).alias("price_cf"),
         F.round("l_tax_cf", 4).alias("tax_cf"),
     )
+
+
+FLAGS = [("big", "taxed"), ("big", "returned"), ("taxed", "returned")]
+FLAG_LINES = """flags AS (SELECT l_orderkey, l_linenumber, CAST(l_quantity > 25 AS INTEGER) AS big,
+    CAST(l_tax > 0.04 AS INTEGER) AS taxed, CAST(l_returnflag = 'R' AS INTEGER) AS returned FROM lineitem)"""
+
+
+def _flags(spark, sf):
+    return b.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
+        (F.col("l_quantity") > 25).cast("int").alias("big"),
+        (F.col("l_tax") > 0.04).cast("int").alias("taxed"),
+        (F.col("l_returnflag") == "R").cast("int").alias("returned"),
+    )
+
+
+def _unit(node: str) -> str:
+    text = f"concat(CAST(l_orderkey AS VARCHAR), '/', CAST(l_linenumber AS VARCHAR), '/noise/{node}')"
+    return f"CAST(CAST(concat('0x', substr(md5({text}), 1, 8)) AS BIGINT) AS DOUBLE) / 4294967296.0"
+
+
+@query("counterfactual_discrete", f"""WITH {FLAG_LINES}, p_tax AS (SELECT big, AVG(taxed) AS p FROM flags GROUP BY big),
+  p_back AS (SELECT big, taxed, AVG(returned) AS p FROM flags GROUP BY big, taxed),
+  u AS (SELECT f.*, {_unit("taxed")} AS u1, {_unit("returned")} AS u2, a.p AS p1, c.p AS q1 FROM flags f JOIN p_tax a USING (big)
+    JOIN p_tax c ON c.big = 1),
+  moved AS (SELECT *, CAST(CASE WHEN taxed = 1 THEN u1 * p1 ELSE p1 + u1 * (1 - p1) END < q1 AS INTEGER) AS taxed_cf FROM u)
+  SELECT m.l_orderkey, m.l_linenumber, m.taxed_cf,
+    CAST(CASE WHEN m.returned = 1 THEN u2 * a.p ELSE a.p + u2 * (1 - a.p) END < c.p AS INTEGER) AS returned_cf
+  FROM moved m JOIN p_back a ON a.big = m.big AND a.taxed = m.taxed JOIN p_back c ON c.big = 1 AND c.taxed = m.taxed_cf""")
+def counterfactual_discrete(spark, sf):
+    """Every line with a large quantity: flags that follow from it stay flags."""
+    rows, key = _flags(spark, sf), ["l_orderkey", "l_linenumber"]
+    changed = mechanisms.counterfactual_rows(mechanisms.fit_mechanisms(rows, FLAGS, key), rows, key, {"big": 1.0})
+    return changed.select(*key, F.col("taxed_cf").cast("int").alias("taxed_cf"), F.col("returned_cf").cast("int").alias("returned_cf"))
+
+
+@query("mechanism_errors", """WITH held AS (SELECT l_quantity AS x, l_extendedprice AS y, CAST(concat('0x', substr(md5(concat(
+    CAST(l_orderkey AS VARCHAR), '/', CAST(l_linenumber AS VARCHAR), '626')), 1, 8)) AS BIGINT) % 100 < 20 AS h FROM lineitem),
+  fit AS (SELECT regr_slope(y, x) AS s, regr_intercept(y, x) AS i FROM held WHERE NOT h)
+  SELECT 'l_extendedprice' AS node, 'value' AS kind, ROUND(AVG((y - i - s * x) * (y - i - s * x)) / 1e6, 3) AS error_linear
+  FROM held, fit WHERE h
+  UNION ALL SELECT 'l_quantity', 'value', NULL UNION ALL SELECT 'big', 'binary', NULL UNION ALL SELECT 'taxed', 'binary', NULL""")
+def mechanism_errors(spark, sf):
+    """Kind of each node and held-out error of the linear candidate, in millions."""
+    edges = [("l_quantity", "l_extendedprice"), ("big", "taxed")]
+    model = mechanisms.fit_mechanisms(_flags(spark, sf), edges, ["l_orderkey", "l_linenumber"])
+    return model.table(spark).select("node", "kind", F.round(F.col("error_linear") / 1e6, 3).alias("error_linear"))

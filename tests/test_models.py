@@ -4,9 +4,10 @@ from conftest import day
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
-from cohortlens.causal import dag, scm
+from cohortlens.causal import dag, mechanisms, scm
 from cohortlens.evaluation import curves
 from cohortlens.models import board, cox, importance, pu
+from cohortlens.models.fits import together
 from cohortlens.sources import tables
 
 
@@ -204,9 +205,55 @@ def test_leaderboard_and_stack(spark):
     assert all(r.val_auroc == r.test_auroc and r.val_tp + r.val_fn == 200 for r in got)
 
 
-def test_cross_validation(spark):
-    model = board.cross_validate(LogisticRegression(labelCol="truth"), ["a", "b"], clusters(spark), "truth", {"regParam": [0.0, 10.0]}, 2)
-    assert model.avgMetrics[0] >= model.avgMetrics[1] - 0.05
+def test_grid_over_hash_folds(spark):
+    df = clusters(spark)
+    grid = {"GLM": (LogisticRegression, {}, {"regParam": [0.0, 50.0], "elasticNetParam": [1.0]})}
+    ranked = board.grid_board(df, ["a", "b"], "truth", "id", board.expand_grid(grid, "truth"), 2)
+    found = {r.model_id: r.auroc for r in ranked.board.collect()}
+    assert set(found) == {"GLM|regParam=0.0|elasticNetParam=1.0", "GLM|regParam=50.0|elasticNetParam=1.0"}
+    assert ranked.best("GLM").getRegParam() == 0.0
+    assert ranked.scored.count() == 2 * df.count()  # every row once for each candidate, by a model of other folds
+    folds = {r.id: r.fold for r in board.fold_rows(df, "id", 2, 23).collect()}
+    assert all(folds[r.id] == r.fold for r in ranked.scored.collect())
+
+
+def test_the_first_failure_of_several_fits_is_raised():
+    assert together({i: lambda i=i: i * i for i in range(9)}, 3) == {i: i * i for i in range(9)}
+    with pytest.raises(ZeroDivisionError):
+        together({"a": lambda: 1, "b": lambda: 1 // 0})
+
+
+def test_boosted_mechanism_where_the_mean_is_bent(spark):
+    df = spark.range(800).select(
+        "id", ((F.col("id") % 40) / 4 - 5).alias("x"), ((F.col("id") * 7919 % 100) / 500).alias("e")
+    ).withColumns({"bent": F.col("x") * F.col("x") + F.col("e"), "straight": 3 * F.col("x") + F.col("e")})
+    model = mechanisms.fit_mechanisms(df, [("x", "bent"), ("x", "straight")], ["id"])
+    shapes = {r.node: r.shape for r in model.table(spark).collect()}
+    assert shapes == {"x": "root", "bent": "boosted", "straight": "linear"}
+    same = mechanisms.counterfactual_rows(model, df, ["id"], {"x": F.col("x")})
+    assert same.filter("abs(bent - bent_cf) > 1e-9 or abs(straight - straight_cf) > 1e-9").count() == 0
+    moved = mechanisms.counterfactual_rows(model, df, ["id"], {"x": 4.0}).agg(F.avg("bent_cf"), F.avg("straight_cf")).first()
+    assert abs(moved[0] - 16.1) < 1.5 and abs(moved[1] - 12.1) < 0.01  # trees see 32 bins; a line would give 8.5
+
+
+def test_flags_stay_flags_and_keep_their_noise(spark):
+    df = spark.range(2000).select(
+        "id", (F.col("id") % 2).alias("a"), (F.col("id") % 7 / 7.0).alias("x")
+    ).withColumn("y", ((F.col("id") * 7919 % 100) < 20 + 50 * F.col("a")).cast("int"))
+    df = df.withColumn("z", ((F.col("id") * 104729 % 100) < 100 * F.col("x")).cast("int"))
+    df = df.unionByName(df.limit(1).withColumn("a", F.lit(None).cast("long")).withColumn("id", F.lit(-1).cast("long")))
+    model = mechanisms.fit_mechanisms(df, [("a", "y"), ("x", "z"), ("y", "z")], ["id"])
+    assert {n: (m.binary, m.shape in ("table", "root")) for n, m in model.mechanisms.items()} == {
+        "a": (True, True), "x": (False, True), "y": (True, True), "z": (True, False)
+    }
+    rows = mechanisms.counterfactual_rows(model, df, ["id"], {"a": 1.0}).collect()
+    known = [r for r in rows if r.a is not None]
+    assert {r.y_cf for r in known} | {r.z_cf for r in known} == {0.0, 1.0}
+    assert all(r.y_cf == r.y for r in known if r.a == 1)
+    assert all(r.y_cf >= r.y for r in known)  # a higher probability takes no value away
+    assert abs(sum(r.y_cf for r in known) / len(known) - 0.7) < 0.03
+    assert all(r.z_cf == r.z for r in known if r.y_cf == r.y)
+    assert [(r.y_cf, r.z_cf) for r in rows if r.a is None] == [(None, None)]
 
 
 def test_formula_model(spark):
