@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,29 +66,89 @@ def _linear(columns: Sequence[Column], group: str, betas: dict) -> Column:
 def _sums(rows: DataFrame, group: str, betas: dict, p: int) -> DataFrame:
     """Log-likelihood, gradient and information per group, from one pass over the rows.
 
-    Rows are first summed per (group, event time) with partial aggregation, then
-    per group: one row per back-test.
+    A task adds up its rows per (group, event time) by matrix products and gives one row for each. Those of a group
+    meet in one task, which holds a sum for each of its times and gives one row. Rows with a missing covariate are
+    left out.
     """
+    groups, matrix = list(betas), np.array([np.nan_to_num(b) for b in betas.values()]).reshape(len(betas), p)
+    upper = np.triu_indices(p)
+    place = F.element_at(F.create_map(*[v for i, g in enumerate(groups) for v in (F.lit(g), F.lit(i))]), F.col(group))
     x = [F.col(f"_x{i}") for i in range(p)]
-    pairs = [(i, j) for i in range(p) for j in range(i, p)]
-    weighted = rows.withColumn("_xb", _linear(x, group, betas)).withColumn("_w", F.exp("_xb"))
-    w, e = F.col("_w"), F.col("_e")
-    per_time = weighted.groupBy(group, "_t").agg(
-        F.sum(e).alias("d"),
-        F.sum(e * F.col("_xb")).alias("exb"),
-        F.sum(w).alias("sw"),
-        *[F.sum(e * x[i]).alias(f"ex{i}") for i in range(p)],
-        *[F.sum(w * x[i]).alias(f"s{i}") for i in range(p)],
-        *[F.sum(w * x[i] * x[j]).alias(f"s{i}_{j}") for i, j in pairs],
-    ).filter(F.col("d") > 0)
-    d, s0 = F.col("d"), F.col("sw")
-    return per_time.groupBy(group).agg(
-        (F.sum("exb") - F.sum(d * F.log(s0))).alias("loglik"),
-        F.array(*[F.sum(F.col(f"ex{i}") - d * F.col(f"s{i}") / s0) for i in range(p)]).alias("grad"),
-        F.array(*[
-            F.sum(d * (F.col(f"s{i}_{j}") / s0 - F.col(f"s{i}") * F.col(f"s{j}") / (s0 * s0)))
-            for i, j in pairs
-        ]).alias("info"),
+    given = rows.filter(F.col(group).isin(groups)).dropna(subset=[f"_x{i}" for i in range(p)])
+    given = given.select(place.alias("_g"), F.col("_t").cast("long").alias("_t"), F.col("_e").cast("double").alias("_e"), F.array(*x).alias("_x"))
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            g, t, e = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            values = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, p)
+            linear = (values * matrix[g]).sum(axis=1)
+            weight = np.exp(linear)
+            keys, at = np.unique(np.stack([g, t], axis=1), axis=0, return_inverse=True)
+            order = np.argsort(at.ravel(), kind="stable")
+            for key, own in zip(keys.tolist(), np.split(order, np.cumsum(np.bincount(at.ravel()))[:-1]), strict=True):
+                v, w, events = values[own], weight[own], e[own]
+                head = [events.sum(), events @ linear[own], w.sum()]
+                part = np.concatenate([head, events @ v, w @ v, ((v * w[:, None]).T @ v)[upper]])
+                sums[tuple(key)] = sums.get(tuple(key), 0.0) + part
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([k[0] for k in sums], pa.int32()),
+                pa.array([k[1] for k in sums], pa.int64()),
+                pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64())),
+            ],
+            ["_g", "_t", "_sums"],
+        )
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, dict[int, np.ndarray]] = {}
+        for batch in batches:
+            for g, t, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                times = sums.setdefault(g, {})
+                times[t] = times.get(t, 0.0) + part.values.to_numpy()
+        out = []
+        for g, times in sums.items():
+            at = np.array([v for v in times.values() if v[0] > 0]).reshape(-1, 3 + 2 * p + len(upper[0]))
+            if not len(at):
+                continue
+            d, exb, s0 = at[:, 0], at[:, 1], at[:, 2]
+            events, mean = at[:, 3 : 3 + p], at[:, 3 + p : 3 + 2 * p] / s0[:, None]
+            square = at[:, 3 + 2 * p :] / s0[:, None] - mean[:, upper[0]] * mean[:, upper[1]]
+            out.append((g, exb.sum() - d @ np.log(s0), (events - d[:, None] * mean).sum(axis=0), d @ square))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([r[0] for r in out], pa.int32()),
+                pa.array([r[1] for r in out], pa.float64()),
+                *[pa.array([r[k].tolist() for r in out], pa.list_(pa.float64())) for k in (2, 3)],
+            ],
+            ["_g", "loglik", "grad", "info"],
+        )
+
+    parts = given.mapInArrow(add_up, "_g int, _t long, _sums array<double>").repartition("_g")
+    found = parts.mapInArrow(finish, "_g int, loglik double, grad array<double>, info array<double>")
+    return found.select(F.get(F.array(*[F.lit(g) for g in groups]), F.col("_g")).alias(group), "loglik", "grad", "info")
+
+
+def hazard_steps(rows: DataFrame, group: str, betas: dict, p: int) -> DataFrame:
+    """(group, time, hazard): Breslow steps of the baseline hazard at the given coefficients."""
+    weight = F.exp(_linear([F.col(f"_x{i}") for i in range(p)], group, betas))
+    steps = rows.withColumn("_w", weight).groupBy(group, "_t").agg((F.sum("_e") / F.sum("_w")).alias("hazard"))
+    return steps.filter(F.col("hazard") > 0).withColumnRenamed("_t", "time")
+
+
+def given_model(
+    train: DataFrame, features: Sequence[str], event: str, coefficients: dict, group: str = "test_dt", step: int = 6
+) -> CoxModel:
+    """A model with coefficients from elsewhere (a file, another fit); its baseline hazard is that of ``train``."""
+    features, p = list(features), len(features)
+    betas = {g: np.asarray(b, float) for g, b in coefficients.items()}
+    x = [F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)]
+    rows = at_risk_rows(train.filter(F.col(group).isin(list(betas))), event, step).select(group, "_t", "_e", *x)
+    return CoxModel(
+        features, group, np.zeros(p), betas, {g: float("nan") for g in betas}, 0, {g: False for g in betas},
+        materialise(hazard_steps(rows, group, betas, p), "hazard"),
     )
 
 
@@ -191,18 +252,11 @@ def fit_cox(
     if open_groups:
         warnings.warn(f"not converged after {max_iterations} steps: {sorted(map(str, open_groups))}", stacklevel=2)
     scaled = {g: b for g, (_, b) in best.items()}
-    hazard = (
-        rows.withColumn("_w", F.exp(_linear([F.col(f"_x{i}") for i in range(p)], group, scaled)))
-        .groupBy(group, "_t")
-        .agg((F.sum("_e") / F.sum("_w")).alias("hazard"))
-        .filter(F.col("hazard") > 0)
-        .withColumnRenamed("_t", "time")
-    )
     coefficients = {g: np.where(fixed[g], np.nan, b / scale) for g, b in scaled.items()}
     return CoxModel(
         features, group, means, coefficients, {g: best[g][0] for g in groups}, iterations,
         {g: g not in open_groups for g in groups},
-        materialise(hazard, "hazard"),
+        materialise(hazard_steps(rows, group, scaled, p), "hazard"),
     )
 
 

@@ -54,13 +54,28 @@ def cox_sums(spark, sf):
 @query("cox_hazard_steps", f"""WITH {RISK} SELECT test_dt, CAST(tstop AS INTEGER) AS time, ROUND(d / s, 9) AS hazard FROM per""")
 def cox_hazard_steps(spark, sf):
     """Breslow steps of the baseline hazard at the same coefficients."""
-    train, _ = _training(spark, sf)
-    risk = cox.at_risk_rows(train, "label", 6)
-    weight = F.exp(F.lit(BETA[0]) * F.col("days_a") + F.lit(BETA[1]) * F.col("score"))
-    steps = risk.groupBy("test_dt", F.col("_t").cast("int").alias("time")).agg(
-        F.sum("_e").alias("d"), F.sum(weight).alias("s")
+    steps = _given(_training(spark, sf)[0]).baseline
+    return steps.select("test_dt", F.col("time").cast("int").alias("time"), F.round("hazard", 9).alias("hazard"))
+
+
+def _given(train):
+    groups = [r["test_dt"] for r in train.select("test_dt").distinct().collect()]
+    return cox.given_model(train, HAZARD, "label", {g: BETA for g in groups})
+
+
+@query("cox_expected_given", f"""WITH {RISK}, seen AS (SELECT s.*, pred_dt AS test_dt FROM spells_rows s JOIN (SELECT DISTINCT test_dt FROM risk)
+    ON test_dt = pred_dt),
+  e AS (SELECT s.ent, s.test_dt, s.tstart, s.tstop, {BETA[0]} * s.days_a + ({BETA[1]}) * s.score AS xb, SUM(p.d / p.s) AS h
+    FROM seen s LEFT JOIN per p ON p.test_dt = s.test_dt AND p.tstop > s.tstart AND p.tstop <= s.tstop
+    GROUP BY ALL)
+  SELECT ent, test_dt, ROUND(exp(xb) * coalesce(h, 0), 6) AS predict, ROUND(1 - exp(-exp(xb) * coalesce(h, 0)), 6) AS event_prob FROM e""")
+def cox_expected_given(spark, sf):
+    """Expected events in each test row's interval, and their probability, at the same coefficients."""
+    train, test = _training(spark, sf)
+    scored = cox.predict_expected(_given(train), test)
+    return scored.select(
+        "ent", "test_dt", F.round("predict", 6).alias("predict"), F.round("event_prob", 6).alias("event_prob")
     )
-    return steps.filter("d > 0").select("test_dt", "time", F.round(F.col("d") / F.col("s"), 9).alias("hazard"))
 
 
 @query("cox_fit_gradient", f"""WITH {RISK} SELECT DISTINCT test_dt, feature, 0.0::DOUBLE AS gradient, true AS converged
@@ -206,13 +221,17 @@ def backtest_counts_inclusive(spark, sf):
     return train.groupBy("test_dt").agg(F.count("*").alias("n_train"), F.count_if(F.col("label") == 1).alias("train_positive"))
 
 
-@query("welch_p_value", f"""WITH {q.DOCS} SELECT COUNT(*) FILTER (WHERE label = 0) AS n0, COUNT(*) FILTER (WHERE label = 1) AS n1,
-  true AS p_in_range FROM docs""")
+@query("welch_p_value", f"""WITH {q.DOCS}, m AS (SELECT lang, (AVG(n_chars) FILTER (WHERE label = 1) - AVG(n_chars) FILTER (WHERE label = 0)) / 500 AS t
+    FROM docs GROUP BY lang)
+  SELECT lang, 1 AS df, ROUND(1 - 2 / pi() * atan(abs(t)), 9) + 0.0 AS p_value FROM m
+  UNION ALL SELECT lang, 2, ROUND(1 - abs(t) / sqrt(2 + t * t), 9) + 0.0 FROM m
+  UNION ALL SELECT lang, 4, ROUND(1 - 0.75 * abs(t) / sqrt(1 + t * t / 4) * (1 - t * t / (1 + t * t / 4) / 12), 9) + 0.0 FROM m""")
 def welch_p_value(spark, sf):
-    """The two-sided p-value of the Welch test lies where its t puts it."""
-    test = metrics.welch_t(b.scored_documents(spark, sf), "n_chars", "label")
-    sure = (F.col("p_value").between(0, 1)) & ((F.abs("t") < 1.96) == (F.col("p_value") > 0.0499))
-    return test.select("n0", "n1", sure.alias("p_in_range"))
+    """Two-sided p-values of t statistics of the data where Student's distribution has a closed form."""
+    mean = lambda y: F.avg(F.when(F.col("label") == y, F.col("n_chars")))
+    t = b.scored_documents(spark, sf).groupBy("lang").agg(((mean(1) - mean(0)) / 500).alias("t"))
+    rows = t.withColumn("df", F.explode(F.array(*[F.lit(n) for n in (1, 2, 4)])))
+    return rows.select("lang", "df", (F.round(metrics.t_p_value("t", F.col("df").cast("double")), 9) + 0.0).alias("p_value"))
 
 
 # --- compositions -----------------------------------------------------------
