@@ -10,7 +10,8 @@ numbers the pieces of each length and looks up the place of each number.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from math import inf
 
 import numpy as np
 import public_tokenizers
@@ -155,8 +156,8 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Filling, int]]
     return [(filling, times) for group in bins.values() for filling, times in group.items()]
 
 
-def completions(counts: list[int], room: int, width: int, steps: int) -> list[tuple[int, list[int]]]:
-    """(waste, lengths) of up to ``width`` undominated fillings of ``room``, least waste first.
+def completions(counts: list[int], room: int, width: float, steps: float) -> tuple[list[tuple[int, list[int]]], int]:
+    """(waste, lengths) of up to ``width`` undominated fillings of ``room``, least waste first; and the steps it took.
 
     Fillings are built from long to short. One is dominated, and left out, if a
     remaining piece still fits or could replace a shorter one of it. ``steps``
@@ -165,7 +166,7 @@ def completions(counts: list[int], room: int, width: int, steps: int) -> list[tu
     """
     lengths = [n for n in range(min(room, len(counts) - 1), 0, -1) if counts[n]]
     if not lengths:
-        return [(room, [])]
+        return [(room, [])], 1
     found: list[tuple[int, list[int]]] = []
     used: dict[int, int] = {}
     spent = 0
@@ -211,7 +212,7 @@ def completions(counts: list[int], room: int, width: int, steps: int) -> list[tu
             chosen += [n] * take
             space -= take * n
         found.append((space, chosen))
-    return sorted(found, key=lambda f: (f[0], len(f[1])))
+    return sorted(found, key=lambda f: (f[0], len(f[1]))), spent
 
 
 def least_bins(counts: list[int], capacity: int) -> int:
@@ -234,8 +235,13 @@ def least_bins(counts: list[int], capacity: int) -> int:
     return int(max(bound.max(initial=0), -(-int(weight[-1]) // capacity)))
 
 
+#: Passes of the search while the best packing is above the bound: branches at a node, steps of one enumeration of
+#: them, nodes, steps of the whole pass. The last one branches on every undominated filling.
+PASSES = ((3, 300, 1000, 300_000), (12, 3000, 300, 150_000), (inf, inf, 3000, 150_000))
+
+
 def pack(
-    counts: dict[int, int], capacity: int, width: int = 3, nodes: int = 1000, steps: int = 300
+    counts: dict[int, int], capacity: int, passes: Sequence[tuple[float, float, int, int]] = PASSES
 ) -> list[tuple[Filling, int]]:
     """Fillings and how often each is used, for ``counts`` pieces of each length.
 
@@ -243,16 +249,29 @@ def pack(
     fillings of the rest of the bin are the branches, and a filling is used as
     often as the counts allow. A branch ends when its bins so far and the least
     bins for the rest can't beat the best packing known, which best fit decreasing
-    gives at first and again from the nodes on the way. ``nodes`` bounds the search
-    for something better; every piece is packed in any case.
+    gives at first and again from the nodes on the way. The first pass looks at the few branches of least waste, the
+    last one at all; their limits bound the search for something better, every piece is packed in any case. Tables that
+    the last pass can search within its limits get the fewest bins.
     """
     left = [0] * (capacity + 1)
     for n, c in counts.items():
         left[n] = c
     best = best_fit({n: c for n, c in enumerate(left) if c}, capacity)
-    size, least, visited = sum(times for _, times in best), least_bins(left, capacity), 0
-    stack: list[tuple] = [(left, (), 0)]  # counts, fillings so far, number of bins; depth first
-    while stack and size > least and visited < nodes:
+    least = least_bins(left, capacity)
+    for width, steps, nodes, budget in passes:
+        if sum(times for _, times in best) <= least:
+            break
+        best = search(left, capacity, best, least, width, steps, nodes, budget)
+    return best
+
+
+def search(
+    start: list[int], capacity: int, best: list[tuple[Filling, int]], least: int, width: float, steps: float, nodes: int, budget: int
+) -> list[tuple[Filling, int]]:
+    """The best packing that one pass finds, ``best`` if none is better."""
+    size, visited, taken = sum(times for _, times in best), 0, 0
+    stack: list[tuple] = [(start, (), 0)]  # counts, fillings so far, number of bins; depth first
+    while stack and size > least and visited < nodes and taken < budget:
         left, done, bins = stack.pop()
         longest = next((n for n in range(capacity, 0, -1) if left[n]), 0)
         if not longest:
@@ -269,15 +288,19 @@ def pack(
         inner = list(left)
         inner[longest] -= 1
         branches = []
-        for _, chosen in completions(inner, capacity - longest, width, steps):
+        found, spent = completions(inner, capacity - longest, width, min(steps, budget - taken))
+        taken += spent
+        for _, chosen in found:
             need: dict[int, int] = {}
             for n in [longest, *chosen]:
                 need[n] = need.get(n, 0) + 1
-            times = min(left[n] // k for n, k in need.items())
-            after = list(left)
-            for n, k in need.items():
-                after[n] -= times * k
-            branches.append((after, (done, tuple(sorted(need.items(), reverse=True)), times), bins + times))
+            most = min(left[n] // k for n, k in need.items())
+            # using a filling once only leaves the others open for equal bins: tried where all branches are
+            for times in [most, 1] if width == inf and most > 1 else [most]:
+                after = list(left)
+                for n, k in need.items():
+                    after[n] -= times * k
+                branches.append((after, (done, tuple(sorted(need.items(), reverse=True)), times), bins + times))
         stack += branches[::-1]  # least waste on top
     return best
 

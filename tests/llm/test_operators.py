@@ -17,12 +17,14 @@ import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
 import xxhash
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__
-from cohortlens.llm import decontaminate, packing, quality, secret_scan
+from cohortlens.llm import decontaminate, language, packing, quality, secret_scan
 from cohortlens.llm.bpe import TOKENIZER, counter
 from cohortlens.llm.components import components
 from cohortlens.llm.license_rules import PHRASES, rules
@@ -292,7 +294,7 @@ def test_repetition_query(spark):
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 30), max_size=12))
 def test_packing_of_counts(counts):
-    packed = packing.pack(counts, 64, nodes=200)
+    packed = packing.pack(counts, 64, [(3, 300, 200, 60_000), (packing.inf, packing.inf, 50, 5_000)])
     got = collections.Counter()
     for filling, times in packed:
         assert sum(n * k for n, k in filling) <= 64
@@ -304,6 +306,35 @@ def test_packing_of_counts(counts):
     assert bins <= sum(times for _, times in packing.best_fit(counts, 64))
 
 
+def fewest_bins(pieces, capacity):
+    """Over all subsets of the pieces: bins closed so far, then room in the open one."""
+    state = {0: (1, capacity)}
+    for done in range(1 << len(pieces)):
+        bins, room = state[done]
+        for k, n in enumerate(pieces):
+            if not done >> k & 1:
+                to = (bins, room - n) if n <= room else (bins + 1, capacity - n)
+                old = state.get(done | 1 << k)
+                if old is None or (to[0], -to[1]) < (old[0], -old[1]):
+                    state[done | 1 << k] = to
+    return state[(1 << len(pieces)) - 1][0]
+
+
+def test_search_finds_the_fewest_bins_of_small_tables():
+    rng = random.Random(11)
+    for _ in range(250):
+        capacity = rng.choice([12, 20, 50])
+        pieces = [rng.randrange(2, capacity * 2 // 3) for _ in range(rng.randrange(4, 11))]
+        packed = packing.pack(collections.Counter(pieces), capacity)
+        assert sum(times for _, times in packed) == fewest_bins(pieces, capacity), (pieces, capacity)
+
+
+def test_search_goes_on_beyond_the_few_best_branches():
+    counts = {13: 3, 3: 3, 6: 3, 24: 2, 11: 2, 27: 1, 9: 3, 29: 2}
+    assert sum(times for _, times in packing.pack(counts, 50, packing.PASSES[:1])) == 6
+    assert sum(times for _, times in packing.pack(counts, 50)) == 5
+
+
 def test_search_beats_best_fit():
     counts = {6: 2, 5: 2, 4: 2, 3: 2, 2: 2}  # best fit decreasing wastes room here in some orders; 40 fit into 4 tens
     assert sum(times for _, times in packing.pack(counts, 10)) == 4
@@ -423,6 +454,33 @@ def test_language_query(spark):
     assert sum(r.lang_pred == langs[r.doc_id] for r in held) >= 0.9 * len(held)
 
 
+@here
+def test_language_against_plain_compression(spark):
+    """Every dictionary and every text by itself: the smallest result names the language."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    given = docs.filter(~((F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4) == 2))
+    raw = language.dictionaries(given, "doc_id", "text", "lang", language.Settings())
+    got = {r.doc_id: r.lang_pred for r in run(spark, "op8_language")}
+    for doc_id, text in texts_of().items():
+        sizes = []
+        for name, content in raw.items():
+            known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            coder = zstandard.ZstdCompressor(level=6, dict_data=known, write_content_size=False, write_checksum=False)
+            words = re.sub("[^a-z\u0080-\U0010ffff]+", " ", text.lower()).strip()
+            sizes.append((len(coder.compress(words.encode())), len(sizes), name))
+        letters = any(map(str.isalpha, text))
+        assert got[doc_id] == (min(sizes)[2] if letters else "und")
+
+
+def test_language_is_learned_from_any_place_of_a_text(spark):
+    """Long texts whose beginnings are alike."""
+    rows = [(i, "0 " * 3000 + (f"der und die {i} " if i % 2 else f"the and of {i} ") * 900, "de" if i % 2 else "en") for i in range(60)]
+    raw = language.dictionaries(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang", language.Settings()
+    )
+    assert b"der und die" in raw["de"] and b"the and of" in raw["en"] and b"the" not in raw["de"]
+
+
 # token counts
 
 
