@@ -23,8 +23,8 @@ LETTERS = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 
 
 class Settings(NamedTuple):
-    """The dictionary of a language is made of at most ``samples`` training texts of it, the first ``excerpt``
-    characters of each; which texts these are is drawn by a hash of their ids. With very many languages the excerpts
+    """The dictionary of a language is made of at most ``samples`` training texts of it, ``excerpt`` characters of each
+    from a place anywhere in it; texts and places are drawn by a hash of their ids. With very many languages the excerpts
     shrink, so that all dictionaries together stay within ``budget`` characters. Scoring reads whole texts."""
 
     samples: int = 256
@@ -50,9 +50,10 @@ def dictionaries(train: DataFrame, doc_id: str, text: str, lang: str, settings:
     drawn = materialise(drawn, "drawn")
     languages = drawn.select("lang").distinct().count()
     excerpt = max(1, min(settings.excerpt, settings.budget // max(1, settings.samples * languages)))
+    start = F.pmod(F.xxhash64("id", F.lit(1)), F.greatest(F.lit(1), F.length("body") - excerpt + 1)).cast("int") + 1
     found = (
         hashed.join(drawn, ["lang", "bucket", "hash"])
-        .select("lang", "bucket", "n", F.substring("body", 1, excerpt).alias("part"))
+        .select("lang", "bucket", "n", F.substr("body", start, F.lit(excerpt)).alias("part"))
         .groupBy("lang", "bucket")
         .agg(F.min("part").alias("part"), F.max("n").alias("n"))
         .groupBy("lang")
