@@ -34,6 +34,7 @@ from cohortlens.session import materialise
 
 WORD = re.compile(r"[^\W_]+")
 BEGINNINGS = (3, 4, 5, 6)
+HASH = xxhash.xxh32_intdigest
 
 
 class Settings(NamedTuple):
@@ -71,8 +72,8 @@ def forms(word: str) -> set[str]:
 
 def features(word: str, buckets: int) -> list[int]:
     """As many for each word, so that arrays of them have a row for each word."""
-    parts = [f"w{word}", *(f"b{word[:k]}" for k in (2, *BEGINNINGS)), f"e{word[-3:]}"]
-    return [1 + xxhash.xxh32_intdigest(p.encode("utf-8", "replace")) % (buckets - 1) for p in parts]
+    parts = [f"w{word}", f"e{word[-3:]}", *[f"b{word[:k]}" for k in (2, *BEGINNINGS)]]
+    return [1 + HASH(p.encode("utf-8", "replace")) % (buckets - 1) for p in parts]
 
 
 WIDTH = len(features("word", 2))
@@ -233,10 +234,14 @@ def tagger(field: Field) -> Callable[[str | None], tuple[float, float, list[tupl
             return -15.0, 0.0, []
         if len(known) > 500_000:
             known.clear()
-        for w in set(words):
-            if w not in known:
-                known[w] = float(np.clip(field.weights[0] + field.weights[features(w, len(field.weights))].sum(), -300, 300))
-        forward, backward = chain([known[w] for w in words], field.moves)
+        evidence = list(map(known.get, words))
+        if None in evidence:
+            new = list({w for w, e in zip(words, evidence, strict=True) if e is None})
+            found = np.array([i for w in new for i in features(w, len(field.weights))]).reshape(-1, WIDTH)
+            own = np.clip(field.weights[0] + field.weights[found].sum(axis=1), -300, 300)
+            known.update(zip(new, own.tolist(), strict=True))
+            evidence = [known[w] for w in words]
+        forward, backward = chain(evidence, field.moves)
         odds = forward + backward
         expected = float((1 / (1 + np.exp(-np.clip(odds, -500, 500)))).sum())
         top = float(np.clip(odds.max(), -15, 15))
