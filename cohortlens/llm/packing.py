@@ -236,8 +236,9 @@ def least_bins(counts: list[int], capacity: int) -> int:
 
 
 #: Passes of the search while the best packing is above the bound: branches at a node, steps of one enumeration of
-#: them, nodes, steps of the whole pass. The last one branches on every undominated filling.
-PASSES = ((3, 300, 1000, 300_000), (12, 3000, 300, 150_000), (inf, inf, 3000, 150_000))
+#: them, nodes, and work of the whole pass (its steps, and the lengths in use at each node). The last one branches on
+#: every undominated filling.
+PASSES = ((3, 300, 1000, 2_000_000), (12, 3000, 300, 100_000), (inf, inf, 3000, 100_000))
 
 
 def pack(
@@ -289,7 +290,7 @@ def search(
         inner[longest] -= 1
         branches = []
         found, spent = completions(inner, capacity - longest, width, min(steps, budget - taken))
-        taken += spent
+        taken += spent + sum(map(bool, left))
         for _, chosen in found:
             need: dict[int, int] = {}
             for n in [longest, *chosen]:
