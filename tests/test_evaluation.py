@@ -233,6 +233,52 @@ def test_concordance_against_pairs(spark):
     assert (got.concordant, got.tied, got.pairs) == (conc, tied, pairs)
 
 
+def test_concordance_error_against_pairs(spark):
+    """Influences by weights on all pairs: rows over several steps, entities with several rows, two groups, a null score."""
+    rng = np.random.default_rng(9)
+    data = []
+    for i in range(160):
+        start = int(rng.integers(0, 4)) * 6
+        stop = start + 6 * int(rng.integers(1, 4))
+        data.append((int(rng.integers(30)), start, stop, int(rng.random() < 0.3), float(rng.integers(6)), "ab"[i % 2]))
+    schema = "id int, tstart int, tstop int, e int, s double, g string"
+    df = spark.createDataFrame([*data, (1, 0, 12, 1, None, "a")], schema)
+    got = {r.g: r for r in metrics.concordance_error(df, "s", "e", "id", ["g"]).collect()}
+    plain = {r.g: r for r in metrics.concordance(df.dropna(), "s", "e", ["g"]).collect()}
+    for g in "ab":
+        won, every, pairs = dict.fromkeys(range(30), 0.0), dict.fromkeys(range(30), 0), 0
+        part = [r for r in data if r[5] == g]
+        for i, _, t, e, s, _ in part:
+            for i2, a2, b2, e2, s2, _ in part if e else ():
+                if a2 < t and (b2 > t or (b2 == t and not e2)):
+                    pairs += 1
+                    for side in (i, i2):
+                        won[side] += (s > s2) + (s == s2) / 2
+                        every[side] += 1
+        c = sum(won.values()) / sum(every.values())
+        error = math.sqrt(sum((won[i] - c * every[i]) ** 2 for i in won)) / pairs
+        assert got[g].pairs == pairs == plain[g].pairs
+        assert got[g].entities == sum(n > 0 for n in every.values())
+        assert abs(got[g].concordance - c) < 1e-12 and abs(plain[g].concordance - c) < 1e-12
+        assert abs(got[g].std_error - error) < 1e-12
+
+
+def test_concordance_error_of_one_time_is_that_of_the_area(spark):
+    """With one time and one row per entity it is the placement formula of the area, with counts as divisors."""
+    pos, neg = [0.9, 0.8, 0.4, 0.4], [0.7, 0.4, 0.3, 0.2, 0.1]
+    data = [(i, 0, 6, int(i < 4), s) for i, s in enumerate(pos + neg)]
+    got = metrics.concordance_error(spark.createDataFrame(data, "id int, tstart int, tstop int, e int, s double"), "s", "e", "id").first()
+    v = np.array([[(a > b) + (a == b) / 2 for b in neg] for a in pos])
+    assert abs(got.std_error - math.sqrt(v.mean(axis=1).var() / 4 + v.mean(axis=0).var() / 5)) < 1e-12
+
+
+def test_concordance_error_without_pairs(spark):
+    schema = "id int, tstart int, tstop int, e int, s double"
+    for data in ([], [(1, 0, 6, 0, 0.5), (2, 0, 6, None, 0.1)]):
+        got = metrics.concordance_error(spark.createDataFrame(data, schema), "s", "e", "id").first()
+        assert got.concordance is None and got.std_error is None
+
+
 def test_first_detection_and_history(spark):
     curve = curves.score_curve(scores(spark, [(0.9, 0), (0.8, 1), (0.7, 0), (0.6, 1)]), "score", "label")
     assert rows(curves.first_detection(curve)) == [(0, 0.9, 1, 1), (1, 0.8, 2, 2), (2, 0.6, 4, 1)]
