@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.causal import mechanisms, scm
 from cohortlens.evaluation import curves, metrics
-from cohortlens.models import board, cox, importance, pu
+from cohortlens.models import board, boosting, cox, importance, pu
 from cohortlens.models.fits import together
 from cohortlens.operators import assemble, labels
 from cohortlens.plans import bindings as b
@@ -137,19 +137,85 @@ def stacked_ensemble(spark, sf):
     return stack.score(parts["test"], ["ent", "pred_dt"], "label")
 
 
-GBT_PARAMS = '{"max_depth": {"actual": 3}, "ntrees": {"actual": 10}, "learn_rate": {"actual": 0.1}, ' \
-    '"sample_rate": {"actual": 0.8}, "min_rows": {"actual": 5}, "col_sample_rate": {"actual": 0.8}}'
+GBT_PARAMS = """{"max_depth": {"actual": 3}, "ntrees": {"actual": 10}, "learn_rate": {"actual": 0.1}, "nfolds": {"actual": 3},
+  "learn_rate_annealing": {"actual": 0.99}, "sample_rate_per_class": {"actual": [0.8, 0.9]}, "min_rows": {"actual": 5},
+  "col_sample_rate": {"actual": 0.8}, "col_sample_rate_per_tree": {"actual": 0.8}, "max_abs_leafnode_pred": {"actual": 4.0}}"""
 
 
 @query("calibrated_gbt")
 def calibrated_gbt(spark, sf):
-    """Boosted trees from a parameter text, calibrated on their own year, scored on the test years."""
+    """Boosted trees from a parameter text, stopped by their area on the calibration year and calibrated on it, scored on the
+    test years."""
     parts, features = _model_frames(spark, sf)
-    estimator = board.gbt_from_params(GBT_PARAMS, "label")
-    model = board.pipeline(features, estimator).fit(parts["train"])
+    settings, _ = boosting.from_params(GBT_PARAMS)
+    model = boosting.fit(parts["train"], features, "label", "ent", settings)
+    model, _ = boosting.stop_by_area(model, parts["calibration"], "label", every=2)
     keys = ["ent", "pred_dt"]
-    platt = board.fit_platt(board.score(model, parts["calibration"], keys, "label"), "label")
-    return board.calibrate(platt, board.score(model, parts["test"], keys, "label"))
+    platt = board.fit_platt(model.score(parts["calibration"], keys, "label"), "label")
+    return board.calibrate(platt, model.score(parts["test"], keys, "label"))
+
+
+@query("boosted_folds")
+def boosted_folds(spark, sf):
+    """Board of the same trees over their out-of-fold scores, by fold."""
+    parts, features = _model_frames(spark, sf)
+    settings, folds = boosting.from_params(GBT_PARAMS)
+    scored = boosting.out_of_fold(parts["train"], features, "label", "ent", settings, folds, ["pred_dt"])
+    return metrics.metric_board(materialise(scored, "out_of_fold"), "p1", "label", "predict", ["fold"])
+
+
+#: Leaves of twenty rows or more: cuts that part a handful of rows tie, and rounding would decide between them.
+STUMPS = boosting.Settings(rounds=3, depth=1, step=0.3, annealing=0.5, tree_columns=0.6, class_shares=(0.6, 0.9), min_rows=20, bins=128)
+STUMP_FEATURES = ["days_a", "days_n", "days_r"]
+
+
+def stump_sql(at: int) -> str:
+    """The scores after round ``at`` from those before it."""
+    s, names = STUMPS, [STUMP_FEATURES[i] for i in boosting.tree_features(STUMP_FEATURES, STUMPS, at)]
+    long = " UNION ALL ".join(f"SELECT '{n}' AS f, CAST({n} AS DOUBLE) AS v, g FROM picked{at}" for n in names)
+    value = "CASE f " + " ".join(f"WHEN '{n}' THEN {n}" for n in names) + " END"
+    step = s.step * s.annealing ** (at - 1)
+    return f"""picked{at} AS (SELECT *, label - 1 / (1 + exp(-xb)) AS g, exp(-xb) / ((1 + exp(-xb)) * (1 + exp(-xb))) AS h FROM round{at - 1}
+    WHERE CAST(concat('0x', substr(md5(concat(CAST(ent AS VARCHAR), '{s.seed + at}')), 1, 8)) AS BIGINT) % 100
+      < CASE WHEN label = 1 THEN {round(100 * s.class_shares[1])} ELSE {round(100 * s.class_shares[0])} END),
+  value{at} AS (SELECT f, v, SUM(g) AS g, COUNT(*) AS n FROM ({long}) GROUP BY f, v),
+  cut{at} AS (SELECT f, (v + LEAD(v) OVER o) / 2 AS edge, SUM(g) OVER o AS gl, SUM(n) OVER o AS nl, SUM(g) OVER (PARTITION BY f) AS gt,
+    SUM(n) OVER (PARTITION BY f) AS nt FROM value{at} WINDOW o AS (PARTITION BY f ORDER BY v)),
+  best{at} AS (SELECT f, edge FROM cut{at} WHERE nl >= {s.min_rows} AND nt - nl >= {s.min_rows}
+    ORDER BY ROUND(gl * gl / nl + (gt - gl) * (gt - gl) / (nt - nl), 9) DESC, f, edge LIMIT 1),
+  leaf{at} AS (SELECT {value} <= edge AS small, SUM(g) / SUM(h) AS adds FROM picked{at}, best{at} GROUP BY 1),
+  round{at} AS (SELECT r.* EXCLUDE (xb), xb + CAST({step} AS DOUBLE) * adds AS xb FROM round{at - 1} r, best{at} b JOIN leaf{at} l
+    ON l.small = ({value.replace("THEN ", "THEN r.")} <= b.edge))"""
+
+
+STUMP_SQL = f"""WITH {q.SCORED}, round0 AS (SELECT ent, label, days_a, days_n, days_r, (SELECT ln(AVG(label) / (1 - AVG(label))) FROM scored) AS xb
+  FROM scored), {", ".join(stump_sql(at) for at in range(1, STUMPS.rounds + 1))},
+  staged AS ({" UNION ALL ".join(f"SELECT CAST({at} AS INTEGER) AS stage, label, 1 / (1 + exp(-xb)) AS score FROM round{at}" for at in range(1, STUMPS.rounds + 1))})"""
+
+
+def _stumps(spark, sf):
+    rows = materialise(b.scored_spine(spark, sf).select("ent", "label", *STUMP_FEATURES), "stumps")
+    return boosting.fit(rows, STUMP_FEATURES, "label", "ent", STUMPS), rows
+
+
+@query("boosted_rounds", f"""{STUMP_SQL} SELECT stage, ROUND(score, 6) AS p1, COUNT(*) AS n, COUNT(*) FILTER (WHERE label = 1) AS positive
+  FROM staged GROUP BY ALL""")
+def boosted_rounds(spark, sf):
+    """Scores after each of three rounds of depth one, with shares of columns and classes and a falling step."""
+    model, rows = _stumps(spark, sf)
+    staged = model.staged(rows, ["ent"], "label")
+    return staged.groupBy("stage", F.round("p1", 6).alias("p1")).agg(
+        F.count("*").alias("n"), F.count_if(F.col("label") == 1).alias("positive")
+    )
+
+
+@query("boosted_stage_areas", f"""{STUMP_SQL}, rounded AS (SELECT stage, label, ROUND(score, 6) AS score FROM staged), {q.curve("rounded", "stage")}
+  SELECT stage, ROUND(SUM(CAST(neg AS DOUBLE) * (tp - pos / 2.0)) / (CAST(ANY_VALUE(p) AS DOUBLE) * ANY_VALUE(n)), 6) AS auroc
+  FROM curve GROUP BY stage""")
+def boosted_stage_areas(spark, sf):
+    """Area under the curve after each round."""
+    model, rows = _stumps(spark, sf)
+    return boosting.stage_areas(model, rows, "label").select("stage", F.round("auroc", 6).alias("auroc"))
 
 
 @query("model_importance")
