@@ -16,6 +16,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import RFormula, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Matrices
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -240,6 +241,17 @@ def contenders(features: Sequence[str], label: str, weight: str | None = "weight
     }
 
 
+def top_learner(names: Sequence[str], label: str, at_least_zero: bool = True) -> LogisticRegression:
+    """Unpenalised logistic regression over base scores whose weights are bounded from below by zero.
+
+    A base that would get a negative weight is left out of the sum with weight 0; the intercept is free.
+    """
+    top = LogisticRegression(labelCol=label, family="binomial", tol=1e-10, maxIter=500)
+    if at_least_zero:
+        top = top.setLowerBoundsOnCoefficients(Matrices.dense(1, len(names), [0.0] * len(names)))
+    return top
+
+
 class Stack:
     """Logistic regression over out-of-fold base scores."""
 
@@ -251,6 +263,12 @@ class Stack:
             df = _base_column(model, df, name)
         return score(self.top, df, keys, label)
 
+    def weights(self, spark: SparkSession) -> DataFrame:
+        """(base, weight) rows, the intercept last."""
+        top = self.top.stages[-1]
+        values = [*zip(self.bases, top.coefficients, strict=True), ("intercept", top.intercept)]
+        return spark.createDataFrame([(n, float(v)) for n, v in values], "base string, weight double")
+
 
 def _base_column(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
     out = model.transform(df)
@@ -259,9 +277,12 @@ def _base_column(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
 
 def fit_stack(
     df: DataFrame, features: Sequence[str], label: str, estimators: Mapping[str, Estimator],
-    fold_key: str, folds: int = 3, seed: int = 5454, threads: int = 4,
+    fold_key: str, folds: int = 3, seed: int = 5454, threads: int = 4, at_least_zero: bool = True,
 ) -> Stack:
-    """Folds by hash of ``fold_key``; the base models are refitted on all rows for scoring. Fits run side by side."""
+    """Folds by hash of ``fold_key``; the base models are refitted on all rows for scoring. Fits run side by side.
+
+    The weights of the bases are at least zero unless ``at_least_zero`` is off.
+    """
     rows = materialise(fold_rows(df, fold_key, folds, seed, "_fold"), "stack_rows")
     fits = together(
         {
@@ -278,7 +299,7 @@ def fit_stack(
             held = _base_column(fits[k, name], held, name)
         scored = held if scored is None else scored.unionByName(held)
     names = [f"base_{n}" for n in estimators]
-    top = pipeline(names, LogisticRegression(labelCol=label)).fit(materialise(scored, "stack"))
+    top = pipeline(names, top_learner(names, label, at_least_zero)).fit(materialise(scored, "stack"))
     return Stack({n: fits[None, n] for n in estimators}, top)
 
 

@@ -175,6 +175,68 @@ def partial_likelihood(
     return _sums(rows, group, coefficients, len(features))
 
 
+def score_products(rows: DataFrame, group: str, entity: str, betas: dict, p: int) -> DataFrame:
+    """(group, meat): sums over entities of the products of their score residuals, upper triangle row by row.
+
+    ``rows`` come from ``at_risk_rows``, with covariates ``_x0``... A row's residual at a time is its distance from the
+    weighted mean of the risk set, times its event less its expected events there. The means are one row for each
+    (group, time); an entity's residuals are added up before any product is made.
+    """
+    names = [f"_x{i}" for i in range(p)]
+    given = rows.filter(F.col(group).isin(list(betas))).dropna(subset=names)
+    given = given.withColumn("_w", F.exp(_linear([F.col(n) for n in names], group, betas)))
+    sets = given.groupBy(group, "_t").agg(
+        (F.sum("_e") / F.sum("_w")).alias("_hazard"),
+        *[(F.sum(F.col("_w") * F.col(n)) / F.sum("_w")).alias(f"_m{i}") for i, n in enumerate(names)],
+    )
+    excess = F.col("_e") - F.col("_w") * F.col("_hazard")
+    residuals = given.join(sets.filter(F.col("_hazard") > 0), [group, "_t"]).groupBy(group, entity).agg(
+        *[F.sum((F.col(n) - F.col(f"_m{i}")) * excess).alias(f"_u{i}") for i, n in enumerate(names)]
+    )
+    products = [F.sum(F.col(f"_u{i}") * F.col(f"_u{j}")) for i in range(p) for j in range(i, p)]
+    return residuals.groupBy(group).agg(F.array(*products).alias("meat"))
+
+
+def coefficient_errors(
+    model: CoxModel, train: DataFrame, event: str, entity: str, step: int = 6
+) -> DataFrame:
+    """(group, feature, coefficient, std_error, robust_error) of every back-test.
+
+    ``std_error`` is that of the information, ``robust_error`` that of the sandwich with the residuals of an entity
+    added up, for entities whose rows aren't independent. Null for a column without variation. A back-test without an
+    event has no rows.
+    """
+    features, group, p = model.features, model.group, len(model.features)
+    betas = {g: np.nan_to_num(b) for g, b in model.coefficients.items()}
+    x = [(F.col(f).cast("double") - F.lit(float(m))).alias(f"_x{i}") for i, (f, m) in enumerate(zip(features, model.means, strict=True))]
+    own = train.withColumn("_entity", F.col(entity))
+    rows = at_risk_rows(own, event, step).select(group, "_entity", "_t", "_e", *x)
+    upper = np.triu_indices(p)
+
+    def square(values: Sequence[float]) -> np.ndarray:
+        out = np.zeros((p, p))
+        out[upper] = values
+        return out + np.triu(out, 1).T
+
+    # one row for each back-test
+    info = {r[group]: square(r["info"]) for r in _sums(rows, group, betas, p).collect()}
+    meat = {r[group]: square(r["meat"]) for r in score_products(rows, group, "_entity", betas, p).collect()}
+    out = []
+    for g, matrix in info.items():
+        inverse = np.linalg.pinv(matrix, rcond=1e-10, hermitian=True)
+        plain, robust = np.diag(inverse), np.diag(inverse @ meat[g] @ inverse)
+        fixed = np.isnan(model.coefficients[g]) | (np.diag(matrix) <= 1e-9 * max(1.0, np.max(np.diag(matrix))))
+        for i, f in enumerate(features):
+            known = None if fixed[i] else (float(betas[g][i]), float(np.sqrt(plain[i])), float(np.sqrt(robust[i])))
+            out.append((g, f, *(known or (None, None, None))))
+    schema = T.StructType([
+        T.StructField(group, train.schema[group].dataType),
+        T.StructField("feature", T.StringType()),
+        *[T.StructField(n, T.DoubleType()) for n in ("coefficient", "std_error", "robust_error")],
+    ])
+    return train.sparkSession.createDataFrame(out, schema)
+
+
 def fit_cox(
     train: DataFrame,
     features: Sequence[str],

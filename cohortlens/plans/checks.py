@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cohortlens.evaluation import curves, metrics
-from cohortlens.models import board, cox, pu
+from cohortlens.models import board, cox, margins, pu
 from cohortlens.operators import asof, assemble, labels
 from cohortlens.plans import bindings as b
 from cohortlens.plans import outcomes as out
@@ -25,7 +25,7 @@ from cohortlens.sources import tables
 HAZARD = ["days_a", "score"]
 BETA = [0.05, -0.3]
 RISK = f"""{q.SCORED}, {out.INTERVALS.format(source='scored')}, {out.BACKTEST_SQL},
-  risk AS (SELECT test_dt, tstop, label AS e, CAST(days_a AS DOUBLE) AS x0, score AS x1, {BETA[0]} * days_a + ({BETA[1]}) * score AS xb
+  risk AS (SELECT test_dt, ent, tstop, label AS e, CAST(days_a AS DOUBLE) AS x0, score AS x1, {BETA[0]} * days_a + ({BETA[1]}) * score AS xb
     FROM spells_rows JOIN bt ON pred_dt < test_dt),
   per AS (SELECT test_dt, tstop, SUM(e) AS d, SUM(e * xb) AS exb, SUM(exp(xb)) AS s, SUM(e * x0) AS ex0, SUM(e * x1) AS ex1,
     SUM(exp(xb) * x0) AS s0, SUM(exp(xb) * x1) AS s1, SUM(exp(xb) * x0 * x0) AS s00, SUM(exp(xb) * x0 * x1) AS s01,
@@ -98,6 +98,72 @@ def cox_fit_gradient(spark, sf):
     )
 
 
+@query("cox_robust_errors", f"""WITH {RISK}, info AS (SELECT test_dt, SUM(d * (s00 / s - s0 * s0 / (s * s))) AS a,
+    SUM(d * (s01 / s - s0 * s1 / (s * s))) AS b, SUM(d * (s11 / s - s1 * s1 / (s * s))) AS c FROM per GROUP BY test_dt),
+  residual AS (SELECT r.test_dt, ent, SUM((x0 - s0 / s) * (e - exp(xb) * d / s)) AS u, SUM((x1 - s1 / s) * (e - exp(xb) * d / s)) AS v
+    FROM risk r JOIN per p ON p.test_dt = r.test_dt AND p.tstop = r.tstop GROUP BY r.test_dt, ent),
+  meat AS (SELECT test_dt, SUM(u * u) AS uu, SUM(u * v) AS uv, SUM(v * v) AS vv FROM residual GROUP BY test_dt),
+  both_sides AS (SELECT *, a * c - b * b AS det FROM info JOIN meat USING (test_dt))
+  SELECT test_dt, 'days_a' AS feature, ROUND(sqrt(c / det), 6) AS std_error,
+    ROUND(sqrt(c * c * uu - 2 * b * c * uv + b * b * vv) / det, 6) AS robust_error FROM both_sides
+  UNION ALL SELECT test_dt, 'score', ROUND(sqrt(a / det), 6), ROUND(sqrt(b * b * uu - 2 * a * b * uv + a * a * vv) / det, 6)
+  FROM both_sides""")
+def cox_robust_errors(spark, sf):
+    """Errors of the hazard model at the same coefficients, from the information and from residuals by entity."""
+    train, _ = _training(spark, sf)
+    errors = cox.coefficient_errors(_given(train), train, "label", "ent")
+    return errors.select(
+        "test_dt", "feature", F.round("std_error", 6).alias("std_error"), F.round("robust_error", 6).alias("robust_error")
+    )
+
+
+#: A base that is right on four documents of five, and one that is wrong on two of three.
+BASES = f"""{q.DOCS}, based AS (SELECT doc_id, label, CASE WHEN doc_id % 5 = 0 THEN 1 - label ELSE label END AS likely,
+    CASE WHEN doc_id % 3 = 0 THEN label ELSE 1 - label END AS contrary FROM docs)"""
+
+
+def _based(spark, sf):
+    odd = lambda n: F.when(F.col("doc_id") % n == 0, 1 - F.col("label"))
+    docs = b.scored_documents(spark, sf).select("doc_id", "label", odd(5).otherwise(F.col("label")).alias("likely"),
+                                                (1 - odd(3).otherwise(F.col("label"))).alias("contrary"))
+    return materialise(docs, "docs")
+
+
+@query("stack_weights_at_least_zero", f"""WITH {BASES}, p AS (SELECT likely, AVG(label) AS p FROM based GROUP BY likely)
+  SELECT CAST(b.likely AS INTEGER) AS likely, ROUND(ANY_VALUE(p), 3) AS prob, COUNT(*) AS n, 0.0::DOUBLE AS weight_contrary,
+    SUM((label - p) * contrary) <= 0 AS pulls_down FROM based b JOIN p USING (likely) GROUP BY b.likely""")
+def stack_weights_at_least_zero(spark, sf):
+    """Top model over two bases of which one speaks against the label: it gets no weight, the rest fits the means.
+
+    ``pulls_down``: the likelihood would only rise with a negative weight.
+    """
+    docs, names = _based(spark, sf), ["likely", "contrary"]
+    model = board.pipeline(names, board.top_learner(names, "label")).fit(docs)
+    weight = float(model.stages[-1].coefficients[1])
+    scored = board.score(model, docs, names, "label", "prob")
+    return scored.groupBy(F.col("likely").cast("int").alias("likely")).agg(
+        F.round(F.avg("prob"), 3).alias("prob"), F.count("*").alias("n"), F.lit(round(weight, 3) + 0.0).alias("weight_contrary"),
+        (F.sum((F.col("label") - F.col("prob")) * F.col("contrary")) <= 0).alias("pulls_down"),
+    )
+
+
+@query("margin_means", f"""WITH {BASES}, f AS (SELECT *, CAST(concat('0x', substr(md5(concat(CAST(doc_id AS VARCHAR), '626')), 1, 8)) AS BIGINT)
+    % 100 % 3 AS fold FROM based),
+  held AS (SELECT h.fold, h.likely, 2 * AVG(t.label) - 1 AS margin FROM (SELECT DISTINCT fold, likely FROM f) h
+    JOIN f t ON t.fold <> h.fold AND t.likely = h.likely GROUP BY h.fold, h.likely
+    UNION ALL SELECT -1, likely, 2 * AVG(label) - 1 FROM f GROUP BY likely)
+  SELECT CAST(fold AS INTEGER) AS fold, CAST(likely AS INTEGER) AS likely, ROUND(margin, 6) AS margin FROM held""")
+def margin_means(spark, sf):
+    """Unpenalised margins on one 0/1 column are the mean of the labels -1 and 1, of all rows and of the other folds."""
+    docs = _based(spark, sf)
+    classifier = margins.MarginClassifier("label", "doc_id", penalty=None, folds=3)
+    rows, weights, _ = classifier.fold_weights(board.assembler(["likely"]).transform(docs))
+    held = classifier.held_out(rows, weights).join(docs.select(F.col("doc_id").alias("_key"), "likely"), "_key")
+    whole = margins.MarginModel(weights[margins.ALL], 1.0, 0.0).transform(board.assembler(["likely"]).transform(docs))
+    both = held.select("fold", "likely", "margin").unionByName(whole.select(F.lit(margins.ALL).alias("fold"), "likely", "margin"))
+    return both.groupBy("fold", F.col("likely").cast("int").alias("likely")).agg(F.round(F.avg("margin"), 6).alias("margin"))
+
+
 @query("binomial_means", f"""WITH {q.DOCS} SELECT lang, ROUND(AVG(label), 3) AS prob, COUNT(*) AS n FROM docs GROUP BY lang""")
 def binomial_means(spark, sf):
     """Unpenalised binomial model on one category: the fitted probabilities are the means of the categories."""
@@ -258,6 +324,34 @@ def snapshot_two_persons(spark, sf):
     return asof.latest_snapshot(b.spine(spark, sf), known, b.GRID, b.ENT).select("ent", "pred_dt", "start_dt", "n_f", "n_o")
 
 
+#: Broken on purpose: prices of every seventh order, dates of every eleventh, no status in every thirteenth.
+@query("csv_quarantine", """WITH o AS (SELECT *, o_orderkey % 7 = 0 AS p, o_orderkey % 11 = 0 AS d, o_orderkey % 13 = 0 AS s FROM orders)
+  SELECT 'n_rows' AS what, COUNT(*) AS n FROM o UNION ALL SELECT 'n_rejected', COUNT(*) FILTER (WHERE p OR d OR s) FROM o
+  UNION ALL SELECT 'n_malformed', 0 UNION ALL SELECT 'order_key', 0 UNION ALL SELECT 'price', COUNT(*) FILTER (WHERE p) FROM o
+  UNION ALL SELECT 'day', COUNT(*) FILTER (WHERE d) FROM o UNION ALL SELECT 'status', COUNT(*) FILTER (WHERE s) FROM o
+  UNION ALL SELECT 'kept', COUNT(*) FROM o WHERE NOT (p OR d OR s)
+  UNION ALL SELECT 'lines of both', COUNT(*) FROM o WHERE p AND d""")
+def csv_quarantine(spark, sf):
+    """Orders written as CSV with broken values, loaded again: counts per column, rows kept, lines set aside."""
+    key = F.col("o_orderkey")
+    rows = b.table(spark, sf, "orders").select(
+        key.alias("order_key"),
+        F.when(key % 7 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string")).alias("price"),
+        F.when(key % 11 == 0, "31/31/1999").otherwise(F.to_date("o_orderdate").cast("string")).alias("day"),
+        F.when(key % 13 != 0, F.col("o_orderstatus")).alias("status"),
+    )
+    path = scratch_path(spark, "csv")
+    tables.write_table(rows, path, "csv")
+    loaded = tables.load_csv(
+        spark, path, "order_key long, price double, day date, status string", scratch_path(spark, "loaded"), ["status"]
+    )
+    told = spark.createDataFrame(list(loaded.counts.items()), "what string, n long")
+    kept = loaded.rows.select(F.lit("kept").alias("what"))
+    both = loaded.rejects.filter(F.array_contains("bad_columns", "price") & F.array_contains("bad_columns", "day"))
+    found = kept.unionByName(both.select(F.lit("lines of both").alias("what"))).groupBy("what").agg(F.count("*").alias("n"))
+    return told.unionByName(found)
+
+
 @query("csv_mixed_headers", "SELECT o_orderkey AS order_key, o_custkey AS entity, o_orderstatus AS status FROM orders")
 def csv_mixed_headers(spark, sf):
     """Two sets of files with another order of columns, read together by name."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.causal import mechanisms, scm
 from cohortlens.evaluation import curves, metrics
-from cohortlens.models import board, boosting, cox, importance, pu
+from cohortlens.models import board, boosting, cox, importance, margins, pu
 from cohortlens.models.fits import together
 from cohortlens.operators import assemble, labels
 from cohortlens.plans import bindings as b
@@ -255,9 +255,26 @@ def pu_backtest(spark, sf):
     return metrics.best_f1_board(materialise(scored, "scored"), "pu_score", "label", ["test_dt"])
 
 
+@query("pu_margin_embeddings")
+def pu_margin_embeddings(spark, sf):
+    """Embedding class 0 as in ``pu_embeddings``, with the margin classifier on the kernel features: areas of all vectors."""
+    rows, names = _shown_vectors(spark, sf)
+    projected = materialise(pu.fourier_features(rows, names, 0.05, 256), "projected")
+    estimator = margins.MarginClassifier("shown", "vec_id")
+    model = pu.fit_pu(projected, names, "shown", "vec_id", estimator, gamma=0.05, dimension=256)
+    scored = materialise(model.transform(projected).select("vec_id", "truth", "pu_score"), "scored")
+    return curves.areas(curves.score_curve(scored, "pu_score", "truth"))
+
+
 @query("pu_embeddings")
 def pu_embeddings(spark, sf):
     """Embedding class 0 with part of its members unlabelled: PU scores of all vectors."""
+    rows, names = _shown_vectors(spark, sf)
+    model = pu.fit_pu(rows, names, "shown", "vec_id", dimension=256)
+    return model.transform(rows).select("vec_id", "truth", "shown", "pu_score")
+
+
+def _shown_vectors(spark, sf):
     vectors = b.table(spark, sf, "embeddings")
     names = [f"v{i}" for i in range(64)]
     positive = F.col("label") == 0
@@ -266,9 +283,7 @@ def pu_embeddings(spark, sf):
         "vec_id", positive.cast("int").alias("truth"), shown.cast("int").alias("shown"),
         *[F.get("embedding", F.lit(i)).cast("double").alias(n) for i, n in enumerate(names)],
     )
-    rows = materialise(rows, "vectors")
-    model = pu.fit_pu(rows, names, "shown", "vec_id", dimension=256)
-    return model.transform(rows).select("vec_id", "truth", "shown", "pu_score")
+    return materialise(rows, "vectors"), names
 
 
 @query("permutation_importance")

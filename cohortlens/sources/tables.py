@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,6 +86,74 @@ def read_csv(
     return reduce(DataFrame.unionByName, parts)
 
 
+@dataclass
+class Loaded:
+    """A loaded table, its rejected lines, and how many lines were read, rejected, and rejected for each column."""
+
+    rows: DataFrame
+    rejects: DataFrame
+    counts: dict[str, int]
+
+
+def load_csv(
+    spark: SparkSession, path: str | Sequence[str], schema: str, out: str, columns_needed: Sequence[str] = ()
+) -> Loaded:
+    """Write CSV files to the parquet folder ``out``, with bad lines apart, in one pass over the text.
+
+    A line is bad if a value isn't of its column's type, if a column of ``columns_needed`` is empty, or if it hasn't as
+    many fields as the header; it goes whole to ``rejects`` (``file``, ``line``, ``bad_columns``; no bad column: number of
+    fields). All other lines are in ``rows``. ``counts`` has ``n_rows``, ``n_rejected``, ``n_malformed`` and the lines
+    rejected for each column by its name. It is read from the flags of the written table, so a task that ran twice counts
+    once; an observation of the write would also keep the session's ML models from being sent to tasks.
+    """
+    wanted = spark.createDataFrame([], SCHEMAS.get(schema, schema)).schema
+    paths = [path] if isinstance(path, str) else list(path)
+    found = spark.read.csv(paths, header=True, inferSchema=False).columns
+    absent = [f.name for f in wanted.fields if f.name not in found]
+    if absent:
+        raise ValueError(f"no column {', '.join(absent)}")
+    read = ", ".join(f"`{c}` string" for c in found)
+    raw = spark.read.csv(
+        paths, header=True, schema=f"{read}, _line string", enforceSchema=False, mode="PERMISSIVE",
+        columnNameOfCorruptRecord="_line",
+    )
+    bad, values = [], []
+    for f in wanted.fields:
+        text = F.col(f"`{f.name}`")
+        wrong = text.isNotNull() & text.try_cast(f.dataType).isNull()
+        if f.name in columns_needed:
+            wrong = wrong | text.isNull()
+        bad.append(F.when(wrong, F.lit(f.name)))
+        values.append(text.try_cast(f.dataType).alias(f.name))
+    malformed = F.col("_line").isNotNull()
+    judged = raw.select(
+        *values,
+        F.when(malformed, F.array().cast("array<string>")).otherwise(F.array_compact(F.array(*bad))).alias("_bad"),
+        malformed.alias("_malformed"),
+        F.coalesce("_line", F.to_csv(F.struct(*[F.col(f"`{c}`") for c in found]))).alias("_text"),
+        F.col("_metadata.file_path").alias("_file"),
+    )
+    rejected = F.col("_malformed") | (F.size("_bad") > 0)
+    # what only rejected lines need is empty for the others
+    kept = {c: F.when(F.col("_rejected"), F.col(c)) for c in ("_bad", "_text", "_file")}
+    tested = judged.withColumn("_rejected", rejected).withColumns(kept)
+    tested.write.partitionBy("_rejected").mode("error").parquet(out)
+    fields = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in wanted.fields])
+    back = spark.read.schema(f"{fields}, _bad array<string>, _malformed boolean, _text string, _file string, _rejected boolean").parquet(out)
+    seen = back.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if("_rejected").alias("n_rejected"),
+        F.count_if("_malformed").alias("n_malformed"),
+        *[F.count_if(F.array_contains("_bad", f.name)).alias(f"bad {f.name}") for f in wanted.fields],
+    ).first()
+    counts = {k.removeprefix("bad "): v for k, v in seen.asDict().items()}
+    return Loaded(
+        back.filter(~F.col("_rejected")).select(*[f"`{f.name}`" for f in wanted.fields]),
+        back.filter("_rejected").select(F.col("_file").alias("file"), F.col("_text").alias("line"), F.col("_bad").alias("bad_columns")),
+        counts,
+    )
+
+
 def snake(name: str) -> str:
     """``"How confident?  (Values)"`` -> ``how_confident_values``."""
     name = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", name)
