@@ -124,11 +124,10 @@ class Block:
             if 0 < len(w) < settings.seed:
                 self.short.setdefault(w.tobytes(), []).append(i)
         found = [runs(w, settings.seed) for w in self.words]
-        self.codes = np.unique(np.concatenate([np.zeros(0, np.uint64), *(c for _, c in found)]))
-        self.rows = np.array(
-            [(np.searchsorted(self.codes, c), i, p) for i, (at, code) in enumerate(found) for p, c in zip(at.tolist(), code)],
-            np.int64,
-        ).reshape(-1, 3)  # run, item, position
+        self.codes, run = np.unique(np.concatenate([np.zeros(0, np.uint64), *(c for _, c in found)]), return_inverse=True)
+        item = np.repeat(np.arange(len(found)), [len(at) for at, _ in found])
+        place = np.concatenate([np.zeros(0, np.int64), *(at for at, _ in found)])
+        self.rows = np.stack([run.ravel().astype(np.int64), item, place], axis=1)  # run, item, position
         self.seeds = self.rows[np.argsort(self.rows[:, 0], kind="stable")]  # by run; all of them until some are chosen
 
     def numbers(self, text: str | None) -> np.ndarray:
@@ -146,13 +145,13 @@ class Block:
 
     def choose(self, counts: np.ndarray) -> None:
         """Keeps as seeds what is left of each stretch of each item without its commonest runs."""
-        keep = []
         order = np.lexsort((self.rows[:, 2], counts[self.rows[:, 0]], self.rows[:, 2] // self.settings.stretch, self.rows[:, 1]))
         rows = self.rows[order]
         key = rows[:, 1] * (1 << 32) + rows[:, 2] // self.settings.stretch
-        for part in np.split(rows, np.flatnonzero(key[1:] != key[:-1]) + 1) if len(rows) else []:
-            keep.append(part[: max(1, len(part) - int(len(part) * self.settings.common))])
-        seeds = np.concatenate(keep) if keep else rows
+        _, first, size = np.unique(key, return_index=True, return_counts=True)  # keys ascend
+        rank = np.arange(len(rows)) - np.repeat(first, size)
+        kept = np.maximum(1, size - (size * self.settings.common).astype(np.int64))
+        seeds = rows[rank < np.repeat(kept, size)]
         self.seeds = seeds[np.argsort(seeds[:, 0], kind="stable")]
 
     def find(self, text: str | None) -> list[Hit]:
@@ -250,8 +249,8 @@ def count_runs(df: DataFrame, text: str, block: Block) -> np.ndarray:
 
     found = df.select(F.col(text).cast("string")).mapInArrow(run, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
     out = np.zeros(len(block.codes), np.int64)
-    for r in found.collect():  # one row for each run of the block, which is bounded
-        out[r["run"]] = r["n"]
+    sums = found.toArrow()  # 16 bytes for each run of the block, which is bounded
+    out[sums["run"].to_numpy()] = sums["n"].to_numpy()
     return out
 
 

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from cohortlens.llm import decontaminate
@@ -76,3 +77,20 @@ def test_one_block_at_a_time_and_none_too_large(spark, monkeypatch):
     assert sorted(map(str, several.collect())) == one
     assert sorted(map(str, rest.collect())) == kept
     assert len(kept) == 22 and sum("doc_id=0," in r for r in one) == 3
+
+
+def test_seeds_are_the_rarest_of_each_stretch():
+    pick = random.Random(3)
+    items = [(k, " ".join(f"w{pick.randrange(40)}" for _ in range(pick.randrange(120)))) for k in range(30)]
+    block = Block(items, Settings())
+    counts = np.array([pick.randrange(6) for _ in block.codes])
+    block.choose(counts)
+    want = set()
+    for i, words in enumerate(block.words):
+        own = [tuple(r) for r in block.rows.tolist() if r[1] == i]
+        assert [p for _, _, p in sorted(own, key=lambda r: r[2])] == list(range(max(0, len(words) - 2)))
+        for stretch in {p // 32 for _, _, p in own}:
+            part = sorted((r for r in own if r[2] // 32 == stretch), key=lambda r: (counts[r[0]], r[2]))
+            want |= set(part[: max(1, len(part) - int(len(part) * 0.25))])
+    assert {tuple(r) for r in block.seeds.tolist()} == want
+    assert not len(Block([], Settings()).seeds)
