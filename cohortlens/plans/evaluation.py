@@ -290,7 +290,7 @@ def importance_summary(spark, sf):
     UNION ALL SELECT CAST(tp AS DOUBLE) / NULLIF(p, 0), 1 - (1 - CAST(fp AS DOUBLE) / NULLIF(n, 0)),
       'Cox-' || substr(CAST(pred_dt AS VARCHAR), 3, 5) FROM curve
     UNION ALL SELECT CAST(tp AS DOUBLE) / NULLIF(p, 0), CAST(fp AS DOUBLE) / NULLIF(n, 0),
-      CASE WHEN month(pred_dt) = 1 THEN 'ANN-1' ELSE 'GBM-46' END FROM curve)
+      CASE WHEN month(pred_dt) = 1 THEN 'linear' ELSE 'GBM-2' END FROM curve)
   SELECT ROUND(tpr, 6) AS tpr, ROUND(fpr, 6) AS fpr, model_name,
     model_name LIKE 'PUL%' AS is_champion, CASE WHEN model_name LIKE 'PUL%' THEN model_name ELSE 'others' END AS shown_as
   FROM fam""")
@@ -302,10 +302,10 @@ def stacked_roc(spark, sf):
         F.try_divide("tp", "p").alias("tpr"),
     )
     cox = points.select("test_dt", (1 - F.col("fpr")).alias("specificity"), F.col("tpr").alias("sensitivity"))
-    ids = F.when(F.month("test_dt") == 1, "DeepLearning_grid_2_model_1").otherwise("GBM_grid_1_model_46")
+    ids = F.when(F.month("test_dt") == 1, "GLM_1").otherwise("GBM_2")  # as the boards of this library name them
     named = points.withColumn("model_id", ids).withColumn(
         "model_name",
-        metrics.contender_name("model_id", "^[A-Za-z]+", "_[0-9]+$", {("DeepLearning", "_1"): "ANN-1"}, ["StackedEnsemble"]),
+        metrics.contender_name("model_id", "^[A-Za-z]+", "_[0-9]+$", {("GLM", "_1"): "linear"}, ["Stack"]),
     )
     return _round(metrics.stacked_roc({"PUL": points, "Cox": cox, "board": named}, "PUL"), "tpr", "fpr")
 

@@ -292,9 +292,9 @@ def test_first_detection_and_history(spark):
 
 
 def test_report_names(spark):
-    df = spark.createDataFrame([("DeepLearning_grid_2_model_3",), ("GBM_grid_1_model_46",), ("StackedEnsemble_All_54",)], "m string")
-    name = metrics.contender_name("m", "^[A-Za-z]+", "_[0-9]+$", {("DeepLearning", "_3"): "ANN-3"}, ["StackedEnsemble"])
-    assert [r[0] for r in df.select(name).collect()] == ["ANN-3", "GBM-46", "StackedEnsemble"]
+    df = spark.createDataFrame([("GLM_3",), ("GBM_46",), ("Stack_1",)], "m string")
+    name = metrics.contender_name("m", "^[A-Za-z]+", "_[0-9]+$", {("GLM", "_3"): "linear"}, ["Stack"])
+    assert [r[0] for r in df.select(name).collect()] == ["linear", "GBM-46", "Stack"]
     ids = spark.createDataFrame([("AutoML_4_20231025_104540",)], "p string")
     assert ids.select(metrics.experiment_id("p")).first()[0] == "20231025_104540"
     test = spark.createDataFrame([(day("2015-07-01"),)], "test_dt date")
