@@ -63,36 +63,56 @@ def _linear(columns: Sequence[Column], group: str, betas: dict) -> Column:
     return out
 
 
+def _listed(df: DataFrame, group: str) -> bool:
+    return isinstance(df.schema[group].dataType, T.ArrayType)
+
+
+def _one_group(df: DataFrame, group: str) -> DataFrame:
+    """One row for each group of a row that has a list of them."""
+    return df.withColumn(group, F.explode(group)) if _listed(df, group) else df
+
+
 def _sums(rows: DataFrame, group: str, betas: dict, p: int) -> DataFrame:
     """Log-likelihood, gradient and information per group, from one pass over the rows.
 
-    A task adds up its rows per (group, event time) by matrix products and gives one row for each. Those of a group
-    meet in one task, which holds a sum for each of its times and gives one row. Rows with a missing covariate are
-    left out.
+    ``group`` is a row's group or the list of its groups; a row of several groups goes to its task once. A task adds up
+    its rows per (group, event time) by matrix products and gives one row for each. Those of a group meet in one task,
+    which holds a sum for each of its times and gives one row. Rows with a missing covariate are left out.
     """
     groups, matrix = list(betas), np.array([np.nan_to_num(b) for b in betas.values()]).reshape(len(betas), p)
     upper = np.triu_indices(p)
-    place = F.element_at(F.create_map(*[v for i, g in enumerate(groups) for v in (F.lit(g), F.lit(i))]), F.col(group))
+    place = F.create_map(*[v for i, g in enumerate(groups) for v in (F.lit(g), F.lit(i))])
+    own = F.filter(group, lambda g: g.isin(groups)) if _listed(rows, group) else F.array(group)
     x = [F.col(f"_x{i}") for i in range(p)]
-    given = rows.filter(F.col(group).isin(groups)).dropna(subset=[f"_x{i}" for i in range(p)])
-    given = given.select(place.alias("_g"), F.col("_t").cast("long").alias("_t"), F.col("_e").cast("double").alias("_e"), F.array(*x).alias("_x"))
+    given = rows.withColumn("_g", own) if _listed(rows, group) else rows.filter(F.col(group).isin(groups)).withColumn("_g", own)
+    given = given.filter(F.size("_g") > 0).dropna(subset=[f"_x{i}" for i in range(p)])
+    given = given.select(
+        F.transform("_g", lambda g: F.element_at(place, g)).alias("_g"),
+        F.col("_t").cast("long").alias("_t"), F.col("_e").cast("double").alias("_e"), F.array(*x).alias("_x"),
+    )
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            if not batch.num_rows:
+            n = batch.num_rows
+            if not n:
                 continue
-            g, t, e = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            place_of = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            row_of = np.repeat(np.arange(n), batch.column(0).value_lengths().to_numpy(zero_copy_only=False))
+            seen = np.bincount(row_of * len(groups) + place_of, minlength=n * len(groups)).reshape(n, len(groups))
+            t, e = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
             values = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, p)
-            linear = (values * matrix[g]).sum(axis=1)
-            weight = np.exp(linear)
-            keys, at = np.unique(np.stack([g, t], axis=1), axis=0, return_inverse=True)
-            order = np.argsort(at.ravel(), kind="stable")
-            for key, own in zip(keys.tolist(), np.split(order, np.cumsum(np.bincount(at.ravel()))[:-1]), strict=True):
-                v, w, events = values[own], weight[own], e[own]
-                head = [events.sum(), events @ linear[own], w.sum()]
-                part = np.concatenate([head, events @ v, w @ v, ((v * w[:, None]).T @ v)[upper]])
-                sums[tuple(key)] = sums.get(tuple(key), 0.0) + part
+            linear = np.where(seen > 0, values @ matrix.T, 0.0)
+            weight, events = np.exp(linear) * seen, e[:, None] * seen
+            order = np.argsort(t, kind="stable")
+            times, first = np.unique(t[order], return_index=True)
+            for time, at in zip(times.tolist(), np.split(order, first[1:]), strict=True):
+                v, w, d = values[at], weight[at], events[at]
+                head = [d.sum(axis=0), (d * linear[at]).sum(axis=0), w.sum(axis=0)]
+                for g in np.flatnonzero(seen[at].any(axis=0)).tolist():
+                    square = ((v * w[:, g : g + 1]).T @ v)[upper]
+                    part = np.concatenate([[h[g] for h in head], d[:, g] @ v, w[:, g] @ v, square])
+                    sums[g, time] = sums.get((g, time), 0.0) + part
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([k[0] for k in sums], pa.int32()),
@@ -248,26 +268,30 @@ def fit_cox(
 ) -> CoxModel:
     """Newton steps with halving, all back-tests in the same pass.
 
-    ``train`` is keyed by ``group`` (see ``backtest_rows``) and read once per step:
-    give it as a plan over a written table, so that what is stored does not grow
-    with the number of back-tests, whose rows are made in memory. One Spark job per
-    step, however many back-tests; the 12 x 12 solves run on the driver. A back-test
-    that is still open after ``max_iterations`` is marked and warned about.
+    ``train`` is keyed by ``group`` (see ``backtest_rows``), or ``group`` is the list
+    of a row's groups (see ``backtest_lists``), which spares a copy of the row for
+    each. It is read once per step: give it as a plan over a written table. One Spark
+    job per step, however many back-tests; the 12 x 12 solves run on the driver. A
+    back-test that is still open after ``max_iterations`` is marked and warned about.
     """
     features = list(features)
     p = len(features)
     # centre and scale: the same model, better conditioned
-    moments = train.groupBy(group).agg(
-        F.count("*").alias("n"),
-        *[F.avg(f).alias(f"m{i}") for i, f in enumerate(features)],
-        *[F.avg(F.col(f).cast("double") * F.col(f)).alias(f"q{i}") for i, f in enumerate(features)],
-    ).collect()
+    sums = {"n": F.count("*")}
+    for i, f in enumerate(features):
+        value = F.col(f).cast("double")
+        sums |= {f"k{i}": F.count(f), f"m{i}": F.sum(value), f"q{i}": F.sum(value * value)}
+    moments = train.groupBy(group).agg(*[v.alias(n) for n, v in sums.items()])
+    if _listed(train, group):
+        # as many rows as there are different lists
+        moments = _one_group(moments, group).groupBy(group).agg(*[F.sum(n).alias(n) for n in sums])
+    moments = moments.collect()
     groups = [r[group] for r in moments]
     if not groups:
         raise ValueError("no training rows")
     share = np.array([r["n"] for r in moments], dtype=float) / sum(r["n"] for r in moments)
-    means = np.array([sum(s * (r[f"m{i}"] or 0.0) for s, r in zip(share, moments)) for i in range(p)])
-    squares = np.array([sum(s * (r[f"q{i}"] or 0.0) for s, r in zip(share, moments)) for i in range(p)])
+    means = np.array([sum(s * (r[f"m{i}"] or 0.0) / max(r[f"k{i}"], 1) for s, r in zip(share, moments)) for i in range(p)])
+    squares = np.array([sum(s * (r[f"q{i}"] or 0.0) / max(r[f"k{i}"], 1) for s, r in zip(share, moments)) for i in range(p)])
     scale = np.sqrt(np.maximum(squares - means**2, 0.0))
     scale[scale < 1e-9 * (1.0 + np.abs(means))] = 1.0
     rows = at_risk_rows(train, event, step).select(
@@ -285,8 +309,7 @@ def fit_cox(
     iterations = 0
     while open_groups and iterations < max_iterations:
         iterations += 1
-        active = rows if len(open_groups) == len(groups) else rows.filter(F.col(group).isin(list(open_groups)))
-        answers = {r[group]: r for r in _sums(active, group, {g: trial[g] for g in open_groups}, p).collect()}
+        answers = {r[group]: r for r in _sums(rows, group, {g: trial[g] for g in open_groups}, p).collect()}
         for g in list(open_groups):
             row = answers.get(g)
             if row is None:  # no event in this back-test's past
@@ -318,7 +341,7 @@ def fit_cox(
     return CoxModel(
         features, group, means, coefficients, {g: best[g][0] for g in groups}, iterations,
         {g: g not in open_groups for g in groups},
-        materialise(hazard_steps(rows, group, scaled, p), "hazard"),
+        materialise(hazard_steps(_one_group(rows, group), group, scaled, p), "hazard"),
     )
 
 

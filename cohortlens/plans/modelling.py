@@ -33,8 +33,8 @@ def _cox(spark, sf):
     # read once for every Newton step: in as many pieces as there are tasks, however small the table is
     rows = survival_rows(spark, sf).repartition(spark.sparkContext.defaultParallelism, "ent")
     rows = materialise(rows, "survival")
-    train, test = assemble.backtest_rows(rows, out.BACKTESTS)
-    return cox.fit_cox(train, COVARIATES, "label"), test
+    _, test = assemble.backtest_rows(rows, out.BACKTESTS)
+    return cox.fit_cox(assemble.backtest_lists(rows, out.BACKTESTS), COVARIATES, "label"), test
 
 
 @query("cox_fit")

@@ -90,6 +90,24 @@ def test_cox_rows_wider_than_a_step(spark):
     assert np.allclose(model.coefficients[day("2018-01-01")], beta, atol=1e-6)
 
 
+def test_cox_rows_with_a_list_of_groups(spark):
+    from cohortlens.operators import assemble
+    from cohortlens.operators.grid import Grid
+
+    data = [(*r, day(["2017-01-01", "2017-07-01", "2018-01-01", None][r[0] % 4])) for r in cox_data(5, 160)]
+    data.append((999, 0, 6, 1, None, 1.0, 3.0, day("2017-01-01")))
+    df = spark.createDataFrame(data, SCHEMA + ", pred_dt date")
+    grid = Grid(day("2017-07-01"), day("2018-07-01"), 6)
+    listed, (train, _) = assemble.backtest_lists(df, grid), assemble.backtest_rows(df, grid)
+    assert sorted((r.id, r.tstart, d) for r in listed.collect() for d in r.test_dt) == sorted((r.id, r.tstart, r.test_dt) for r in train.collect())
+    got, want = (cox.fit_cox(rows, ["x1", "x2"], "y") for rows in (listed, train))
+    assert got.coefficients.keys() == want.coefficients.keys() and len(want.coefficients) == 3
+    for g, b in want.coefficients.items():
+        assert np.allclose(got.coefficients[g], b, atol=1e-9) and abs(got.loglik[g] - want.loglik[g]) < 1e-9
+    steps = [sorted((r.test_dt, r.time, round(r.hazard, 9)) for r in m.baseline.collect()) for m in (got, want)]
+    assert steps[0] == steps[1]
+
+
 def clusters(spark, n=600):
     rng = np.random.default_rng(9)
     out = []
