@@ -212,13 +212,19 @@ def window_shares(
     distinct_on: Sequence[str] | None = None,
     length: int = 6,
     pred: str = "pred_dt",
+    tasks: int | None = None,
 ) -> DataFrame:
     """Share of the window's rows per bucket; only spine keys with a row in it.
 
     With ``distinct_on``, rows equal in (entity, prediction date, bucket) and
-    these columns count once.
+    these columns count once. Where most rows differ, ``tasks`` deals them out by
+    what tells them apart before they meet their dates; a task then holds its part
+    only, and each row is shuffled once and not once for each date.
     """
-    in_window = grid.windows_over(rows.select(*keys, date, bucket, *distinct_on or ()), date, length, pred)
+    rows = rows.select(*keys, date, bucket, *distinct_on or ())
+    if tasks is not None:
+        rows = rows.repartition(tasks, *keys, bucket, *distinct_on or ())
+    in_window = grid.windows_over(rows, date, length, pred)
     if distinct_on is not None:
         in_window = in_window.select(*keys, pred, bucket, *distinct_on).distinct()
     total = F.count("*").cast("double")

@@ -358,13 +358,18 @@ def zero_fill_and_means(spark, sf):
     return means.select(*[F.round(c, 6).alias(c) for c in means.columns])
 
 
+#: Lines whose windows one task keeps apart, however many lines there are.
+LINES_A_TASK = 500_000
+
+
 @query("lookback_share_rows", f"""WITH {q.BASE}, {q.ITEMS} SELECT ent, pred_dt,
   CAST(COUNT(*) FILTER (WHERE code = 'A') AS DOUBLE) / COUNT(*) AS share_a FROM (
   SELECT DISTINCT s.ent, s.pred_dt, code, l_orderkey, l_linenumber FROM spine s JOIN items i ON s.ent = i.ent
     AND i.dt BETWEEN s.pred_dt - INTERVAL 12 MONTH AND s.pred_dt) GROUP BY ent, pred_dt""")
 def lookback_share_rows(spark, sf):
     """A window twice as long as the grid step."""
+    lines = b.table(spark, sf, "lineitem").count()  # read from the file footers
     return windows.window_shares(
         b.spine(spark, sf), b.items(spark, sf), b.GRID, b.ENT, {"A": "share_a"}, "event_dt", "category",
-        ["l_orderkey", "l_linenumber"], length=12,
+        ["l_orderkey", "l_linenumber"], length=12, tasks=lines // LINES_A_TASK + 1,
     )

@@ -193,6 +193,47 @@ def test_term_dates(spark):
     assert got == [(2018, "T1", day("2018-12-20")), (2018, "T2", day("2019-06-05")), (2019, "T1", None)]
 
 
+def test_term_dates_by_the_number_of_the_year(spark):
+    terms = spark.createDataFrame([(1, day("2018-08-27"), day("2018-12-20")), (2, day("2019-01-07"), day("2019-06-05"))],
+                                  "name int, start_dt date, end_dt date")
+    data = spark.createDataFrame([(2018, 1), (2018, 2), (2019, 1), (None, 1)], "year int, term int")
+    got = rows(grades.term_dates(data, terms, term="term"), "start_yr", "end_yr", "term", "end_dt")
+    assert got == [(2018, 2019, 1, day("2018-12-20")), (2018, 2019, 2, day("2019-06-05")), (2019, 2020, 1, None), (None, None, 1, None)]
+
+
+def test_distinct_days_of_a_long_window_in_one_shuffle(spark):
+    grid = Grid(dt.date(2019, 1, 1), dt.date(2019, 12, 31), 30, "day")
+    events = spark.range(4000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id") % 5).alias("ent"),
+        F.date_add(F.lit(dt.date(2018, 6, 1)), (F.col("id") * 11 % 640).cast("int")).alias("event_dt"),
+        F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit("c")), (F.col("id") % 3 + 1).cast("int")).alias("category"),
+    )
+    counts = windows.window_distinct_days(None, events, grid, ["ent"], ["a", "b"], length=200)
+    brute = spark.sql(
+        "select ent, pred_dt, count(distinct case when category = 'a' then event_dt end) a, count(distinct case when category = 'b' "
+        "then event_dt end) b from {g} join {e} on event_dt between date_sub(pred_dt, 200) and pred_dt "
+        "where category in ('a', 'b') group by 1, 2", g=grid.dates(spark), e=events,
+    )
+    assert rows(counts) == rows(brute)
+    assert counts._jdf.queryExecution().sparkPlan().toString().count("HashAggregate") == 2  # no DISTINCT before
+
+
+def test_shares_of_rows_dealt_to_tasks(spark):
+    spine = spark.range(6).select(F.col("id").alias("ent")).crossJoin(GRID.dates(spark))
+    data = spark.range(900).select(
+        (F.col("id") % 7).alias("ent"),
+        F.date_add(F.lit(dt.date(2018, 1, 1)), (F.col("id") * 17 % 800).cast("int")).alias("end_dt"),
+        F.when(F.col("id") % 4 > 0, F.col("id") % 4).cast("int").alias("score_bucket"),
+        F.when(F.col("id") % 11 > 0, F.col("id") % 60).alias("line"),
+    )
+    plain, dealt = (
+        windows.window_shares(spine, data, GRID, ["ent"], {1: "one", 2: "two"}, distinct_on=["line"], length=12, tasks=n) for n in (None, 9)
+    )
+    assert rows(dealt) == rows(plain) and plain.count() > 0
+    tops = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in tops
+
+
 def test_assemble_order_of_fill_and_filter(spark):
     spine = spine_of(spark, (1, "2019-01-01"), (2, "2019-01-01"), (3, "2019-01-01"), (None, "2019-01-01"))
     age = spark.createDataFrame([(1, day("2019-01-01"), 15.5), (2, day("2019-01-01"), None)], "ent long, pred_dt date, age double")
