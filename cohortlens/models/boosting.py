@@ -10,11 +10,10 @@ from __future__ import annotations
 import hashlib
 import json
 import math
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorSlicer
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -91,21 +90,49 @@ def tree_features(features: Sequence[str], settings: Settings, at: int) -> list[
     return sorted(sorted(range(len(features)), key=digest)[:count])
 
 
+def feature_values(features: Sequence[str]) -> dict[str, Column]:
+    """The columns ``_f0``... that trees read; a null is NaN, which goes to the right."""
+    return {f"_f{i}": F.coalesce(F.col(f).cast("double"), F.lit(float("nan"))) for i, f in enumerate(features)}
+
+
 @dataclass
 class Tree:
-    """A fitted tree over some columns, and what it adds to the log odds at each leaf."""
+    """A fitted tree over some columns, and what it adds to the log odds at each leaf.
+
+    It is read from its description, so rows meet it as nested conditions on ``_f0``...: no vector is made or cut for
+    them. Leaves count from the left.
+    """
 
     columns: list[int]
     model: RandomForestRegressionModel
     adds: list[float]
 
-    def leaf(self, df: DataFrame) -> DataFrame:
-        sliced = VectorSlicer(inputCol="features", outputCol="_slice", indices=self.columns).transform(df)
-        found = self.model.setLeafCol("_leaves").setPredictionCol("").transform(sliced)
-        return found.withColumn("_leaf", vector_to_array("_leaves")[0].cast("int")).drop("_slice", "_leaves")
+    def __post_init__(self):
+        lines = iter(self.model.trees[0].toDebugString.splitlines()[1:])
+        self.leaves = 0
+        self.root = self._read(lines)
+
+    def _read(self, lines: Iterator[str]) -> int | tuple:
+        line = next(lines).strip()
+        if line.startswith("Predict:"):
+            self.leaves += 1
+            return self.leaves - 1
+        feature, edge = re.fullmatch(r"If \(feature (\d+) <= (\S+)\)", line).groups()
+        left = self._read(lines)
+        next(lines)  # Else
+        return self.columns[int(feature)], float(edge), left, self._read(lines)
+
+    def _at(self, values: Sequence[float | int], node: int | tuple) -> Column:
+        if isinstance(node, int):
+            return F.lit(values[node])
+        column, edge, left, right = node
+        return F.when(F.col(f"_f{column}") <= edge, self._at(values, left)).otherwise(self._at(values, right))
+
+    def leaf(self) -> Column:
+        return self._at(range(self.leaves), self.root)
 
     def added(self) -> Column:
-        return F.element_at(F.array(*[F.lit(v) for v in self.adds]), F.col("_leaf") + 1)
+        return self._at(self.adds, self.root)
 
 
 def probability(score: str) -> Column:
@@ -127,19 +154,19 @@ class Boosted:
     def score(self, df: DataFrame, keys: Sequence[str], label: str | None = None, name: str = "p1") -> DataFrame:
         """Keys, label, probability and hard prediction (1 above one half) of every row."""
         columns = dict.fromkeys([*keys, *([label] if label else [])])
-        out = assembler(self.features).transform(df).withColumn("_score", F.lit(self.start))
+        out = df.withColumns(feature_values(self.features)).withColumn("_score", F.lit(self.start))
         for tree in self.trees:
-            out = tree.leaf(out).withColumn("_score", F.col("_score") + tree.added())
+            out = out.withColumn("_score", F.col("_score") + tree.added())
         out = out.withColumn(name, probability("_score"))
         return out.select(*columns, name, (F.col(name) > 0.5).cast("int").alias("predict"))
 
     def staged(self, df: DataFrame, keys: Sequence[str], label: str, every: int = 1) -> DataFrame:
         """Keys, label, stage and probability after each ``every`` trees and after the last, from one pass over the rows."""
         columns = dict.fromkeys([*keys, label])
-        out = assembler(self.features).transform(df).withColumn("_score", F.lit(self.start))
+        out = df.withColumns(feature_values(self.features)).withColumn("_score", F.lit(self.start))
         stages = sorted({*range(every, len(self.trees) + 1, every), len(self.trees)})
         for at, tree in enumerate(self.trees, 1):
-            out = tree.leaf(out).withColumn("_score", F.col("_score") + tree.added())
+            out = out.withColumn("_score", F.col("_score") + tree.added())
             if at in stages:
                 out = out.withColumn(f"_p{at}", probability("_score"))
         if not self.trees:
@@ -156,8 +183,11 @@ def fit(df: DataFrame, features: Sequence[str], label: str, key: str, settings:
     one millionth of 0 and 1. Null features are NaN, which trees send to the right.
     """
     s, features = settings, list(features)
-    rows = assembler(features).transform(df.filter(F.col(label).isin(0, 1)))
-    rows = materialise(rows.select(F.col(key).alias("_key"), F.col(label).cast("double").alias("_y"), "features"), "boost")
+    values = feature_values(features)
+    rows = df.filter(F.col(label).isin(0, 1)).select(
+        F.col(key).alias("_key"), F.col(label).cast("double").alias("_y"), *[v.alias(n) for n, v in values.items()]
+    )
+    rows = materialise(rows, "boost")
     seen = rows.agg(F.count("*").alias("n"), F.sum("_y").alias("p")).first()
     mean = min(max(seen["p"] / seen["n"], 1e-6), 1 - 1e-6) if seen["n"] else 0.5
     model = Boosted(features, math.log(mean / (1 - mean)))
@@ -168,9 +198,9 @@ def fit(df: DataFrame, features: Sequence[str], label: str, key: str, settings:
         percent = F.when(F.col("_y") == 1, round(100 * s.class_shares[1])).otherwise(round(100 * s.class_shares[0]))
         picked = rows if s.class_shares == (1.0, 1.0) else rows.filter(hash_percent("_key", s.seed + at) < percent)
         p = probability("_score")
-        picked = picked.select("features", (F.col("_y") - p).alias("_g"), (p * (1 - p)).alias("_h"))
+        picked = picked.select(*values, (F.col("_y") - p).alias("_g"), (p * (1 - p)).alias("_h"))
         columns = tree_features(features, s, at)
-        sliced = VectorSlicer(inputCol="features", outputCol="_slice", indices=columns).transform(picked)
+        sliced = assembler([f"_f{i}" for i in columns]).setOutputCol("_slice").transform(picked).select("_slice", "_g")
         # one tree of a forest is a plain tree, with a share of the columns at each split
         single = RandomForestRegressor(
             featuresCol="_slice", labelCol="_g", numTrees=1, bootstrap=False, maxDepth=s.depth, maxBins=s.bins,
@@ -178,14 +208,14 @@ def fit(df: DataFrame, features: Sequence[str], label: str, key: str, settings:
             featureSubsetStrategy="all" if s.split_columns >= 1 else str(s.split_columns),
         )
         tree = Tree(columns, single.fit(sliced), [])
-        sums = tree.leaf(picked).groupBy("_leaf").agg(F.sum("_g").alias("g"), F.sum("_h").alias("h")).collect()
+        sums = picked.groupBy(tree.leaf().alias("_leaf")).agg(F.sum("_g").alias("g"), F.sum("_h").alias("h")).collect()
         step = s.step * s.annealing ** (at - 1)
         leaf = {r["_leaf"]: r["g"] / max(r["h"], 1e-12) for r in sums}
         bound = math.inf if s.leaf_limit is None else s.leaf_limit
-        tree.adds = [step * min(max(leaf.get(i, 0.0), -bound), bound) for i in range(max(leaf, default=0) + 1)]
+        tree.adds = [step * min(max(leaf.get(i, 0.0), -bound), bound) for i in range(tree.leaves)]
         model.trees.append(tree)
         if at < s.rounds:
-            rows = tree.leaf(rows).withColumn("_score", F.col("_score") + tree.added()).drop("_leaf")
+            rows = rows.withColumn("_score", F.col("_score") + tree.added())
             if at % s.cut == 0:
                 rows = materialise(rows, "boost")
     return model

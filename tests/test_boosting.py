@@ -59,6 +59,19 @@ def test_stumps_equal_plain_loops_at_every_stage(frame):
     assert all(abs(last[i] - p) < 1e-9 for i, p in enumerate(want[-1]))
 
 
+def test_leaves_are_those_of_the_fitted_tree_without_vectors(spark, frame):
+    _, df = frame
+    holes = df.withColumn("a", F.when(F.col("id") % 7 > 0, F.col("a"))).withColumn("b", F.when(F.col("id") % 5 == 0, float("nan")).otherwise(F.col("b")))
+    model = boosting.fit(df, FEATURES, "y", "id", Settings(rounds=3, depth=4, tree_columns=0.6))
+    rows = holes.withColumns(boosting.feature_values(FEATURES))
+    for tree in model.trees:
+        vectors = boosting.assembler([f"_f{i}" for i in tree.columns]).setOutputCol("_slice").transform(rows)
+        found = tree.model.setLeafCol("_own").transform(vectors).withColumn("_leaf", tree.leaf())
+        assert tree.leaves > 4 and all(r["_own"][0] == r["_leaf"] for r in found.collect())
+    plan = model.score(holes, ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "UDF" not in plan and "VectorAssembler" not in plan
+
+
 def test_column_share_and_leaf_limit(frame):
     _, df = frame
     model = boosting.fit(df, FEATURES, "y", "id", Settings(rounds=3, depth=3, tree_columns=0.5, leaf_limit=0.2))
