@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from graphlib import TopologicalSorter
 
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
@@ -28,6 +29,8 @@ from cohortlens.session import materialise
 TABLE_PARENTS = 10
 #: Probabilities are kept this far from 0 and 1 in the log loss.
 SURE = 1e-6
+#: Bins in which boosted trees meet a parent, as many as Spark's trees make.
+BINS = 32
 
 
 def hash_unit(key: Sequence[str], salt: str) -> Column:
@@ -72,6 +75,19 @@ def _by_model(model, binary: bool) -> Callable[[DataFrame, list[str], str], Data
     return expected
 
 
+def _bin(x: Column, cuts: Sequence[float]) -> Column:
+    """How many of the cuts a value is above."""
+    return reduce(lambda a, b: a + b, [(x > c).cast("double") for c in cuts], F.lit(0.0))
+
+
+def _by_bins(model, binary: bool, cuts: Sequence[Sequence[float]]) -> Callable[[DataFrame, list[str], str], DataFrame]:
+    def expected(df: DataFrame, columns: list[str], name: str) -> DataFrame:
+        bins = {f"_bin{i}": _bin(F.col(c), own) for i, (c, own) in enumerate(zip(columns, cuts, strict=True))}
+        return _by_model(model, binary)(df.withColumns(bins), list(bins), name).drop(*bins)
+
+    return expected
+
+
 def _by_table(shares: Mapping[tuple, float], overall: float) -> Callable[[DataFrame, list[str], str], DataFrame]:
     """Combinations that were never seen have the overall share."""
 
@@ -90,7 +106,8 @@ def fit_mechanisms(
     """Rows with a null in a node are left out of the fits.
 
     Kinds of all nodes and the shares of 0/1 nodes are one aggregation each; linear and boosted candidates of all nodes
-    are fitted side by side, and their held-out errors are one aggregation over one written table.
+    are fitted side by side, and their held-out errors are one aggregation over one written table. Boosted trees see a
+    parent only through its bins, so rows with equal bins are added up before they are fitted: see ``_cells``.
     """
     nodes = sorted({n for edge in edges for n in edge})
     parents = {n: sorted({a for a, b in edges if b == n}) for n in nodes}
@@ -114,14 +131,16 @@ def fit_mechanisms(
             open_nodes.append(n)
 
     kept, tested = rows.filter(~F.col("_held")), rows.filter("_held")
-    fits = together(
-        {
-            (n, s): lambda n=n, s=s: _fit(kept, parents[n], n, kinds[n], s, seed)
-            for n in open_nodes
-            for s in ("linear", "boosted")
-        },
-        threads,
-    )
+    cuts = _cuts(rows, sorted({a for n in open_nodes for a in parents[n]}))
+    cells = together({n: lambda n=n: _cells(rows, parents[n], n, kinds[n], cuts) for n in open_nodes}, threads)
+
+    def fit(n: str, shape: str, whole: bool) -> Callable[[DataFrame, list[str], str], DataFrame]:
+        if shape == "linear":
+            return _fit_linear(rows if whole else kept, parents[n], n, kinds[n])
+        own, ends = cells[n]
+        return _fit_boosted(own if whole else own.filter(~F.col("_held")), ends, kinds[n], seed)
+
+    fits = together({(n, s): lambda n=n, s=s: fit(n, s, False) for n in open_nodes for s in ("linear", "boosted")}, threads)
     scored = tested
     for (n, s), expected in fits.items():
         scored = expected(scored, parents[n], f"_{s}_{n}")
@@ -132,26 +151,73 @@ def fit_mechanisms(
         better = errors["n"] and own["boosted"] < own["linear"]
         shape = "boosted" if better else "linear"
         mechanisms[n] = Mechanism(kinds[n], shape, None, own)
-    last = together(
-        {n: lambda n=n: _fit(rows, parents[n], n, kinds[n], mechanisms[n].shape, seed) for n in open_nodes}, threads
-    )
+    last = together({n: lambda n=n: fit(n, mechanisms[n].shape, True) for n in open_nodes}, threads)
     for n, expected in last.items():
         mechanisms[n].expected = expected
     return Scm(order, parents, mechanisms)
 
 
-def _fit(rows: DataFrame, above: list[str], node: str, binary: bool, shape: str, seed: int):
+def _fit_linear(rows: DataFrame, above: list[str], node: str, binary: bool):
     columns = {"featuresCol": "_in", "labelCol": node, "predictionCol": "_mean"}
     if binary:
-        estimator = LogisticRegression(**columns, regParam=0.0, tol=1e-9) if shape == "linear" else GBTClassifier(**columns, seed=seed)
-        estimator = estimator.setProbabilityCol("_p").setRawPredictionCol("_raw")
-    elif shape == "linear":
-        estimator = LinearRegression(**columns, solver="normal")
+        estimator = LogisticRegression(**columns, regParam=0.0, tol=1e-9, probabilityCol="_p", rawPredictionCol="_raw")
     else:
-        estimator = GBTRegressor(**columns, seed=seed)
+        estimator = LinearRegression(**columns, solver="normal")
     return _by_model(estimator.fit(VectorAssembler(inputCols=above, outputCol="_in").transform(rows)), binary)
 
 
+def _cuts(rows: DataFrame, columns: list[str]) -> dict[str, list[float]]:
+    """The last value of each bin but the highest: every value if there are ``BINS`` at most, else quantiles of all rows."""
+    if not columns:
+        return {}
+    marks = [i / BINS for i in range(1, BINS)]
+    measures = [(F.approx_count_distinct(c), F.percentile_approx(c, marks, F.lit(10_000))) for c in columns]
+    seen = rows.agg(*[m for pair in measures for m in pair]).first()
+    out = {}
+    for i, c in enumerate(columns):
+        values = sorted(set(seen[2 * i + 1] or []))
+        if seen[2 * i] <= 2 * BINS:  # an estimate: count the values themselves
+            few = sorted(r[c] for r in rows.select(c).distinct().limit(BINS + 1).collect())
+            values = few[:-1] if len(few) <= BINS else values
+        out[c] = values
+    return out
+
+
+def _cells(
+    rows: DataFrame, above: list[str], node: str, binary: bool, cuts: Mapping[str, list[float]]
+) -> tuple[DataFrame, list[list[float]]]:
+    """One row for each combination of the parents' bins (a 0/1 node: and its value), and the cuts between the bins.
+
+    A tree chooses its splits by sums over bins, and a leaf is a mean, so number and mean of the rows of a cell say all
+    that the rows do: at most ``BINS`` to the power of the parents, however many rows there are. Cuts lie midway
+    between the values on both sides, as in Spark's trees.
+    """
+    bins = [_bin(F.col(a), cuts[a]).alias(f"_b{i}") for i, a in enumerate(above)]
+    value = [F.col(node).alias("_y")] if binary else []
+    ends = [f(a).alias(f"_{f.__name__}{i}") for i, a in enumerate(above) for f in (F.min, F.max)]
+    cells = rows.groupBy("_held", *bins, *value).agg(
+        F.count("*").cast("double").alias("_n"), *([] if binary else [F.avg(node).alias("_y")]), *ends
+    )
+    cells = materialise(cells, "cells")
+    between = []
+    for i, a in enumerate(above):
+        sides = cells.groupBy(f"_b{i}").agg(F.min(f"_min{i}").alias("low"), F.max(f"_max{i}").alias("high")).collect()
+        low, high = ({int(r[f"_b{i}"]): r[side] for r in sides} for side in ("low", "high"))
+        middle = [(high.get(k, c) + low.get(k + 1, c)) / 2 for k, c in enumerate(cuts[a])]
+        between.append([m if c < m < low.get(k + 1, c) else c for k, (c, m) in enumerate(zip(cuts[a], middle, strict=True))])
+    return cells, between
+
+
+def _fit_boosted(cells: DataFrame, cuts: list[list[float]], binary: bool, seed: int):
+    columns = {"featuresCol": "_in", "labelCol": "_y", "predictionCol": "_mean", "weightCol": "_n", "maxBins": BINS, "seed": seed}
+    if binary:
+        estimator = GBTClassifier(**columns).setProbabilityCol("_p").setRawPredictionCol("_raw")
+    else:
+        estimator = GBTRegressor(**columns)
+    bins = VectorAssembler(inputCols=[f"_b{i}" for i in range(len(cuts))], outputCol="_in").transform(cells)
+    return _by_bins(estimator.fit(bins), binary, cuts)
+
+
 def _loss(value: Column, expected: Column, binary: bool) -> Column:
     if not binary:
         return F.avg((value - expected) * (value - expected))
