@@ -244,11 +244,9 @@ def _pu_rows(spark, sf):
 
 @query("pu_backtest")
 def pu_backtest(spark, sf):
-    """One PU model per test date; all dates are evaluated together."""
-    rows = pu.fourier_features(_pu_rows(spark, sf), COVARIATES)
-    projected = materialise(rows, "projected")
+    """One PU model per test date; all dates are evaluated together. Each fit projects its own rows, nothing wide is written."""
     scored = None
-    for day, train, test in assemble.backtest_splits(projected, out.BACKTESTS):
+    for day, train, test in assemble.backtest_splits(_pu_rows(spark, sf), out.BACKTESTS):
         model = pu.fit_pu(train, COVARIATES, "label", "key")
         part = model.transform(test).select(F.lit(day).cast("date").alias("test_dt"), "ent", "label", "pu_score")
         scored = part if scored is None else scored.unionByName(part)
@@ -259,10 +257,9 @@ def pu_backtest(spark, sf):
 def pu_margin_embeddings(spark, sf):
     """Embedding class 0 as in ``pu_embeddings``, with the margin classifier on the kernel features: areas of all vectors."""
     rows, names = _shown_vectors(spark, sf)
-    projected = materialise(pu.fourier_features(rows, names, 0.05, 256), "projected")
     estimator = margins.MarginClassifier("shown", "vec_id")
-    model = pu.fit_pu(projected, names, "shown", "vec_id", estimator, gamma=0.05, dimension=256)
-    scored = materialise(model.transform(projected).select("vec_id", "truth", "pu_score"), "scored")
+    model = pu.fit_pu(rows, names, "shown", "vec_id", estimator, gamma=0.05, dimension=256)
+    scored = materialise(model.transform(rows).select("vec_id", "truth", "pu_score"), "scored")
     return curves.areas(curves.score_curve(scored, "pu_score", "truth"))
 
 
